@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillstone.runtime import table
 
-from . import packing, repeated_lines, splitting, token_budget, tokenizer
+from . import encoding_repair, leakage, packing, repeated_lines, splitting, token_budget, tokenizer
 
 
 def p1_token_budget(spark: SparkSession, d: str) -> DataFrame:
@@ -58,6 +58,27 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokenizer.encode_corpus(table(spark, d, "documents"))
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_matches(spark, d).select("doc_id", "item_id")
+
+
+def p9_matches(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaked_items(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p9_items(spark: SparkSession, d: str) -> DataFrame:
+    """Which test items leaked, into how many documents."""
+    return p9_matches(spark, d).groupBy("item_id").agg(F.count(F.lit(1)).alias("n_docs"), F.max("longest_run").alias("longest_run"), F.count_if("asks").alias("n_asking"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return p10_restored(spark, d).select("doc_id")
+
+
+def p10_restored(spark: SparkSession, d: str) -> DataFrame:
+    return encoding_repair.garbled_documents(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {n: f for n, f in globals().items() if n[0] == "p" and n[1].isdigit()}
 
