@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillstone.runtime import table
 
-from . import encoding_repair, leakage, packing, repeated_lines, splitting, token_budget, tokenizer
+from . import encoding_repair, leakage, packing, repeated_lines, scanned, splitting, token_budget, tokenizer
 
 
 def p1_token_budget(spark: SparkSession, d: str) -> DataFrame:
@@ -54,6 +54,10 @@ def p6_outputs(spark: SparkSession, d: str) -> DataFrame:
     return repeated_lines.without_repeated_lines(records, repeated_lines.repeated_lines(records))
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return scanned.page_faults(table(spark, d, "ingest_records"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokenizer.encode_corpus(table(spark, d, "documents"))
 
