@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillstone.runtime import table
 
-from . import encoding_repair, leakage, packing, repeated_lines, scanned, splitting, token_budget, tokenizer
+from . import encoding_repair, leakage, packing, repeated_lines, scanned, splitting, token_budget, tokenizer, truncation
 
 
 def p1_token_budget(spark: SparkSession, d: str) -> DataFrame:
@@ -32,6 +32,14 @@ def p2_files(spark: SparkSession, d: str) -> DataFrame:
     return splitting.file_report(table(spark, d, "ingest_records"), table(spark, d, "stage5_status"))
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.cut_values(table(spark, d, "ingest_records")).where("is_cut").select("row_no", "field")
+
+
+def p3_rates(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.cut_rates(truncation.cut_values(table(spark, d, "ingest_records")))
+
+
 def _packed(spark: SparkSession, d: str) -> tuple[DataFrame, int]:
     usable = packing.usable_capacity(table(spark, d, "pack_profiles"), "train_2k")
     return packing.pack(table(spark, d, "ingest_records"), usable), usable
