@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillstone.runtime import table
 
-from . import encoding_repair, leakage, packing, repeated_lines, scanned, splitting, token_budget, tokenizer, truncation
+from . import encoding_repair, leakage, packing, pairs, repeated_lines, scanned, splitting, token_budget, tokenizer, truncation
 
 
 def p1_token_budget(spark: SparkSession, d: str) -> DataFrame:
@@ -40,6 +40,14 @@ def p3_rates(spark: SparkSession, d: str) -> DataFrame:
     return truncation.cut_rates(truncation.cut_values(table(spark, d, "ingest_records")))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return pairs.pair_defects(table(spark, d, "ingest_records"), table(spark, d, "manifest_files"))
+
+
+def p4_labels(spark: SparkSession, d: str) -> DataFrame:
+    return pairs.pair_labels(table(spark, d, "ingest_records"), table(spark, d, "manifest_files"))
+
+
 def _packed(spark: SparkSession, d: str) -> tuple[DataFrame, int]:
     usable = packing.usable_capacity(table(spark, d, "pack_profiles"), "train_2k")
     return packing.pack(table(spark, d, "ingest_records"), usable), usable

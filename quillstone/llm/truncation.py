@@ -79,17 +79,20 @@ def limits(lengths: list[tuple[int, int, int]]) -> list[tuple[int, float]]:
     return out
 
 
-def values(records: DataFrame) -> DataFrame:
-    """One row per non-null value of a field: ``row_no, source_file, field, length, body, kind, score``; judged by corpus counts over all questions and summaries."""
-    groups = {"summary": "s", "input": "q", "alt_question_1": "q", "alt_question_2": "q", "alt_question_3": "q"}
-    counts = cut(count_words(records, groups))
-    known = records.sparkSession.sparkContext.broadcast(frequent(counts))
-    src = records.select("row_no", "source_file", *(F.col(c).cast("string").alias(c) for c in FIELDS))
+GROUPS = {"summary": "s", "input": "q", "alt_question_1": "q", "alt_question_2": "q", "alt_question_3": "q"}
+
+
+def values(records: DataFrame, fields: tuple[str, ...] = FIELDS, known=None) -> DataFrame:
+    """One row per non-null value of a field: ``row_no, source_file, field, length, body, kind, score``; judged by corpus counts over all questions and summaries (or by the broadcast counts given)."""
+    groups = GROUPS
+    if known is None:
+        known = records.sparkSession.sparkContext.broadcast(frequent(cut(count_words(records, groups))))
+    src = records.select("row_no", "source_file", *(F.col(c).cast("string").alias(c) for c in fields))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = EndingModel(known.value)
         for b in batches:
-            for c, field in enumerate(FIELDS):
+            for c, field in enumerate(fields):
                 at, lengths, bodies, kinds, scores = [], [], [], [], []
                 for i, text in enumerate(b.column(2 + c).to_pylist()):
                     if text is None:
@@ -109,7 +112,7 @@ def values(records: DataFrame) -> DataFrame:
     return src.mapInArrow(run, "row_no bigint, source_file string, field string, length int, body int, kind string, score double")
 
 
-def cut_values(records: DataFrame) -> DataFrame:
+def cut_values(records: DataFrame, fields: tuple[str, ...] = FIELDS, known=None) -> DataFrame:
     """Every non-empty value with the log odds that it is cut: ``row_no, source_file, field, length, kind, posterior, score, is_cut``.
 
     Lengths of each source and field are summed up to a histogram (at most
@@ -120,7 +123,7 @@ def cut_values(records: DataFrame) -> DataFrame:
     ``source_file`` is a source of its own; copies of a row are cases each; an
     empty table gives no rows.
     """
-    judged = cut(values(records).where("kind <> 'empty'"))
+    judged = cut(values(records, fields, known).where("kind <> 'empty'"))
     stuck = F.col("score") > 2
     spread = judged.select("source_file", "field", "length", stuck.alias("stuck")).unionByName(
         # a mark put at the end later lengthens the value: its length before that is a candidate too
