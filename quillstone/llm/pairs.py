@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from quillstone.runtime import cut
 
 from . import label_model, truncation
-from .wordstats import EndingModel, count_words, frequent, is_empty, visible
+from .wordstats import EndingModel, count_words, frequent, is_empty, plain_words, visible
 
 DEFECTS = ("empty", "refusal", "copy", "language", "truncated")
 #: Votes per defect, in order of the labelling functions, with the expected share of (positives, negatives) each fires on.
@@ -30,7 +30,7 @@ PRIOR = {"empty": 0.02, "refusal": 0.01, "copy": 0.01, "language": 0.01, "trunca
 #: Posteriors above which a label is kept, validated on fixtures of known defects.
 CUTOFF = {"empty": 0.5, "refusal": 0.5, "copy": 0.5, "language": 0.5, "truncated": 0.5}
 #: The language classifier is fitted on at most this many rows per language.
-SAMPLE_PER_LANGUAGE = 4000
+SAMPLE_PER_LANGUAGE = 1500
 
 _WORDS = re.compile(r"[^\W\d_]+(?:[’'][^\W\d_]+)*").findall
 #: Words by which English, German, French and Spanish answers decline.
@@ -57,6 +57,7 @@ class LanguageModel:
         words = {x: Counter(w for t in ts for w in _WORDS(t.lower())) for x, ts in texts.items()}
         triples = {x: Counter(t[i : i + 3] for w, n in c.items() for t in (f" {w} ",) for i in range(len(t) - 2) for _ in range(min(n, 20))) for x, c in words.items()}
         self.words, self.triples = self._table(words, 2), self._table(triples, 5)
+        self.words |= {w.encode(): v for w, v in self.words.items()}
 
     def _table(self, counts: dict[str, Counter], least: int) -> dict[str, tuple[float, ...]]:
         totals = {x: sum(c.values()) + 1 for x, c in counts.items()}
@@ -66,31 +67,19 @@ class LanguageModel:
                 out[k] = tuple(math.log((counts[x][k] + 0.3) / totals[x]) for x in self.languages)
         return out
 
-    def by_words(self, words: list[str]) -> tuple[str | None, float]:
-        """The likeliest language and its log odds against the next, per known word."""
-        table, n = self.words, 0
-        sums = [0.0] * len(self.languages)
-        for w, k in Counter(words).items():
-            v = table.get(w)
-            if v is not None:
-                k = min(k, 5)
-                n += k
-                for i, x in enumerate(v):
-                    sums[i] += k * x
-        return self._best(sums, n)
-
-    def by_triples(self, words: list[str]) -> tuple[str | None, float]:
-        table, n = self.triples, 0
-        sums = [0.0] * len(self.languages)
+    def by_words(self, words: list[str] | list[bytes]) -> tuple[str | None, float]:
+        """The likeliest language by the words known, and its log odds against the next."""
+        table = self.words
+        found = [v for w in set(words) if (v := table.get(w)) is not None]
+        return self._best([sum(x) for x in zip(*found, strict=True)], len(found))
+
+    def by_triples(self, words: list[str] | list[bytes]) -> tuple[str | None, float]:
+        """The same by letter triples."""
+        table, found = self.triples, []
         for w in set(words):
-            t = f" {w} "
-            for i in range(len(t) - 2):
-                v = table.get(t[i : i + 3])
-                if v is not None:
-                    n += 1
-                    for j, x in enumerate(v):
-                        sums[j] += x
-        return self._best(sums, n)
+            t = f" {w.decode() if isinstance(w, bytes) else w} "
+            found += [v for i in range(len(t) - 2) if (v := table.get(t[i : i + 3])) is not None]
+        return self._best([sum(x) for x in zip(*found, strict=True)], len(found))
 
     def _best(self, sums: list[float], n: int) -> tuple[str | None, float]:
         if not n or len(sums) < 2:
@@ -108,12 +97,13 @@ def language_model(records: DataFrame, manifest: DataFrame, per_language: int =
     """Fitted on at most ``per_language`` rows of each manifest language (a documented bound), chosen by a hash of ``row_no``."""
     named = _labelled(records, manifest)
     sizes = {r.lang: r["count"] for r in named.groupBy("lang").count().toLocalIterator()}
-    texts: dict[str, list[str]] = {}
-    for lang, n in sizes.items():
-        of = named.where(F.col("lang") == lang)
-        if n > per_language:
-            of = of.where(F.pmod(F.xxhash64("row_no"), F.lit(1_000_000)) < int(1_000_000 * per_language / n)).limit(2 * per_language)
-        texts[lang] = [r.t for r in of.select("t").toLocalIterator()]
+    if not sizes:
+        return LanguageModel({})
+    share = F.create_map(*[x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(1.0, per_language / n)))])
+    sample = named.where(F.pmod(F.xxhash64("row_no"), F.lit(1_000_000)) < 1_000_000 * share[F.col("lang")]).limit(2 * per_language * len(sizes))
+    texts: dict[str, list[str]] = {lang: [] for lang in sizes}
+    for r in sample.select("lang", "t").toLocalIterator():
+        texts[r.lang].append(r.t)
     return LanguageModel(texts)
 
 
@@ -126,62 +116,84 @@ def _signature(words: list[str], question: set[str]) -> str:
 
 
 def last_line(text: str) -> str:
-    lines = [x for x in text.split("\n") if x.strip()]
-    return lines[-1].strip() if lines else ""
+    """The last line that is not blank, stripped."""
+    return text.rstrip().rpartition("\n")[2].strip()
 
 
 def _line_key(line: str) -> int:
     return xxhash.xxh3_64_intdigest(re.sub(r"\s+", " ", re.sub(r"\d+", "0", line.lower())).strip()) - (1 << 63)
 
 
-def judge_pair(question: str, answer: str | None, group: str, endings: EndingModel, languages: LanguageModel, volume: str | None) -> dict:
+class Question:
+    """A pair's question: its words, and the language they are of."""
+
+    def __init__(self, text: str, languages: LanguageModel):
+        self.words = _WORDS(text.lower())
+        self.set = set(self.words)
+        self.language = None
+        if len(self.words) >= 3:
+            language, odds = languages.by_words(self.words)
+            self.language = language if odds > 1.5 else None
+
+
+def judge_pair(question: Question, answer: str | None, group: str, endings: EndingModel, languages: LanguageModel, volume: str | None) -> dict:
     """Votes of the labelling functions that need no other record, by defect."""
     seen = visible(answer)
-    words = _WORDS(seen.lower())
-    asked = _WORDS(question.lower())
-    empty = is_empty(answer)
+    words = plain_words(seen) if len(seen) > 600 else _WORDS(seen.lower())
+    empty = is_empty(answer, seen)
     out = {"empty": [int(empty), None if empty and words else int(len(words) == 0)]}
     # refusal: every sentence declines, apologises or points elsewhere; speech within a story is none
-    sentences = [x for x in _SPLIT.split(seen) if x.strip()]
-    short = len(words) <= 45 and len(sentences) <= 4
-    declines = short and bool(_DECLINES.search(seen)) and not _SPOKEN.search(seen)
-    only = declines and sum(map(bool, map(_DECLINES.search, sentences))) * 2 >= len(sentences)
+    short = len(seen) <= 600 and len(words) <= 45
+    declines = only = False
+    if short:
+        sentences = [x for x in _SPLIT.split(seen) if x.strip()]
+        short = len(sentences) <= 4
+        declines = short and bool(_DECLINES.search(seen)) and not _SPOKEN.search(seen)
+        only = declines and sum(map(bool, map(_DECLINES.search, sentences))) * 2 >= len(sentences)
     out["refusal"] = [int(declines), int(short), None, int(only)]
-    # copy
-    bare = _PREFIX.sub("", seen)
-    a, q = _letters(bare), _letters(question)
-    same = bool(q) and a in (q, q * 2, q * 3)
-    asked_set, said = set(asked), set(_WORDS(bare.lower()))
-    contained = bool(said) and len(said - asked_set) <= max(0, len(said) // 20) and len(words) >= 3
-    covers = bool(asked_set) and len(asked_set & said) >= 0.85 * len(asked_set)
-    out["copy"] = [int(same), int(contained and len(said) >= 0.6 * len(asked_set)), int(covers and len(said) <= 1.3 * len(asked_set) + 2)]
-    # language
-    if len(words) >= 4 and len(asked) >= 3:
-        lq, mq = languages.by_words(asked)
+    # copy: an answer that has few of the question's words cannot be one
+    same = contained = covers = False
+    if len(seen) <= 600 or len(words) <= 4 * len(question.words) + 8:
+        asked = question.set
+        if len(asked.intersection(words if isinstance(words[:1] and words[0], str) else [w.decode() for w in words])) >= 0.6 * len(asked):
+            bare = _PREFIX.sub("", seen)
+            a, q = _letters(bare), "".join(question.words)
+            said = set(_WORDS(bare.lower()))
+            same = bool(q) and a in (q, q * 2, q * 3)
+            contained = len(words) >= 3 and bool(said) and len(said - asked) <= len(said) // 20 and len(said) >= 0.6 * len(asked)
+            covers = bool(asked) and len(asked & said) >= 0.85 * len(asked) and len(said) <= 1.3 * len(asked) + 2
+    out["copy"] = [int(same), int(contained), int(covers)]
+    # language: letters are asked only where words don't settle it
+    if len(words) >= 4 and len(question.words) >= 3:
+        lq = question.language
         la, ma = languages.by_words(words)
-        ta, mt = languages.by_triples(words)
-        sure = lq is not None and mq > 1.5
-        out["language"] = [int(la != lq and ma > 3.0) if sure and la else None, int(ta != lq and mt > 3.0) if sure and ta else None, int(ma > 3.0 and la != volume) if volume and la else None]
+        ta = mt = None
+        if lq and (la != lq or ma <= 3.0):
+            ta, mt = languages.by_triples(words)
+        out["language"] = [int(la != lq and ma > 3.0) if lq and la else None, int(ta != lq and mt > 3.0) if ta else None, int(ma > 3.0 and la != volume) if volume and la else None]
     else:
         out["language"] = [0, 0, None]
     # truncated
-    e = endings.judge(answer, group)
-    tail = last_line(seen)
-    listing = group == "o" and bool(_LISTING.match(tail)) and e.kind != "marked"
+    e = endings.judge(answer, group, seen)
+    tail = last_line(seen) if group == "o" and e.kind == "open" else ""
+    listing = bool(tail) and bool(_LISTING.match(tail))
     score = e.score
     if group == "o":
         score = -8.0 if listing else {"open": max(1.5, score), "marked": score, "terminal": score - 0.5, "empty": -20.0}[e.kind]
-    out["truncated"] = [int(e.kind == "marked" and e.score > 0), int(e.kind == "open" and not listing), int(not listing and e.kind != "empty" and endings.broken_word(e.body.rstrip(".!? \n")) >= 6), int(score > 0.0)]
+    out["truncated"] = [int(e.kind == "marked" and e.score > 0), int(e.kind == "open" and not listing), int(not listing and e.stump >= 6), int(score > 0.0)]
     return {
         "votes": out,
-        "signature": xxhash.xxh3_64_intdigest(_signature(words, asked_set)) - (1 << 63) if short and 2 <= len(words) else None,
-        "tail": _line_key(tail) if group == "o" and e.kind == "open" and not listing else None,
+        "signature": xxhash.xxh3_64_intdigest(_signature(words, question.set)) - (1 << 63) if short and 2 <= len(words) else None,
+        "tail": _line_key(tail) if tail and not listing else None,
+        "ending": (min(truncation.LONGEST, len(answer or "")), min(truncation.LONGEST, len(e.body)), e.kind, e.score),
     }
 
 
 def pair_votes(records: DataFrame, manifest: DataFrame) -> DataFrame:
     """``row_no, field`` and, per defect, the votes of all labelling functions (-1 abstains) of every pair with a question."""
     spark = records.sparkSession
+    records = records.select("row_no", "source_file", *truncation.GROUPS, "output")
+    manifest = manifest.select("manifest_row", "generated_at", "output_json", "lang")
     counts = count_words(records, truncation.GROUPS | {"output": ""})
     known = spark.sparkContext.broadcast(frequent(cut(counts)))
     languages = spark.sparkContext.broadcast(language_model(records, manifest))
@@ -196,22 +208,24 @@ def pair_votes(records: DataFrame, manifest: DataFrame) -> DataFrame:
             for i, (lang, question, summary, output) in enumerate(zip(*(b.column(c).to_pylist() for c in range(2, 6)), strict=True)):
                 if not visible(question):
                     continue
+                asked = Question(question, model)
                 for field, group, answer in (("summary", "s", summary), ("output", "o", output)):
-                    j = judge_pair(question, answer, group, endings, model, lang)
-                    rows.append((i, field, j["signature"], j["tail"], xxhash.xxh3_64_intdigest(question) - (1 << 63), *([-1 if v is None else v for v in j["votes"][d]] for d in DEFECTS)))
-            cols = list(zip(*rows, strict=True)) or [[]] * (5 + len(DEFECTS))
+                    j = judge_pair(asked, answer, group, endings, model, lang)
+                    rows.append((i, field, j["signature"], j["tail"], xxhash.xxh3_64_intdigest(question) - (1 << 63), *j["ending"], *([-1 if v is None else v for v in j["votes"][d]] for d in DEFECTS)))
+            cols = list(zip(*rows, strict=True)) or [[]] * (9 + len(DEFECTS))
             take = pa.array(cols[0], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(take), b.column(1).take(take), pa.array(cols[1], pa.string()), *(pa.array(cols[k], pa.int64()) for k in (2, 3, 4)), *(pa.array(c, pa.list_(pa.int8())) for c in cols[5:])],
-                names=["row_no", "source_file", "field", "signature", "tail", "question", *DEFECTS],
+                [b.column(0).take(take), b.column(1).take(take), pa.array(cols[1], pa.string()), *(pa.array(cols[k], pa.int64()) for k in (2, 3, 4)), *(pa.array(cols[k], t) for k, t in zip((5, 6, 7, 8), (pa.int32(), pa.int32(), pa.string(), pa.float64()), strict=True)), *(pa.array(c, pa.list_(pa.int8())) for c in cols[9:])],
+                names=["row_no", "source_file", "field", "signature", "tail", "question", "length", "body", "kind", "score", *DEFECTS],
             )
 
-    schema = "row_no bigint, source_file string, field string, signature bigint, tail bigint, question bigint, " + ", ".join(f"{d} array<tinyint>" for d in DEFECTS)
+    schema = "row_no bigint, source_file string, field string, signature bigint, tail bigint, question bigint, length int, body int, kind string, score double, " + ", ".join(f"{d} array<tinyint>" for d in DEFECTS)
     votes = cut(src.mapInArrow(run, schema))
     # the same short answer to different questions; a last line that ends other records of the file too is a notice, not a stump
     stock = votes.where("signature is not null").select("signature", "question").distinct().groupBy("signature").agg(F.count(F.lit(1)).alias("n_questions")).where("n_questions >= 4")
     notices = votes.where("tail is not null").groupBy(F.col("source_file").alias("f"), F.col("tail").alias("t")).agg(F.count_distinct("question").alias("n_tails")).where("n_tails >= 2")
-    summaries = truncation.cut_values(records, ("summary",), known).select("row_no", F.lit("summary").alias("field"), "is_cut")
+    judged = votes.where("field = 'summary' and kind <> 'empty'").select("row_no", "source_file", "field", "length", "body", "kind", "score")
+    summaries = truncation.weighed(judged).select("row_no", "field", "is_cut")
     out = votes.join(stock, "signature", "left").join(notices, (votes["tail"] == notices["t"]) & votes["source_file"].eqNullSafe(notices["f"]), "left").join(summaries, ["row_no", "field"], "left")
     repeated = F.when(F.col("signature").isNull(), F.lit(0)).otherwise(F.coalesce((F.col("n_questions") >= 4).cast("int"), F.lit(0))).cast("tinyint")
     notice = F.col("n_tails").isNotNull()

@@ -123,7 +123,11 @@ def cut_values(records: DataFrame, fields: tuple[str, ...] = FIELDS, known=None)
     ``source_file`` is a source of its own; copies of a row are cases each; an
     empty table gives no rows.
     """
-    judged = cut(values(records, fields, known).where("kind <> 'empty'"))
+    return weighed(cut(values(records, fields, known).where("kind <> 'empty'")))
+
+
+def weighed(judged: DataFrame) -> DataFrame:
+    """The same for values judged already: ``row_no, source_file, field, length, body, kind, score``."""
     stuck = F.col("score") > 2
     spread = judged.select("source_file", "field", "length", stuck.alias("stuck")).unionByName(
         # a mark put at the end later lengthens the value: its length before that is a candidate too
@@ -148,14 +152,14 @@ def cut_values(records: DataFrame, fields: tuple[str, ...] = FIELDS, known=None)
     # at most a few limits per source and field, so the join does not multiply rows before the aggregate picks one
     per_source = found.groupBy("f", "g").agg(F.map_from_entries(F.collect_list(F.struct("limit", "posterior"))).alias("limits"))
     p = F.coalesce(F.col("limits")[F.col("length")], F.col("limits")[F.col("body")], F.col("limits")[F.col("length") - 1])
-    weighed = judged.join(per_source, same, "left").withColumn("posterior", p)
+    at_limit = judged.join(per_source, same, "left").withColumn("posterior", p)
     odds = F.when(F.col("posterior").isNull(), F.lit(PRIOR)).otherwise(F.greatest(F.lit(PRIOR), F.least(F.lit(4.0), F.log(F.col("posterior") / (1.0001 - F.col("posterior"))))))
     total = F.col("score") + odds
-    return weighed.select("row_no", "source_file", "field", "length", "kind", "posterior", total.alias("score"), (total > CUTOFF).alias("is_cut"))
+    return at_limit.select("row_no", "source_file", "field", "length", "kind", "posterior", total.alias("score"), (total > CUTOFF).alias("is_cut"))
 
 
-def cut_rates(weighed: DataFrame) -> DataFrame:
+def cut_rates(values: DataFrame) -> DataFrame:
     """``source_file, field, n_values, n_cut, rate``: how often each source's values are cut."""
-    return weighed.groupBy("source_file", "field").agg(
+    return values.groupBy("source_file", "field").agg(
         F.count(F.lit(1)).alias("n_values"), F.count_if("is_cut").alias("n_cut"), (F.count_if("is_cut") / F.count(F.lit(1))).alias("rate")
     )
