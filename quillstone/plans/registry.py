@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quillstone.plans import catalog_queries, record_queries, text_queries
+
+MODULES = (text_queries, record_queries, catalog_queries)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {n: f for m in MODULES for n, f in vars(m).items() if inspect.isfunction(f) and f.__module__ == m.__name__ and n[0] != "_"}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {n: s for m in MODULES for n, s in m.SQL.items()}
