@@ -74,6 +74,10 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return scanned.page_faults(table(spark, d, "ingest_records"))
 
 
+def p7_repaired(spark: SparkSession, d: str) -> DataFrame:
+    return scanned.repaired_pages(table(spark, d, "ingest_records"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokenizer.encode_corpus(table(spark, d, "documents"))
 

@@ -41,7 +41,7 @@ def pieces_of(lines: list[str]) -> list[list[int]]:
         return []
     data = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint32)
     h, factor = np.zeros(len(data), np.uint32), 1
-    for back in range(_WINDOW):
+    for back in range(min(_WINDOW, len(data))):
         h[back:] += data[: len(data) - back] * np.uint32(factor)
         factor = factor * 0x01000193 & 0xFFFFFFFF
     h ^= h >> np.uint32(15)
