@@ -62,6 +62,21 @@ def without_thinking(text: Column) -> Column:
     return F.btrim(F.regexp_replace(text, THINK, ""), F.lit(" \t\n\r"))
 
 
+def only_thinking(text: Column) -> Column:
+    """Whether there is nothing but thinking."""
+    return (without_thinking(text) == "") & (F.btrim(text) != "")
+
+
+def is_timeout(message: Column) -> Column:
+    """whether an error tells of a time-out."""
+    return message.rlike(r"(?i)time(?:d)?[ -]?out")
+
+
+def is_rate_limited(message: Column) -> Column:
+    """whether an error tells of too many requests."""
+    return message.rlike(r"(?i)\b429\b|rate[ _-]?limit|too many requests")
+
+
 def tag(text: Column, name: str) -> Column:
     """What the first pair of tags holds, squeezed; null without one."""
     return F.nullif(squeeze(F.regexp_extract(text, rf"(?is)<{name}>(.*?)</{name}>", 1)), F.lit(""))
@@ -161,7 +176,7 @@ def layer_of(tensor: Column) -> Column:
 
 def glob_match(text: Column, pattern: Column) -> Column:
     """Whether the whole text matches a pattern in which ``*`` stands for anything."""
-    escaped = F.regexp_replace(pattern, r"([\\.\[\]{}()+?^$|])", r"\\\\$1")
+    escaped = F.regexp_replace(pattern, r"([\\.\[\]{}()+?^$|])", r"\\$1")
     return F.call_function("rlike", text, F.concat(F.lit("^"), F.replace(escaped, F.lit("*"), F.lit(".*")), F.lit("$")))
 
 

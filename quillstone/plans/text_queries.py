@@ -1,7 +1,6 @@
 """Queries of the text functions and the segmentation, with their SQL."""
 
-from __future__ import annotations
-
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -119,7 +118,7 @@ def word_boundary_pieces(spark: SparkSession, d: str) -> DataFrame:
 def adaptive_windows(spark: SparkSession, d: str) -> DataFrame:
     """The first window of each file."""
     c = table(spark, d, "source_chunks").groupBy("source_file", "chunk_total", "chunk_index").agg(F.min_by("output", "chunk_row").alias("output"))
-    w = segmentation.adaptive_window(c, ["source_file", "chunk_total"], "chunk_index", "output", F.lit(1), 12, 900, 300, 1500)
+    w = segmentation.adaptive_window(c, ["source_file", "chunk_total"], "chunk_index", "output", F.lit(1), 3, 12, 900, 1500)
     return w.select("source_file", "chunk_total", "chunk_index", "n_tokens", "used")
 
 
@@ -127,9 +126,7 @@ def segmented_files(spark: SparkSession, d: str) -> DataFrame:
     """Block bounds of each volume, by the default boundary function; a volume's chunks are one bounded list."""
     c = table(spark, d, "source_chunks").groupBy("source_file", "chunk_total", "chunk_index").agg(F.min_by("output", "chunk_row").alias("output"))
 
-    def blocks(key: tuple, pdf):
-        import pandas as pd
-
+    def blocks(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         out = segmentation.segment(pdf.sort_values("chunk_index")["output"].tolist(), 8, 900)
         return pd.DataFrame([(key[0], key[1], i, a, b) for i, (a, b) in enumerate(out, 1)], columns=["source_file", "chunk_total", "block_no", "start", "end"])
 
@@ -237,7 +234,7 @@ SQL = {
         '{"a":' || p_size || '}' AS json, split_part(n, '/', 2) || '.imatrix|org_' || split_part(n, '/', 2) || '.imatrix|' || lower(split_part(n, '/', 2)) || '.imatrix' AS files FROM p""",
     "adaptive_windows": rf"""WITH c AS (SELECT source_file, chunk_total, chunk_index, {_tokens("coalesce(arg_min(output, chunk_row), '')")}::INT AS n_tokens FROM source_chunks GROUP BY ALL),
         w AS (SELECT *, sum(n_tokens) OVER k AS used, row_number() OVER k AS r FROM c WINDOW k AS (PARTITION BY source_file, chunk_total ORDER BY chunk_index))
-        SELECT source_file, chunk_total, chunk_index, n_tokens, used::BIGINT AS used FROM w WHERE r = 1 OR (r <= 12 AND used <= 1500 AND NOT (used - n_tokens >= 900))""",
+        SELECT source_file, chunk_total, chunk_index, n_tokens, used::BIGINT AS used FROM w WHERE r = 1 OR (r <= 12 AND used <= 1500 AND NOT (r > 3 AND used - n_tokens >= 900))""",
     "headings": r"""WITH l AS (SELECT chunk_row, output, regexp_extract(left(output, 240), '^\s*([^\r\n]*\S)', 1) AS line FROM source_chunks WHERE output IS NOT NULL)
         SELECT chunk_row, regexp_matches(line, '^(?i:chapter|part|section)\s+[\divxlcIVXLC]+\b') OR regexp_matches(line, '^\d+(?:\.\d+)+\.?\s+\S') OR regexp_matches(line, '^[\p{Lu}\d][\p{Lu}\d\s:,''&()\-]{8,}$') AS is_heading,
         (SELECT sum(regexp_matches(left(output, 3500), p)::INT)::INT FROM unnest(['(?i)\ball rights reserved\b', '(?i)\bcopyright\b|©', '(?i)\bisbn\b', '(?i)\blibrary of congress\b', '(?i)\bprinted in\b', '(?i)\btable of contents\b', '(?i)\backnowledg(?:e)?ments?\b', '(?i)\bforeword\b', '(?i)\bpreface\b', '(?i)\bdedicat(?:ed|ion)\b', '(?i)\babout the authors?\b']) AS u(p)) AS front_matter FROM l""",
