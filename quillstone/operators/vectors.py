@@ -5,34 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.functions.scalars import min_max
 
+_SUMS = ("d", "dd", "x", "y", "xx", "yy", "xy")
 
-def _mean(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / F.size(values)
 
+def compared(left: DataFrame, right: DataFrame, key: str, vector: str) -> DataFrame:
+    """``key, mad, msd, corr``: mean absolute and mean squared difference and correlation of the vectors of equal key and length, after min-max scaling; others are left out.
 
-def distance(a: Column, b: Column) -> tuple[Column, Column, Column]:
-    """A10: mean absolute and mean squared difference, and correlation, of two arrays of equal length after min-max scaling.
-
-    Folds over the arrays, without exploding them. Correlation is null where one array is constant.
+    One fold over the pairs of values gathers all sums; bounds are columns of
+    their own, else each step of the fold would find them anew. Correlation is
+    null where one vector is constant.
     """
-    x, y = min_max(a), min_max(b)
-    z = F.arrays_zip(x.alias("x"), y.alias("y"))
-    mad = _mean(F.transform(z, lambda p: F.abs(p["x"] - p["y"])))
-    msd = _mean(F.transform(z, lambda p: (p["x"] - p["y"]) * (p["x"] - p["y"])))
-    mx, my = _mean(x), _mean(y)
-    cov = _mean(F.transform(z, lambda p: p["x"] * p["y"])) - mx * my
-    sx = F.sqrt(F.greatest(F.lit(0.0), _mean(F.transform(x, lambda v: v * v)) - mx * mx))
-    sy = F.sqrt(F.greatest(F.lit(0.0), _mean(F.transform(y, lambda v: v * v)) - my * my))
-    return mad, msd, F.when((sx > 0) & (sy > 0), cov / (sx * sy))
-
-
-def compared(left: DataFrame, right: DataFrame, key: str, vector: str) -> DataFrame:
-    """``key, mad, msd, corr`` of the vectors of equal key and length; others are left out."""
-    j = left.select(key, F.transform(vector, lambda v: v.cast("double")).alias("a")).join(right.select(key, F.transform(vector, lambda v: v.cast("double")).alias("b")), key).where(F.size("a") == F.size("b"))
-    mad, msd, corr = distance(F.col("a"), F.col("b"))
-    return j.select(key, mad.alias("mad"), msd.alias("msd"), corr.alias("corr"))
+    doubles = F.transform(vector, lambda v: v.cast("double"))
+    j = left.select(key, doubles.alias("a")).join(right.select(key, doubles.alias("b")), key).where(F.size("a") == F.size("b"))
+    for c in "ab":
+        j = j.withColumn(f"{c}0", F.array_min(c)).withColumn(f"{c}1", F.array_max(c) - F.array_min(c))
+    scaled = lambda v, c: F.when(F.col(f"{c}1") > 0, (v - F.col(f"{c}0")) / F.col(f"{c}1")).otherwise(0.0)
+
+    def step(acc: Column, p: Column) -> Column:
+        x, y = p["x"], p["y"]
+        add = {"d": F.abs(x - y), "dd": (x - y) * (x - y), "x": x, "y": y, "xx": x * x, "yy": y * y, "xy": x * y}
+        return F.struct(*((acc[k] + v).alias(k) for k, v in add.items()))
+
+    pairs = F.zip_with("a", "b", lambda u, v: F.struct(scaled(u, "a").alias("x"), scaled(v, "b").alias("y")))
+    j = j.withColumn("s", F.aggregate(pairs, F.struct(*(F.lit(0.0).alias(k) for k in _SUMS)), step)).withColumn("n", F.size("a"))
+    s = {k: F.col(f"s.{k}") / F.col("n") for k in _SUMS}
+    sx, sy = s["xx"] - s["x"] * s["x"], s["yy"] - s["y"] * s["y"]
+    corr = F.when((F.col("a1") > 0) & (F.col("b1") > 0), (s["xy"] - s["x"] * s["y"]) / F.sqrt(sx * sy))
+    return j.select(key, s["d"].alias("mad"), s["dd"].alias("msd"), corr.alias("corr"))
 
 
 def sensitive(metrics: DataFrame, mad: float = 0.002, corr: float = 0.95) -> DataFrame:

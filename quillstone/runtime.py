@@ -10,6 +10,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _own_dir: str | None = None
 
@@ -69,6 +70,23 @@ def ship(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(str(folder / "quillstone_package.zip"))
 
 
+#: Copies of a small side's rows in a salted join; a hot key of the large side is spread over as many tasks.
+JOIN_SALTS = 16
+
+
+def salted_join(large: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``large`` joined to ``small``, which has at most a row per key, null keys matching null.
+
+    Rows of ``large`` get a salt, rows of ``small`` are copied for each salt, so
+    that a key with a third of all rows is shuffled to many tasks. A small side
+    below Spark's broadcast threshold is still broadcast.
+    """
+    spread = small.select(*(F.col(k).alias(f"_key_{k}") for k in keys), *(c for c in small.columns if c not in keys), F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))).alias("_salt_s"))
+    salted = large.withColumn("_salt_l", F.pmod(F.monotonically_increasing_id(), F.lit(JOIN_SALTS)).cast("int"))
+    on = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys] + [F.col("_salt_l") == F.col("_salt_s")]
+    return salted.join(spread, on, how).drop(*(f"_key_{k}" for k in keys), "_salt_l", "_salt_s")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
