@@ -49,8 +49,10 @@ def older_than(moment: Column, now: Column, days: int) -> Column:
 
 def min_max(values: Column) -> Column:
     """M1: an array scaled to 0..1; zeros where all values are equal."""
-    low, high = F.array_min(values), F.array_max(values)
-    return F.transform(values, lambda x: F.when(high > low, (x - low) / (high - low)).otherwise(0.0))
+    # an array of one struct binds the bounds once; named inside the lambda they would be found anew for each value
+    bounds = F.array(F.struct(F.array_min(values).alias("low"), F.array_max(values).alias("high")))
+    scaled = F.transform(bounds, lambda b: F.transform(values, lambda x: F.when(b["high"] > b["low"], (x - b["low"]) / (b["high"] - b["low"])).otherwise(0.0)))
+    return F.when(values.isNotNull(), scaled[0])
 
 
 def layer_order(layer: Column, last: Column) -> Column:

@@ -6,33 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-_SUMS = ("d", "dd", "x", "y", "xx", "yy", "xy")
-
-
 def compared(left: DataFrame, right: DataFrame, key: str, vector: str) -> DataFrame:
     """``key, mad, msd, corr``: mean absolute and mean squared difference and correlation of the vectors of equal key and length, after min-max scaling; others are left out.
 
-    One fold over the pairs of values gathers all sums; bounds are columns of
-    their own, else each step of the fold would find them anew. Correlation is
-    null where one vector is constant.
+    The values are exploded after the join, whose partitioning by key the
+    aggregation takes over, so that it needs no shuffle and runs in generated
+    code. Correlation is null where one vector is constant.
     """
     doubles = F.transform(vector, lambda v: v.cast("double"))
     j = left.select(key, doubles.alias("a")).join(right.select(key, doubles.alias("b")), key).where(F.size("a") == F.size("b"))
     for c in "ab":
         j = j.withColumn(f"{c}0", F.array_min(c)).withColumn(f"{c}1", F.array_max(c) - F.array_min(c))
-    scaled = lambda v, c: F.when(F.col(f"{c}1") > 0, (v - F.col(f"{c}0")) / F.col(f"{c}1")).otherwise(0.0)
-
-    def step(acc: Column, p: Column) -> Column:
-        x, y = p["x"], p["y"]
-        add = {"d": F.abs(x - y), "dd": (x - y) * (x - y), "x": x, "y": y, "xx": x * x, "yy": y * y, "xy": x * y}
-        return F.struct(*((acc[k] + v).alias(k) for k, v in add.items()))
-
-    pairs = F.zip_with("a", "b", lambda u, v: F.struct(scaled(u, "a").alias("x"), scaled(v, "b").alias("y")))
-    j = j.withColumn("s", F.aggregate(pairs, F.struct(*(F.lit(0.0).alias(k) for k in _SUMS)), step)).withColumn("n", F.size("a"))
-    s = {k: F.col(f"s.{k}") / F.col("n") for k in _SUMS}
-    sx, sy = s["xx"] - s["x"] * s["x"], s["yy"] - s["y"] * s["y"]
-    corr = F.when((F.col("a1") > 0) & (F.col("b1") > 0), (s["xy"] - s["x"] * s["y"]) / F.sqrt(sx * sy))
-    return j.select(key, s["d"].alias("mad"), s["dd"].alias("msd"), corr.alias("corr"))
+    e = j.select(key, "a0", "a1", "b0", "b1", F.explode(F.arrays_zip("a", "b")).alias("p"))
+    x, y = (F.when(F.col(f"{c}1") > 0, (F.col(f"p.{c}") - F.col(f"{c}0")) / F.col(f"{c}1")).otherwise(0.0).alias(n) for c, n in (("a", "x"), ("b", "y")))
+    e = e.select(key, x, y, ((F.col("a1") > 0) & (F.col("b1") > 0)).alias("vary"))
+    d = F.col("x") - F.col("y")
+    return e.groupBy(key).agg(F.avg(F.abs(d)).alias("mad"), F.avg(d * d).alias("msd"), F.when(F.first("vary"), F.corr("x", "y")).alias("corr"))
 
 
 def sensitive(metrics: DataFrame, mad: float = 0.002, corr: float = 0.95) -> DataFrame:
