@@ -21,7 +21,7 @@ def compared(left: DataFrame, right: DataFrame, key: str, vector: str) -> DataFr
     x, y = (F.when(F.col(f"{c}1") > 0, (F.col(f"p.{c}") - F.col(f"{c}0")) / F.col(f"{c}1")).otherwise(0.0).alias(n) for c, n in (("a", "x"), ("b", "y")))
     e = e.select(key, x, y, ((F.col("a1") > 0) & (F.col("b1") > 0)).alias("vary"))
     d = F.col("x") - F.col("y")
-    return e.groupBy(key).agg(F.avg(F.abs(d)).alias("mad"), F.avg(d * d).alias("msd"), F.when(F.first("vary"), F.corr("x", "y")).alias("corr"))
+    return e.groupBy(key).agg(F.avg(F.abs(d)).alias("mad"), F.avg(d * d).alias("msd"), F.when(F.first("vary"), F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y"))).alias("corr"))
 
 
 def sensitive(metrics: DataFrame, mad: float = 0.002, corr: float = 0.95) -> DataFrame:
