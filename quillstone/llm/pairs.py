@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.runtime import cut
+from quillstone.runtime import cut, salted_join
 
 from . import label_model, truncation
 from .wordstats import EndingModel, count_words, frequent, is_empty, plain_words, visible
@@ -32,6 +32,8 @@ CUTOFF = {"empty": 0.5, "refusal": 0.5, "copy": 0.5, "language": 0.5, "truncated
 #: The language classifier is fitted on at most this many rows per language.
 SAMPLE_PER_LANGUAGE = 1500
 
+#: A word tells of a language if it makes up at least this share of its sample.
+_WORD_SHARE = 2e-4
 _WORDS = re.compile(r"[^\W\d_]+(?:[’'][^\W\d_]+)*").findall
 #: Words by which English, German, French and Spanish answers decline.
 _DECLINES = re.compile(
@@ -56,28 +58,29 @@ class LanguageModel:
         self.languages = sorted(texts)
         words = {x: Counter(w for t in ts for w in _WORDS(t.lower())) for x, ts in texts.items()}
         triples = {x: Counter(t[i : i + 3] for w, n in c.items() for t in (f" {w} ",) for i in range(len(t) - 2) for _ in range(min(n, 20))) for x, c in words.items()}
-        self.words, self.triples = self._table(words, 2), self._table(triples, 5)
-        self.words |= {w.encode(): v for w, v in self.words.items()}
+        self.words, self.triples = self._table(words, _WORD_SHARE), self._table(triples, 0.0)
+        self.words = {w.encode(): v for w, v in self.words.items()}
 
-    def _table(self, counts: dict[str, Counter], least: int) -> dict[str, tuple[float, ...]]:
+    def _table(self, counts: dict[str, Counter], share: float) -> dict[str, tuple[float, ...]]:
+        """Log probabilities by language of what makes up at least ``share`` of one language, and occurs at least three times."""
         totals = {x: sum(c.values()) + 1 for x, c in counts.items()}
         out = {}
         for k in set().union(*counts.values()) if counts else ():
-            if sum(c[k] for c in counts.values()) >= least:
+            if any(c[k] >= max(3, share * totals[x]) for x, c in counts.items()):
                 out[k] = tuple(math.log((counts[x][k] + 0.3) / totals[x]) for x in self.languages)
         return out
 
-    def by_words(self, words: list[str] | list[bytes]) -> tuple[str | None, float]:
+    def by_words(self, words: list[bytes]) -> tuple[str | None, float]:
         """The likeliest language by the words known, and its log odds against the next."""
         table = self.words
         found = [v for w in set(words) if (v := table.get(w)) is not None]
         return self._best([sum(x) for x in zip(*found, strict=True)], len(found))
 
-    def by_triples(self, words: list[str] | list[bytes]) -> tuple[str | None, float]:
+    def by_triples(self, words: list[bytes]) -> tuple[str | None, float]:
         """The same by letter triples."""
         table, found = self.triples, []
         for w in set(words):
-            t = f" {w.decode() if isinstance(w, bytes) else w} "
+            t = f" {w.decode()} "
             found += [v for i in range(len(t) - 2) if (v := table.get(t[i : i + 3])) is not None]
         return self._best([sum(x) for x in zip(*found, strict=True)], len(found))
 
@@ -107,12 +110,9 @@ def language_model(records: DataFrame, manifest: DataFrame, per_language: int =
     return LanguageModel(texts)
 
 
-def _letters(text: str) -> str:
-    return "".join(_WORDS(text.lower()))
-
-
-def _signature(words: list[str], question: set[str]) -> str:
-    return " ".join("#" if w in question else w for w in words)
+def _signature(words: list[bytes], question: set[bytes]) -> bytes:
+    """The answer with the question's words blanked."""
+    return b" ".join(b"#" if w in question else w for w in words)
 
 
 def last_line(text: str) -> str:
@@ -128,7 +128,7 @@ class Question:
     """A pair's question: its words, and the language they are of."""
 
     def __init__(self, text: str, languages: LanguageModel):
-        self.words = _WORDS(text.lower())
+        self.words = plain_words(text)
         self.set = set(self.words)
         self.language = None
         if len(self.words) >= 3:
@@ -136,12 +136,13 @@ class Question:
             self.language = language if odds > 1.5 else None
 
 
-def judge_pair(question: Question, answer: str | None, group: str, endings: EndingModel, languages: LanguageModel, volume: str | None) -> dict:
+def judge_pair(question: Question, answer: str | None, group: str, endings: EndingModel, languages: LanguageModel) -> dict:
     """Votes of the labelling functions that need no other record, by defect."""
     seen = visible(answer)
-    words = plain_words(seen) if len(seen) > 600 else _WORDS(seen.lower())
+    words = plain_words(seen)
     empty = is_empty(answer, seen)
-    out = {"empty": [int(empty), None if empty and words else int(len(words) == 0)]}
+    letters = len(words) > 3 or any(map(str.isalpha, seen))
+    out = {"empty": [int(empty), None if empty and letters else int(not letters)]}
     # refusal: every sentence declines, apologises or points elsewhere; speech within a story is none
     short = len(seen) <= 600 and len(words) <= 45
     declines = only = False
@@ -155,22 +156,24 @@ def judge_pair(question: Question, answer: str | None, group: str, endings: Endi
     same = contained = covers = False
     if len(seen) <= 600 or len(words) <= 4 * len(question.words) + 8:
         asked = question.set
-        if len(asked.intersection(words if isinstance(words[:1] and words[0], str) else [w.decode() for w in words])) >= 0.6 * len(asked):
-            bare = _PREFIX.sub("", seen)
-            a, q = _letters(bare), "".join(question.words)
-            said = set(_WORDS(bare.lower()))
+        if len(asked.intersection(words)) >= 0.6 * len(asked):
+            bare = plain_words(_PREFIX.sub("", seen))
+            a, q = b"".join(bare), b"".join(question.words)
+            said = set(bare)
             same = bool(q) and a in (q, q * 2, q * 3)
             contained = len(words) >= 3 and bool(said) and len(said - asked) <= len(said) // 20 and len(said) >= 0.6 * len(asked)
             covers = bool(asked) and len(asked & said) >= 0.85 * len(asked) and len(said) <= 1.3 * len(asked) + 2
     out["copy"] = [int(same), int(contained), int(covers)]
     # language: letters are asked only where words don't settle it
+    spoken = None
     if len(words) >= 4 and len(question.words) >= 3:
         lq = question.language
         la, ma = languages.by_words(words)
         ta = mt = None
         if lq and (la != lq or ma <= 3.0):
             ta, mt = languages.by_triples(words)
-        out["language"] = [int(la != lq and ma > 3.0) if lq and la else None, int(ta != lq and mt > 3.0) if ta else None, int(ma > 3.0 and la != volume) if volume and la else None]
+        out["language"] = [int(la != lq and ma > 3.0) if lq and la else None, int(ta != lq and mt > 3.0) if ta else None, None]
+        spoken = la if la and ma > 3.0 else None
     else:
         out["language"] = [0, 0, None]
     # truncated
@@ -185,6 +188,7 @@ def judge_pair(question: Question, answer: str | None, group: str, endings: Endi
         "votes": out,
         "signature": xxhash.xxh3_64_intdigest(_signature(words, question.set)) - (1 << 63) if short and 2 <= len(words) else None,
         "tail": _line_key(tail) if tail and not listing else None,
+        "spoken": spoken,
         "ending": (min(truncation.LONGEST, len(answer or "")), min(truncation.LONGEST, len(e.body)), e.kind, e.score),
     }
 
@@ -197,43 +201,45 @@ def pair_votes(records: DataFrame, manifest: DataFrame) -> DataFrame:
     counts = count_words(records, truncation.GROUPS | {"output": ""})
     known = spark.sparkContext.broadcast(frequent(cut(counts)))
     languages = spark.sparkContext.broadcast(language_model(records, manifest))
-    latest = manifest.where("output_json is not null").groupBy("output_json").agg(F.max_by("lang", F.struct("generated_at", "manifest_row")).alias("lang"))
-    rows = records.where("alt_question_1 is not null").join(latest, records["source_file"] == latest["output_json"], "left")
-    src = rows.select("row_no", "source_file", "lang", *(F.col(c).cast("string").alias(c) for c in ("alt_question_1", "summary", "output")))
+    src = records.where("alt_question_1 is not null").select("row_no", "source_file", *(F.col(c).cast("string").alias(c) for c in ("alt_question_1", "summary", "output")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         endings, model = EndingModel(known.value), languages.value
         for b in batches:
             rows = []
-            for i, (lang, question, summary, output) in enumerate(zip(*(b.column(c).to_pylist() for c in range(2, 6)), strict=True)):
+            for i, (question, summary, output) in enumerate(zip(*(b.column(c).to_pylist() for c in range(2, 5)), strict=True)):
                 if not visible(question):
                     continue
                 asked = Question(question, model)
                 for field, group, answer in (("summary", "s", summary), ("output", "o", output)):
-                    j = judge_pair(asked, answer, group, endings, model, lang)
-                    rows.append((i, field, j["signature"], j["tail"], xxhash.xxh3_64_intdigest(question) - (1 << 63), *j["ending"], *([-1 if v is None else v for v in j["votes"][d]] for d in DEFECTS)))
-            cols = list(zip(*rows, strict=True)) or [[]] * (9 + len(DEFECTS))
+                    j = judge_pair(asked, answer, group, endings, model)
+                    rows.append((i, field, j["signature"], j["tail"], xxhash.xxh3_64_intdigest(question) - (1 << 63), *j["ending"], j["spoken"], *([-1 if v is None else v for v in j["votes"][d]] for d in DEFECTS)))
+            cols = list(zip(*rows, strict=True)) or [[]] * (10 + len(DEFECTS))
             take = pa.array(cols[0], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(take), b.column(1).take(take), pa.array(cols[1], pa.string()), *(pa.array(cols[k], pa.int64()) for k in (2, 3, 4)), *(pa.array(cols[k], t) for k, t in zip((5, 6, 7, 8), (pa.int32(), pa.int32(), pa.string(), pa.float64()), strict=True)), *(pa.array(c, pa.list_(pa.int8())) for c in cols[9:])],
-                names=["row_no", "source_file", "field", "signature", "tail", "question", "length", "body", "kind", "score", *DEFECTS],
+                [b.column(0).take(take), b.column(1).take(take), pa.array(cols[1], pa.string()), *(pa.array(cols[k], pa.int64()) for k in (2, 3, 4)), *(pa.array(cols[k], t) for k, t in zip((5, 6, 7, 8, 9), (pa.int32(), pa.int32(), pa.string(), pa.float64(), pa.string()), strict=True)), *(pa.array(c, pa.list_(pa.int8())) for c in cols[10:])],
+                names=["row_no", "source_file", "field", "signature", "tail", "question", "length", "body", "kind", "score", "spoken", *DEFECTS],
             )
 
-    schema = "row_no bigint, source_file string, field string, signature bigint, tail bigint, question bigint, length int, body int, kind string, score double, " + ", ".join(f"{d} array<tinyint>" for d in DEFECTS)
+    schema = "row_no bigint, source_file string, field string, signature bigint, tail bigint, question bigint, length int, body int, kind string, score double, spoken string, " + ", ".join(f"{d} array<tinyint>" for d in DEFECTS)
     votes = cut(src.mapInArrow(run, schema))
     # the same short answer to different questions; a last line that ends other records of the file too is a notice, not a stump
+    volumes = manifest.where("output_json is not null").groupBy(F.col("output_json").alias("source_file")).agg(F.max_by("lang", F.struct("generated_at", "manifest_row")).alias("volume"))
     stock = votes.where("signature is not null").select("signature", "question").distinct().groupBy("signature").agg(F.count(F.lit(1)).alias("n_questions")).where("n_questions >= 4")
-    notices = votes.where("tail is not null").groupBy(F.col("source_file").alias("f"), F.col("tail").alias("t")).agg(F.count_distinct("question").alias("n_tails")).where("n_tails >= 2")
+    notices = votes.where("tail is not null").groupBy("source_file", "tail").agg(F.count_distinct("question").alias("n_tails")).where("n_tails >= 2")
     judged = votes.where("field = 'summary' and kind <> 'empty'").select("row_no", "source_file", "field", "length", "body", "kind", "score")
     summaries = truncation.weighed(judged).select("row_no", "field", "is_cut")
-    out = votes.join(stock, "signature", "left").join(notices, (votes["tail"] == notices["t"]) & votes["source_file"].eqNullSafe(notices["f"]), "left").join(summaries, ["row_no", "field"], "left")
+    out = salted_join(votes, volumes, ["source_file"], "left")
+    out = salted_join(salted_join(out, stock, ["signature"], "left"), notices, ["source_file", "tail"], "left").join(summaries, ["row_no", "field"], "left")
+    lv = F.col("language")
+    other = F.when(F.col("volume").isNull() | (lv[0] < 0), F.lit(-1)).otherwise(F.coalesce((F.col("spoken") != F.col("volume")).cast("int"), F.lit(0))).cast("tinyint")
     repeated = F.when(F.col("signature").isNull(), F.lit(0)).otherwise(F.coalesce((F.col("n_questions") >= 4).cast("int"), F.lit(0))).cast("tinyint")
     notice = F.col("n_tails").isNotNull()
     zero = F.array(*(F.lit(0).cast("tinyint") for _ in FUNCTIONS["truncated"]))
     t = F.col("truncated")
     with_limits = F.when(F.col("field") == "summary", F.array(t[0], t[1], t[2], F.coalesce(F.col("is_cut"), F.lit(False)).cast("tinyint"))).otherwise(F.when(notice, zero).otherwise(t))
     r = F.col("refusal")
-    return out.select("row_no", "field", "empty", F.array(r[0], r[1], repeated, r[3]).alias("refusal"), "copy", "language", with_limits.alias("truncated"))
+    return out.select("row_no", "field", "empty", F.array(r[0], r[1], repeated, r[3]).alias("refusal"), "copy", F.array(lv[0], lv[1], other).alias("language"), with_limits.alias("truncated"))
 
 
 def pair_labels(records: DataFrame, manifest: DataFrame) -> DataFrame:

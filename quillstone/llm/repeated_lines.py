@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.runtime import cut
+from quillstone.runtime import cut, salted_join
 
 _DIGITS = re.compile("[0-9]+").sub
 _SPACES = re.compile(r"[^\S\n]+").sub
@@ -108,10 +108,10 @@ def repeated_lines(records: DataFrame, least_docs: int = 5, share: float = 0.08)
 
     pieces = frequent(lines.select("source_file", "chunk_id", F.explode(F.array_distinct("pieces")).alias("piece")), "piece")
     # at most 1/share times the pieces of a document are frequent in a source
-    known = pieces.groupBy(F.col("source_file").alias("f")).agg(F.collect_list("piece").alias("known"))
-    candidates = lines.join(known, F.col("source_file").eqNullSafe(F.col("f"))).where(F.forall("pieces", lambda p: F.array_contains("known", p))).select("row_no", "source_file", "chunk_id", "line_no", "key")
-    hits = frequent(candidates.select("source_file", "chunk_id", "key"), "key").withColumnsRenamed({"source_file": "f", "key": "k"})
-    return candidates.join(hits, F.col("source_file").eqNullSafe(F.col("f")) & (F.col("key") == F.col("k"))).select("row_no", "source_file", "line_no", "n_docs")
+    known = pieces.groupBy("source_file").agg(F.collect_list("piece").alias("known"))
+    candidates = salted_join(lines, known, ["source_file"]).where(F.forall("pieces", lambda p: F.array_contains("known", p))).select("row_no", "source_file", "chunk_id", "line_no", "key")
+    hits = frequent(candidates.select("source_file", "chunk_id", "key"), "key")
+    return salted_join(candidates, hits, ["source_file", "key"]).select("row_no", "source_file", "line_no", "n_docs")
 
 
 def without_repeated_lines(records: DataFrame, found: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillstone.functions.text import token_count
+from quillstone.runtime import salted_join
 
 _TOKENS = regex.compile(r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\p{White_Space}\x1c-\x1f]")
 _ENDS = frozenset(".!?…。！？")
@@ -124,9 +125,11 @@ def oversized(records: DataFrame, status: DataFrame) -> DataFrame:
     before tokens are counted.
     """
     caps = _caps(status.where("updated_at is not null")).where("cap is not null")
-    rows = records.select("row_no", "source_file", "chunk_start", "chunk_end", F.col("output").cast("string").alias("output"))
+    least = caps.agg(F.min("cap").alias("least_cap"))  # a single row: texts below every cap are not joined at all
+    rows = records.select("row_no", "source_file", "chunk_start", "chunk_end", F.col("output").cast("string").alias("output")).where("source_file is not null")
+    rows = rows.crossJoin(F.broadcast(least)).where(F.length("output") > F.col("least_cap")).drop("least_cap")
     return (
-        rows.join(caps.select("source_file", "cap"), "source_file").where(F.length("output") > F.col("cap"))
+        salted_join(rows, caps.select("source_file", "cap"), ["source_file"]).where(F.length("output") > F.col("cap"))
         .withColumn("n_tokens", token_count(F.col("output"))).where("n_tokens > cap")
     )
 
@@ -174,7 +177,7 @@ def split_oversized(records: DataFrame, status: DataFrame, profiles: DataFrame,
 def with_file_counts(parts: DataFrame) -> DataFrame:
     """``parts`` with ``oversized_before``: the file's number of oversized rows, aggregated before the join."""
     per_file = parts.where("part_index = 1").groupBy("source_file").agg(F.count(F.lit(1)).alias("oversized_before"))
-    return parts.join(per_file, "source_file")
+    return salted_join(parts, per_file, ["source_file"])
 
 
 def file_report(records: DataFrame, status: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillstone.runtime import salted_join
+
 from .tokenizer import PRE_TOKEN, TOKENIZER_DIR, read_ranks
 
 
@@ -63,7 +65,7 @@ def token_budget(records: DataFrame, manifest: DataFrame, vocabulary: str = f"{T
     base = records.select(
         F.col("source_file"), _squeezed(F.col("source_title")).alias("title"),
         F.nullif(F.col("output").cast("string"), F.lit("")).alias("text"),
-    ).withColumn("h", F.sha2("text", 256))
+    ).withColumn("h", F.unhex(F.sha2("text", 256)))
     counted = count_tokens(base.where("h is not null").groupBy("h").agg(F.first("text").alias("text")), "text", vocabulary)
 
     spelled = base.groupBy("source_file", F.lower("title").alias("title_key"), "title").count()
@@ -75,7 +77,7 @@ def token_budget(records: DataFrame, manifest: DataFrame, vocabulary: str = f"{T
 
     many = base.groupBy("source_file", F.lower("title").alias("title_key"), "h").agg(F.count(F.lit(1)).alias("n"))
     rows = (
-        many.join(counted, "h", "left").join(dims, "source_file", "left")
+        salted_join(many.join(counted, "h", "left"), dims, ["source_file"], "left")
         .select("source_file", "title_key", "lang", "domain", "h", "n", F.coalesce("n_tokens", F.lit(0)).alias("t"))
     )
     sets = {"file": ["source_file", "title_key", "lang", "domain"], "source": ["source_file", "lang", "domain"], "language": ["lang"], "domain": ["domain"], "language_domain": ["lang", "domain"], "total": []}

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.runtime import cut
+from quillstone.runtime import cut, salted_join
 
 from .wordstats import EndingModel, count_words, frequent
 
@@ -148,11 +148,10 @@ def weighed(judged: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(length, pa.int32()), pa.array(posterior, pa.float64())], names=["f", "g", "limit", "posterior"])
 
     found = per.mapInArrow(run, "f string, g string, limit int, posterior double")
-    same = F.col("source_file").eqNullSafe(F.col("f")) & (F.col("field") == F.col("g"))
     # at most a few limits per source and field, so the join does not multiply rows before the aggregate picks one
-    per_source = found.groupBy("f", "g").agg(F.map_from_entries(F.collect_list(F.struct("limit", "posterior"))).alias("limits"))
+    per_source = found.groupBy(F.col("f").alias("source_file"), F.col("g").alias("field")).agg(F.map_from_entries(F.collect_list(F.struct("limit", "posterior"))).alias("limits"))
     p = F.coalesce(F.col("limits")[F.col("length")], F.col("limits")[F.col("body")], F.col("limits")[F.col("length") - 1])
-    at_limit = judged.join(per_source, same, "left").withColumn("posterior", p)
+    at_limit = salted_join(judged, per_source, ["source_file", "field"], "left").withColumn("posterior", p)
     odds = F.when(F.col("posterior").isNull(), F.lit(PRIOR)).otherwise(F.greatest(F.lit(PRIOR), F.least(F.lit(4.0), F.log(F.col("posterior") / (1.0001 - F.col("posterior"))))))
     total = F.col("score") + odds
     return at_limit.select("row_no", "source_file", "field", "length", "kind", "posterior", total.alias("score"), (total > CUTOFF).alias("is_cut"))
