@@ -48,6 +48,7 @@ _DECLINES = re.compile(
 _SPLIT = re.compile(r"(?<=[.!?])\s+")
 _SPOKEN = re.compile(r"[“\"«„][^”\"»“]{5,200}[,.!?]?[”\"»“],?\s+\w+")
 _LISTING = re.compile(r"^\s*(?:[-*•]?\s*[\w.]+\s*=\s*\S+.*|\W*[0-9a-fA-F]{1,8}(?:[\s:|,;.-]+[0-9a-fA-F]{1,8})*\W*|[A-Za-z0-9+/]{16,}={0,2}|[$#>`|\\{}<].*|.*[|\t].*[|\t].*|\W*|.*[{};]\s*)$")
+_KEYWORDS = re.compile(r"^[^.!?:]{2,40}:\s*[^.!?,]+(?:,\s*[^.!?,]+){2,}$")
 _PREFIX = re.compile(r"^\s*(?:q|question|frage|pregunta|f|p)\s*[:.]\s*", re.I)
 
 
@@ -60,6 +61,7 @@ class LanguageModel:
         triples = {x: Counter(t[i : i + 3] for w, n in c.items() for t in (f" {w} ",) for i in range(len(t) - 2) for _ in range(min(n, 20))) for x, c in words.items()}
         self.words, self.triples = self._table(words, _WORD_SHARE), self._table(triples, 0.0)
         self.words = {w.encode(): v for w, v in self.words.items()}
+        self.known = frozenset(self.words)
 
     def _table(self, counts: dict[str, Counter], share: float) -> dict[str, tuple[float, ...]]:
         """Log probabilities by language of what makes up at least ``share`` of one language, and occurs at least three times."""
@@ -73,7 +75,7 @@ class LanguageModel:
     def by_words(self, words: list[bytes]) -> tuple[str | None, float]:
         """The likeliest language by the words known, and its log odds against the next."""
         table = self.words
-        found = [v for w in set(words) if (v := table.get(w)) is not None]
+        found = [table[w] for w in self.known.intersection(words)]
         return self._best([sum(x) for x in zip(*found, strict=True)], len(found))
 
     def by_triples(self, words: list[bytes]) -> tuple[str | None, float]:
@@ -179,7 +181,7 @@ def judge_pair(question: Question, answer: str | None, group: str, endings: Endi
     # truncated
     e = endings.judge(answer, group, seen)
     tail = last_line(seen) if group == "o" and e.kind == "open" else ""
-    listing = bool(tail) and bool(_LISTING.match(tail))
+    listing = bool(tail) and bool(_LISTING.match(tail) or e.stump < 6 and _KEYWORDS.match(tail))
     score = e.score
     if group == "o":
         score = -8.0 if listing else {"open": max(1.5, score), "marked": score, "terminal": score - 0.5, "empty": -20.0}[e.kind]

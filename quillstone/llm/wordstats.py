@@ -24,6 +24,8 @@ _INVISIBLE = re.compile("[\\s​-‏⁠﻿­᠎]+")
 #: What stands for a missing value.
 STAND_INS = frozenset(("n/a", "na", "n.a.", "n. a.", "null", "none", "nil", "nan", "-", "--", "---", "–", "—", "...", "…", "?", "??", "tbd", "todo", "unknown", "undefined", "missing", "empty", "no answer", "[no answer]", "(no answer)", "[empty]", "not available", "keine angabe", "k. a.", "k.a.", "sin respuesta", "sans réponse", "s.o.", "s/o", "n/d", "keine antwort", "pas de réponse", "no data", "#n/a"))
 _MARK = re.compile(r"\s*(?:[\[(<{]\s*(?:\.{2,}|…|truncated|cut(?: off)?|more|continued|snip|gekürzt|abgeschnitten|tronqué|coupé|truncado|cortado|suite|fortsetzung|\+\d+ chars?)\s*[\])>}]|\.{3,}|…|(?:\.\s){2}\.|(?:read|see) more|>>|→|-->)\s*$", re.I)
+#: Characters with which a mark of omission can end.
+_MARK_ENDS = frozenset(".…])>}→Ee")
 _QUOTES = "\"'“”„«»‘’‚‹›"
 _SENTENCE = re.compile(r"(?<=[^\W\d_]{2}[.!?])[”\"»’]*\s+(?=[“\"«„‘¿¡]?[^\W\d_])|(?<=[^\W\d_] [.!?])[”\"»’]*\s+(?=[^\W\d_])|(?<=[)”»][.!?])\s+(?=[^\W\d_])")
 _BEFORE, _AFTER = " \t\n¿¡" + _QUOTES, " )\n\t" + _QUOTES
@@ -168,26 +170,25 @@ class EndingModel:
         self.longer[stem] = best
         return best
 
-    def broken_word(self, body: str) -> float:
-        """Log odds that the last word is a stump."""
-        ws = _TOKENS(body[-200:].lower())
-        ws = [w for w in ws if w not in ".!?\n"]
+    def last_words(self, body: str) -> list[str]:
+        return [w for w in _TOKENS(body[-80:].lower()) if w not in ".!?\n"][-2:]
+
+    def broken_word(self, ws: list[str]) -> float:
+        """Log odds that the last of the words that end a text is a stump."""
         if not ws:
             return 0.0
         last, prev = ws[-1], ws[-2] if len(ws) > 1 else None
         if not last.isalpha() and not any(map(str.isalpha, last)):
             return 0.0
         known = self.n.get(last, 0)
-        final = self.n.get(last + " .", 0)
         if prev and self._continues(f"{prev} {last}") > _STUMP * self.n.get(f"{prev} {last}", 0):
-            return 8.0 if final <= 0.05 * known or self._continues(last) > _STUMP * known else 2.0
+            return 8.0 if self.n.get(last + " .", 0) <= 0.05 * known or self._continues(last) > _STUMP * known else 2.0
         if self._continues(last) > _STUMP * known:
             return 6.0
         return 1.5 if not known else 0.0
 
-    def unfinished(self, body: str) -> float:
+    def unfinished(self, ws: list[str]) -> float:
         """Log odds from how seldom the last word stands before a sentence end."""
-        ws = [w for w in _TOKENS(body[-200:].lower()) if w not in ".!?\n"]
         if not ws:
             return 0.0
         known, final = self.n.get(ws[-1], 0), self.n.get(ws[-1] + " .", 0)
@@ -203,18 +204,19 @@ class EndingModel:
         if is_empty(text, seen):
             return Ending("empty", "", -20.0)
         body, marked = seen, False
-        while m := _MARK.search(tail := body.rstrip(_QUOTES + " ")[-60:]):
+        while (tail := body.rstrip(_QUOTES + " ")[-60:]) and (tail[-1] != "." or tail[-2:-1] in (".", " ")) and tail[-1] in _MARK_ENDS and (m := _MARK.search(tail)):
             body, marked = body.rstrip(_QUOTES + " ")[: m.start() - len(tail)], True
             if not body.strip():
                 return Ending("empty", "", -20.0)
         core = body.rstrip(_QUOTES + " )\n\t")
         ends = core[-1:] in ("." , "!", "?", "。", "！", "？")
         if marked:
-            stump = self.broken_word(core.rstrip(".!?"))
+            stump = self.broken_word(self.last_words(core))
             return Ending("marked", body, -4.0 if ends and stump < 5 else 7.0, stump)
-        stump = self.broken_word(core.rstrip(".!?"))
+        ws = self.last_words(core)
+        stump = self.broken_word(ws)
         if ends:
-            whole = -5.0 + stump + (self.unfinished(core[:-1]) if core[-1] == "." else 0.0)
+            whole = -5.0 + stump + (self.unfinished(ws) if core[-1] == "." else 0.0)
             return Ending("terminal", body, whole, stump)
         # the value's first word and that of what follows its last sentence end: labels and keyword lists begin with words that sentences don't
         parts = [seen, *_SENTENCE.split(core)[1:][-1:]]
