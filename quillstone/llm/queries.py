@@ -108,12 +108,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 _TOKENS = r"len(regexp_extract_all({}, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_\p{{Z}}\x{{9}}-\x{{D}}\x{{1C}}-\x{{1F}}\x{{85}}]'))"
-_CAPS = "(SELECT source_file, arg_max(token_cap, (updated_at, status_id)) AS cap, arg_max(oversized_before, (updated_at, status_id)) AS recorded FROM stage5_status WHERE updated_at IS NOT NULL GROUP BY source_file)"
+_CAPS = "(SELECT source_file, token_cap AS cap, oversized_before AS recorded FROM stage5_status WHERE updated_at IS NOT NULL QUALIFY row_number() OVER (PARTITION BY source_file ORDER BY updated_at DESC, status_id DESC) = 1)"
 
 
 def oracle_sql() -> dict[str, str]:
     tokens = _TOKENS.format("output")
+    words = r"regexp_extract_all(replace(strip_accents(lower(text)), 'ß', 'ss'), '[\p{L}\p{N}]+')"
     return {
+        "p9_found": f"""WITH d AS (SELECT doc_id, {words} AS w FROM documents WHERE text IS NOT NULL), i AS (SELECT item_id, {words} AS w FROM eval_items WHERE text IS NOT NULL),
+            dg AS (SELECT doc_id, array_to_string(w[k : k + 9], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 8)) AS k FROM d)), ig AS (SELECT item_id, array_to_string(w[k : k + 9], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 8)) AS k FROM i))
+            SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)""",
         "p2_found": f"SELECT row_no FROM ingest_records r JOIN {_CAPS} c USING (source_file) WHERE {tokens} > cap",
         "p2_files": f"""SELECT c.source_file, c.cap AS token_cap, count(row_no) AS n_rows, count(*) FILTER ({tokens} > cap) AS oversized_before, any_value(recorded) AS oversized_recorded
             FROM {_CAPS} c LEFT JOIN ingest_records r USING (source_file) WHERE cap IS NOT NULL GROUP BY ALL""",
