@@ -71,7 +71,7 @@ def ship(spark: SparkSession) -> None:
 
 
 #: Copies of a small side's rows in a salted join; a hot key of the large side is spread over as many tasks.
-JOIN_SALTS = 16
+JOIN_SALTS = 8
 
 
 def salted_join(large: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

@@ -130,3 +130,82 @@ def tolerant_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def alias_option(options: dict, *names: str, default: object = None) -> object:
     """The first of several spellings that is set, false and 0 included."""
     return next((options[n] for n in names if options.get(n) is not None), default)
+
+
+def find_manifest(*folders: str, name: str = "stage1_json_manifest.json") -> str:
+    """The one manifest in the first folder that has any; more than one below it is an error. Driver-side."""
+    from pathlib import Path
+
+    for folder in filter(None, folders):
+        if (direct := Path(folder) / name).is_file():
+            return str(direct)
+        below = sorted(Path(folder).glob(f"*/{name}"))
+        if len(below) > 1:
+            raise ValueError(f"more than one manifest below {folder}")
+        if below:
+            return str(below[0])
+    raise FileNotFoundError(name)
+
+
+#: Scalar types of the model file format by number (struct codes).
+_GGUF_SCALARS = {0: "B", 1: "b", 2: "H", 3: "h", 4: "I", 5: "i", 6: "f", 7: "?", 10: "Q", 11: "q", 12: "d"}
+
+
+def parse_gguf(data: bytes) -> tuple[dict[str, object], list[tuple[str, list[int], int]]]:
+    """Metadata and tensors ``(name, shape, type number)`` of the head of a GGUF file, version 2 or later; a broken head raises ValueError."""
+    if data[:4] != b"GGUF":
+        raise ValueError("not a GGUF file")
+    at = 4
+
+    def take(code: str) -> int | float | bool:
+        nonlocal at
+        (x,) = struct.unpack_from("<" + code, data, at)
+        at += struct.calcsize("<" + code)
+        return x
+
+    def text() -> str:
+        nonlocal at
+        n = take("Q")
+        if at + n > len(data):
+            raise ValueError("GGUF head ends early")
+        at += n
+        return data[at - n : at].decode("utf-8", "replace")
+
+    def value(kind: int) -> object:
+        if kind == 8:
+            return text()
+        if kind == 9:
+            inner, n = take("I"), take("Q")
+            return [value(inner) for _ in range(n)]
+        return take(_GGUF_SCALARS[kind])
+
+    try:
+        take("I")
+        n_tensors, n_pairs = take("Q"), take("Q")
+        pairs = {}
+        for _ in range(n_pairs):
+            key = text()
+            pairs[key] = value(take("I"))
+        tensors = []
+        for _ in range(n_tensors):
+            name = text()
+            shape = [take("Q") for _ in range(take("I"))]
+            kind = take("I")
+            take("Q")
+            tensors.append((name, shape, kind))
+        return pairs, tensors
+    except (struct.error, KeyError) as e:
+        raise ValueError("GGUF head ends early") from e
+
+
+def gguf_tensors(spark: SparkSession, path: str) -> DataFrame:
+    """``path, name, shape, kind`` of the tensors of GGUF files, a task per file; names without ``.weight``."""
+    src = spark.read.format("binaryFile").load(path).select("path", "content")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for p, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                rows = parse_gguf(content.as_py())[1]
+                yield pa.RecordBatch.from_arrays([pa.array([p] * len(rows), pa.string()), pa.array([r[0].removesuffix(".weight") for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.int64())), pa.array([r[2] for r in rows], pa.int32())], names=["path", "name", "shape", "kind"])
+
+    return src.mapInArrow(run, "path string, name string, shape array<bigint>, kind int")

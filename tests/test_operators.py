@@ -234,3 +234,14 @@ def test_reports(spark):
     s = spark.createDataFrame([("f", 1, 1, "a"), ("f", 1, 0, "b"), ("g", 1, 0, None)], "pass string, code int, new_blocks int, x string")
     assert {(r["pass"], r.new_blocks, r.n_failed, r.n_without_blocks) for r in reports.pass_totals(s).collect()} == {("f", 1, 2, 1), ("g", 0, 1, 1)}
     assert {(r.status, r.n) for r in reports.status_counts(s, "x").collect()} == {("a", 1), ("b", 1), ("unknown", 1)}
+
+
+def test_salted_join(spark):
+    from quillstone.runtime import salted_join
+
+    large = spark.createDataFrame([("a", i) for i in range(50)] + [(None, 1), ("c", 2)], "k string, v int")
+    small = spark.createDataFrame([("a", 1.0), (None, 2.0), ("b", 3.0)], "k string, x double")
+    assert sorted((r.k or "", r.x) for r in salted_join(large, small, ["k"]).collect()) == [("", 2.0)] + [("a", 1.0)] * 50
+    left = salted_join(large, small, ["k"], "left")
+    assert left.columns == ["k", "v", "x"] and left.count() == 52 and left.where("x is null").count() == 1
+    assert salted_join(large.where("false"), small, ["k"]).count() == 0
