@@ -192,7 +192,7 @@ def repairs(documents: DataFrame) -> DataFrame:
             for t, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 for name, restored in channel.candidates(t):
                     words = changed_words(t, restored)
-                    before = [w.lower() for w in _WORD.findall(t) if LOST not in w]
+                    before = [w for w in changed_words(restored, t) if LOST not in w]
                     rows.append((t, n, name, restored, words, before, is_quoted(t, restored), _letters_alone(restored)))
             cols = list(zip(*rows, strict=True)) or [[]] * 8
             kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string()), pa.bool_(), pa.bool_())
@@ -206,12 +206,14 @@ def repairs(documents: DataFrame) -> DataFrame:
         F.count("key").alias("n_words"), F.count("word").alias("n_known"), F.coalesce(F.min("n"), F.lit(0)).alias("least"),
         F.collect_list(F.when(F.col("key").contains(LOST) & F.col("word").isNotNull(), F.struct("key", "word"))).alias("filled"),
     )
-    best = found.join(weighed, ["token", "restored"])
+    # the words as they stand, where they have letters beyond ASCII: a word of the corpus is not repaired to a rarer one
+    stands = found.where(F.size("before") > 0).select("token", "restored", F.explode("before").alias("key")).join(vocabulary, "key").groupBy("token", "restored").agg(F.max("n").alias("n_before"))
+    best = found.join(weighed, ["token", "restored"]).join(stands, ["token", "restored"], "left")
     multi, lost, mark = F.col("channel") == "utf-8", F.col("restored").contains(LOST), F.col("channel") == "question mark"
     known = (F.col("n_words") > 0) & (F.col("n_known") == F.col("n_words"))
     control = F.col("token").rlike("[\\u0080-\\u009f]")
-    # a word as it stands occurs about as often as its token; one garbled the same way throughout is still far rarer than its whole form
-    rarer = F.col("least") >= F.greatest(F.lit(2), 3 * F.col("n"))
+    # a word garbled the same way throughout is still far rarer than its whole form
+    rarer = F.col("least") >= F.greatest(F.lit(2), 3 * F.coalesce("n_before", "n"))
     take = multi | (F.col("channel") == "lost") | (known & rarer & (~mark | (F.col("least") >= 3)))
     ranked = best.where(take | control).select(
         "token", "restored", "channel", "filled", F.col("quoted").alias("quoted"), "alone", known.alias("known"), lost.alias("lost"),

@@ -39,6 +39,9 @@ def test_garbled_documents(spark):
         101: "FÃ¼r die PrÃ¼fsummen gilt", 102: "Das CafÃƒÂ© Ã¶ffnet", 103: "F├╝r die Pr├╝fsummen", 104: "Pr�fsummen gilt", 105: "die Pr?fsummen", 106: "Prьfsummen", 107: "F\x81r die Pr\x81fsummen",
     }
     clean = {201: "Als Latin-1 gelesen wird aus ü die Folge „Ã¼“.", 202: "Kommt er? Ja.", 203: None, 204: "", 205: "the sign is “�”.", 206: "see page?id=3"}
+    # a rare token of a frequent word, while a garbled form of the word is frequent too
+    garbled |= {i: "die Prьfsummen gelten" for i in range(301, 305)}
+    clean |= {207: "der Prüfsummen</think> wegen"}
     df = spark.createDataFrame(rows + [*garbled.items(), *clean.items()], "doc_id bigint, text string")
     got = {r.doc_id: r.text for r in encoding_repair.garbled_documents(df).collect()}
     assert set(got) == set(garbled)
