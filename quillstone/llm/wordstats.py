@@ -76,7 +76,8 @@ def count_words(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
     Keys: ``w`` a word in lower case; ``w x`` a pair; ``w .`` a word before a
     sentence end; ``^g w`` and ``^g w .``: a value of group g that begins with
-    w, and one that also ends with a sentence end. Counted per task before the
+    w, and one that also ends with a sentence end; ``^g w ?``: with a question
+    mark. Counted per task before the
     shuffle.
     """
     src = df.select(*(F.col(c).cast("string").alias(c) for c in columns))
@@ -118,8 +119,11 @@ def count_words(df: DataFrame, columns: dict[str, str]) -> DataFrame:
                 for t in texts:
                     if first := t[:120].lstrip(_BEFORE).split(None, 1):
                         firsts[f"^{g} {first[0].lower()}"] += 1
-                        if t[-12:].rstrip(_AFTER)[-1:] in (".", "!", "?"):
+                        end = t[-12:].rstrip(_AFTER)[-1:]
+                        if end in (".", "!", "?"):
                             firsts[f"^{g} {first[0].lower()} ."] += 1
+                        if end == "?":
+                            firsts[f"^{g} {first[0].lower()} ?"] += 1
             if len(pairs) + len(singles) > 600_000:
                 yield flush()
         yield flush()
@@ -216,7 +220,12 @@ class EndingModel:
         ws = self.last_words(core)
         stump = self.broken_word(ws)
         if ends:
-            whole = -5.0 + stump + (self.unfinished(ws) if core[-1] == "." else 0.0)
+            whole = -5.0 + stump
+            if core[-1] == ".":
+                # a full stop where values that begin so end in a question mark was put there later
+                first = seen.lstrip(_BEFORE).split(None, 1)[:1]
+                n, asks = (self.n.get(f"^{group} {first[0].lower()}{x}", 0) for x in ("", " ?")) if first else (0, 0)
+                whole += 6.0 if n >= 20 and asks > 0.7 * n else self.unfinished(ws)
             return Ending("terminal", body, whole, stump)
         # the value's first word and that of what follows its last sentence end: labels and keyword lists begin with words that sentences don't
         parts = [seen, *_SENTENCE.split(core)[1:][-1:]]
