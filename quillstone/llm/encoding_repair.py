@@ -200,7 +200,7 @@ def repairs(documents: DataFrame) -> DataFrame:
 
     schema = "token string, n bigint, channel string, restored string, words array<string>, before array<string>, quoted boolean, alone boolean"
     found = tokens.where(F.col("token").rlike(SUSPECT)).mapInArrow(run, schema)
-    vocabulary = _vocabulary(tokens)
+    vocabulary = cut(_vocabulary(tokens))  # looked up twice
     asked = found.select("token", "restored", F.explode_outer("words").alias("key"))
     weighed = asked.join(vocabulary, "key", "left").groupBy("token", "restored").agg(
         F.count("key").alias("n_words"), F.count("word").alias("n_known"), F.coalesce(F.min("n"), F.lit(0)).alias("least"),
@@ -211,12 +211,12 @@ def repairs(documents: DataFrame) -> DataFrame:
     best = found.join(weighed, ["token", "restored"]).join(stands, ["token", "restored"], "left")
     multi, lost, mark = F.col("channel") == "utf-8", F.col("restored").contains(LOST), F.col("channel") == "question mark"
     known = (F.col("n_words") > 0) & (F.col("n_known") == F.col("n_words"))
-    control = F.col("token").rlike("[\\u0080-\\u009f]")
+    control = F.col("token").rlike("[\\u0080-\\u0084\\u0086-\\u009f]")  # 85 is a line end
     # a word garbled the same way throughout is still far rarer than its whole form
     rarer = F.col("least") >= F.greatest(F.lit(2), 3 * F.coalesce("n_before", "n"))
     take = multi | (F.col("channel") == "lost") | (known & rarer & (~mark | (F.col("least") >= 3)))
     ranked = best.where(take | control).select(
-        "token", "restored", "channel", "filled", F.col("quoted").alias("quoted"), "alone", known.alias("known"), lost.alias("lost"),
+        "token", "restored", "channel", "filled", "quoted", "alone", known.alias("known"), lost.alias("lost"),
         F.struct(multi.cast("int"), (known & rarer).cast("int"), F.col("least"), F.negative(F.length("restored")), F.col("restored")).alias("rank"),
     )
     top = ranked.groupBy("token").agg(F.max_by(F.struct("restored", "channel", "filled", "quoted", "alone", "known", "lost"), "rank").alias("b")).select("token", "b.*")

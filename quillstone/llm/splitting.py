@@ -139,17 +139,16 @@ def split_oversized(records: DataFrame, status: DataFrame, profiles: DataFrame,
 
     Columns: ``row_no, source_file, chunk_start, chunk_end, part_index`` (from
     1), ``part_count, part_tokens, char_start, core_start, char_end`` (offsets
-    in ``output``), ``part_text, n_tokens, token_cap, oversized_before`` (the
-    true number of oversized rows of the file). Records under the cap, null and
-    empty ones give no rows, as do empty tables; repeated rows are each split.
-    The overlap is that of ``profile`` (0 when it is missing). Texts never
-    leave their partition: only per-file counts are shuffled.
+    in ``output``; what stands before ``core_start`` is overlap), ``part_text,
+    n_tokens, token_cap``; ``with_file_counts`` adds the file's true number of
+    oversized rows. Records under the cap, null and empty ones give no rows, as
+    do empty tables; repeated rows are each split. The overlap is that of
+    ``profile`` (0 when it is missing), at most half the cap. Only texts longer
+    than the least cap are joined to their cap; cutting needs no shuffle.
     """
-    spark = records.sparkSession
     overlap = profiles.where(F.col("profile") == profile).agg(F.coalesce(F.max("overlap_tokens"), F.lit(0)).alias("overlap_tokens"))
     over = oversized(records, status).crossJoin(F.broadcast(overlap))  # a single row
     src = over.select("row_no", "source_file", "chunk_start", "chunk_end", "n_tokens", "cap", "output", "overlap_tokens")
-    del spark
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
