@@ -17,6 +17,8 @@ _DIGITS = re.compile("[0-9]+").sub
 _SPACES = re.compile(r"[^\S\n]+").sub
 _LETTERS = 12
 _WINDOW, _AVERAGE, _LEAST = 12, 32, 16
+#: Frequent pieces (8 bytes each) are broadcast up to this many; beyond it lines are joined to them by source.
+PIECES_BROADCAST = 1_000_000
 
 
 def _normal_lines(text: str) -> list[str]:
@@ -97,20 +99,22 @@ def repeated_lines(records: DataFrame, least_docs: int = 5, share: float = 0.08)
     with a third of all rows is spread over all tasks.
     """
     lines = cut(_lines(records))
-    docs = records.where("chunk_id is not null").groupBy("source_file", "chunk_id").agg(F.lit(1).alias("one")).groupBy("source_file").agg(F.count(F.lit(1)).alias("n_all"))
+    source, doc = F.xxhash64("source_file").alias("source"), F.xxhash64("chunk_id").alias("doc")
+    docs = records.where("chunk_id is not null").select("source_file", "chunk_id").distinct().groupBy("source_file").agg(F.count(F.lit(1)).alias("n_all"))
     enough = (F.col("n_docs") >= least_docs) & (F.col("n_docs") >= F.col("n_all") * F.lit(share))
 
-    def frequent(df: DataFrame, what: str) -> DataFrame:
-        """(source, what) in enough different documents."""
-        n = df.where("chunk_id is not null").distinct().groupBy("source_file", what).agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") >= least_docs)
-        d = docs.withColumnRenamed("source_file", "f")
-        return n.join(d, F.col("source_file").eqNullSafe(F.col("f"))).where(enough).select("source_file", what, "n_docs")
-
-    pieces = frequent(lines.select("source_file", "chunk_id", F.explode(F.array_distinct("pieces")).alias("piece")), "piece")
+    # pieces only propose lines, so their sources and documents are counted as 64-bit hashes, a third of the size
+    pieces = lines.where("chunk_id is not null").select(source, doc, F.explode(F.array_distinct("pieces")).alias("piece")).distinct()
+    counted = pieces.groupBy("source", "piece").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") >= least_docs)
+    often = cut(counted.join(docs.select(source, "n_all"), "source").where(enough).select("source", "piece"))
     # at most 1/share times the pieces of a document are frequent in a source
-    known = pieces.groupBy("source_file").agg(F.collect_list("piece").alias("known"))
-    candidates = salted_join(lines, known, ["source_file"]).where(F.forall("pieces", lambda p: F.array_contains("known", p))).select("row_no", "source_file", "chunk_id", "line_no", "key")
-    hits = frequent(candidates.select("source_file", "chunk_id", "key"), "key")
+    known = often.groupBy("source").agg(F.collect_list("piece").alias("known"))
+    asked = lines.withColumn("source", F.xxhash64("source_file"))
+    joined = asked.join(F.broadcast(known), "source") if often.count() <= PIECES_BROADCAST else salted_join(asked, known, ["source"])
+    candidates = joined.where(F.forall("pieces", lambda p: F.array_contains("known", p))).select("row_no", "source_file", "chunk_id", "line_no", "key")
+
+    n = candidates.where("chunk_id is not null").select("source_file", "chunk_id", "key").distinct().groupBy("source_file", "key").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") >= least_docs)
+    hits = salted_join(n, docs, ["source_file"]).where(enough).select("source_file", "key", "n_docs")
     return salted_join(candidates, hits, ["source_file", "key"]).select("row_no", "source_file", "line_no", "n_docs")
 
 

@@ -9,7 +9,7 @@ from quillstone.llm import repeated_lines, scanned
 from .records import records
 
 
-def test_repeated_lines_equal_brute_force(spark):
+def test_repeated_lines_equal_brute_force(spark, monkeypatch):
     rows = []
     for i in range(60):
         lines = [f"Body text {chr(97 + i % 26) * 3} {chr(97 + i // 26) * 4} stands only here and nowhere else."]
@@ -39,6 +39,8 @@ def test_repeated_lines_equal_brute_force(spark):
             if m >= 5 and m >= 0.08 * len(docs[r["source_file"]]):
                 want.add((i, n))
     assert got == want and want
+    monkeypatch.setattr(repeated_lines, "PIECES_BROADCAST", 0)
+    assert {(r.row_no, r.line_no) for r in repeated_lines.repeated_lines(records(spark, rows)).collect()} == want
     left = {r.row_no: r.output for r in repeated_lines.without_repeated_lines(records(spark, rows), repeated_lines.repeated_lines(records(spark, rows))).collect()}
     assert "COPY" not in left[1] and left[2] == rows[1]["output"] and left[62] is None
     assert repeated_lines.repeated_lines(records(spark, rows).where("false")).count() == 0
