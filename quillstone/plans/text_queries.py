@@ -196,7 +196,12 @@ _NOISE = rf"""l AS ({_NORMAL_LINES}), b AS (SELECT source_file, count(DISTINCT c
         z AS (SELECT source_file, line, n_pages FROM f JOIN b USING (source_file) WHERE length(line) <= 90 AND n_pages >= greatest(4, n_all // 4)
               AND (regexp_matches(line, '\bpage\b|^\d+\s*/\s*\d+$|copyright|all rights reserved|©') OR length(regexp_replace(line, '[^A-Za-z]', '', 'g')) < 5))"""
 
+_JOINED = r"regexp_replace(regexp_replace(output, '\r\n?', chr(10), 'g'), '([\p{L}\p{N}_])-\n([\p{L}\p{N}_])', '\1\2', 'g')"
+_UNWRAPPED = rf"regexp_replace(regexp_replace({_JOINED}, '([^\n])\n([^\n])', '\1 \2', 'g'), '([^\n])\n([^\n])', '\1 \2', 'g')"
+
 SQL = {
+    "page_text": rf"""WITH c AS (SELECT chunk_row, trim(regexp_replace(regexp_replace({_UNWRAPPED}, '\n{{3,}}', chr(10) || chr(10), 'g'), '[ \t]+', ' ', 'g'), ' ' || chr(9) || chr(10) || chr(13)) AS t FROM source_chunks WHERE output IS NOT NULL)
+        SELECT chunk_row, length(t)::INT AS n_chars, sha1(t) AS hash FROM c""",
     "noise_lines": f"WITH {_NOISE} SELECT * FROM z",
     "pages_without_noise": f"""WITH {_NOISE}, g AS (SELECT l.source_file, chunk_row, string_agg(l.line, chr(10) ORDER BY i) FILTER (z.line IS NULL) AS t FROM l LEFT JOIN z ON z.source_file = l.source_file AND z.line = l.k GROUP BY 1, 2)
         SELECT source_file, chunk_row, coalesce(length(t), 0)::INT AS n_chars FROM g""",
