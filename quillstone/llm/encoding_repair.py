@@ -162,12 +162,12 @@ def _letters_alone(restored: str) -> bool:
 
 def _vocabulary(tokens: DataFrame) -> DataFrame:
     """Corpus words by key: the word itself, and the word with characters beyond ASCII lost (its most frequent word)."""
-    words = tokens.select("n", F.explode(F.regexp_extract_all("token", F.lit(r"([\p{L}\p{M}]+(?:[’'][\p{L}\p{M}]+)*)"), 1)).alias("word"))
-    forms = words.groupBy("word").agg(F.sum("n").alias("n"))
-    words = forms.groupBy(F.lower("word").alias("key")).agg(F.max_by("word", F.struct("n", "word")).alias("word"), F.sum("n").alias("n"))
-    masked = words.where(r"key rlike '[^\\x00-\\x7f]'").select(F.regexp_replace("key", r"[^\x00-\x7f]", LOST).alias("key"), "word", "n")
-    both = words.select("key", "word", "n").unionByName(masked)
-    return both.groupBy("key").agg(F.max_by("word", F.struct("n", "word")).alias("word"), F.max("n").alias("n"))
+    words = tokens.select("n", "n_rows", F.explode(F.regexp_extract_all("token", F.lit(r"([\p{L}\p{M}]+(?:[’'][\p{L}\p{M}]+)*)"), 1)).alias("word"))
+    forms = words.groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_rows").alias("n_rows"))
+    words = forms.groupBy(F.lower("word").alias("key")).agg(F.max_by("word", F.struct("n", "n_rows", "word")).alias("word"), F.sum("n").alias("n"), F.sum("n_rows").alias("n_rows"))
+    masked = words.where(r"key rlike '[^\\x00-\\x7f]'").select(F.regexp_replace("key", r"[^\x00-\x7f]", LOST).alias("key"), "word", "n", "n_rows")
+    both = words.select("key", "word", "n", "n_rows").unionByName(masked)
+    return both.groupBy("key").agg(F.max(F.struct("n", "n_rows", "word")).alias("v")).select("key", "v.word", "v.n", "v.n_rows")
 
 
 def repairs(documents: DataFrame) -> DataFrame:
@@ -175,14 +175,18 @@ def repairs(documents: DataFrame) -> DataFrame:
 
     Every different token of the corpus is decoded once. A candidate is weighed
     by the corpus frequency of its words against that of the words as they are;
-    lost letters are looked up by the word with a gap. Words are counted over
-    all documents; nothing but the character counts (bounded by the number of
-    Unicode characters) leaves the executors.
+    lost letters are looked up by the word with a gap. Whole texts are hashed
+    (SHA-256): what may be garbled is counted once per distinct text, so that a
+    garbled document stays one however often it was copied, and what vouches
+    for a candidate in every row. Nothing but the character counts (bounded by
+    the number of Unicode characters) leaves the executors.
     """
     spark = documents.sparkSession
     token = F.explode(F.regexp_extract_all(F.col("text").cast("string"), F.lit(f"({TOKEN})"), 1)).alias("token")
-    tokens = cut(documents.where("text is not null").select(token).groupBy("token").agg(F.count(F.lit(1)).alias("n")))
-    chars = tokens.where(r"token rlike '[^\\x00-\\x7f]'").select("n", F.explode(F.split("token", "")).alias("c")).where(r"c rlike '[^\\x00-\\x7f]'").groupBy("c").agg(F.sum("n").alias("n"))
+    whole = documents.where("text is not null").select(F.col("text").cast("string").alias("text"))
+    texts = whole.groupBy(F.unhex(F.sha2("text", 256)).alias("h")).agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+    tokens = cut(texts.select(token, "copies").groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("n_rows")))
+    chars = tokens.where(r"token rlike '[^\\x00-\\x7f]'").select("n_rows", F.explode(F.split("token", "")).alias("c")).where(r"c rlike '[^\\x00-\\x7f]'").groupBy("c").agg(F.sum("n_rows").alias("n"))
     counts = spark.sparkContext.broadcast({r.c: r.n for r in chars.toLocalIterator()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,7 +207,7 @@ def repairs(documents: DataFrame) -> DataFrame:
     vocabulary = cut(_vocabulary(tokens))  # looked up twice
     asked = found.select("token", "restored", F.explode_outer("words").alias("key"))
     weighed = asked.join(vocabulary, "key", "left").groupBy("token", "restored").agg(
-        F.count("key").alias("n_words"), F.count("word").alias("n_known"), F.coalesce(F.min("n"), F.lit(0)).alias("least"),
+        F.count("key").alias("n_words"), F.count("word").alias("n_known"), F.coalesce(F.min("n_rows"), F.lit(0)).alias("least"),
         F.collect_list(F.when(F.col("key").contains(LOST) & F.col("word").isNotNull(), F.struct("key", "word"))).alias("filled"),
     )
     # the words as they stand, where they have letters beyond ASCII: a word of the corpus is not repaired to a rarer one

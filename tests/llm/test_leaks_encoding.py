@@ -50,6 +50,15 @@ def test_garbled_documents(spark):
     assert encoding_repair.garbled_documents(df.where("false")).count() == 0
 
 
+def test_copies_do_not_hide_a_garbled_document(spark):
+    rows = [(i, f"{CLEAN} {i}") for i in range(1, 21)]
+    for garbled in ("die Pr?fsummen gelten", "die PrŸfsummen gelten", "die PrÃ¼fsummen gelten"):
+        for copies in (1, 10):
+            df = spark.createDataFrame(rows + [(100 + i, garbled) for i in range(copies)], "doc_id bigint, text string")
+            got = {r.doc_id: r.text for r in encoding_repair.garbled_documents(df).collect()}
+            assert got == {100 + i: "die Prüfsummen gelten" for i in range(copies)}
+
+
 def test_lattice_decodes_each_code_page():
     channel = encoding_repair.Channel({c: 50 for c in "äöüßéèñ’“”€"})
     for page in ("latin-1", "cp850", "cp437", "mac_roman"):
