@@ -21,8 +21,12 @@ CONFUSIONS = (
 #: A word of the vocabulary makes up at least this share of all words, so that there are at most 1 / SHARE of them.
 SHARE = 1e-6
 LEAST_COUNT = 5
-#: A misread form is this many times rarer than the word it stands for.
+#: A misread form is this many times rarer than the word it stands for; it counts once per distinct text, the word in every row.
 RARER = 20
+#: The same for a form with a digit among its letters, and for one that at most FEW distinct texts have.
+RARER_DIGIT = 5
+RARER_FEW = 10
+FEW = 2
 #: Misread forms that one pass over the texts can look up; more are taken in further passes.
 FORMS_AT_ONCE = 500_000
 
@@ -169,6 +173,13 @@ def wordlike(word: str) -> bool:
     return len(word) >= 3 and not (digits == 0 and len(word) < 4) and digits * 3 < len(word) and not _HEX.fullmatch(word)
 
 
+def rarer(word: str, count: int) -> int:
+    """How many times as frequent the printed word of a misread one is at least."""
+    if any(map(str.isdigit, word)):
+        return RARER_DIGIT
+    return RARER_FEW if count <= FEW else RARER
+
+
 class Vocabulary:
     """Words in a trie, against which Levenshtein automata are intersected."""
 
@@ -216,8 +227,10 @@ class Vocabulary:
     def printed(self, word: str, count: int) -> list[tuple[int, str]]:
         """``(readings, word)`` of the vocabulary words that a scanner can have misread as ``word``, the best first."""
         for errors in (1,) if len(word) < 5 else (2,) if len(word) < 7 else (2, 3):
-            near = (v for v in self.within(word, errors) if v != word and self.counts[v] >= RARER * count)
+            near = (v for v in self.within(word, errors) if v != word and self.counts[v] >= rarer(word, count) * count)
             if found := [(n, v) for v in near if (n := misreadings(v, word)) is not None]:
+                # a candidate that is itself a misread form of another one is none
+                found = [(n, v) for n, v in found if not any(self.counts[w] >= RARER * self.counts[v] and misreadings(w, v) is not None for _, w in found)]
                 return sorted(found, key=lambda f: (f[0], -self.counts[f[1]], f[1]))
         return []
 
@@ -261,40 +274,61 @@ def _pages(b: pa.RecordBatch, vocabulary: dict[str, int] | None) -> Iterator[tup
 
 
 def word_counts(records: DataFrame, texts: DataFrame) -> DataFrame:
-    """``word, n``: all words in lower case of the repaired lines of ``texts`` and of the records' questions and summaries; summed up per task before the shuffle."""
+    """``word, n, n_rows``: all words in lower case of the repaired lines of ``texts`` and of the records' questions and summaries; summed up per task before the shuffle.
 
-    def flush(counts: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([w.decode() for w in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+    ``n`` counts every distinct text once (whole outputs by their SHA-256),
+    ``n_rows`` every row.
+    """
 
-    def of_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        for b in batches:
-            for _, page in _pages(b, None):
-                counts.update(page.words())
-            if len(counts) > 500_000:
-                yield flush(counts)
-                counts.clear()
-        yield flush(counts)
-
-    def of_fields(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        for b in batches:
-            for c in range(b.num_columns):
-                counts.update(plain_words("\n".join([t for t in b.column(c).to_pylist() if t])))
-            if len(counts) > 500_000:
-                yield flush(counts)
-                counts.clear()
-        yield flush(counts)
+    def flush(counts: Counter, more: Counter) -> pa.RecordBatch:
+        n = list(counts.values())
+        rows = [k + more[w] for w, k in counts.items()]
+        return pa.RecordBatch.from_arrays([pa.array([w.decode() for w in counts], pa.string()), pa.array(n, pa.int64()), pa.array(rows, pa.int64())], names=["word", "n", "n_rows"])
+
+    def counted(words_of: Callable) -> Callable:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            counts: Counter = Counter()
+            more: Counter = Counter()
+            for b in batches:
+                for copies, words in words_of(b):
+                    counts.update(words)
+                    if copies > 1:
+                        for w in words:
+                            more[w] += copies - 1
+                if len(counts) > 500_000:
+                    yield flush(counts, more)
+                    counts.clear()
+                    more.clear()
+            yield flush(counts, more)
+
+        return run
+
+    def of_pages(b: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
+        for copies, (_, page) in zip(b.column(5).to_pylist(), _pages(b, None), strict=True):
+            yield copies, page.words()
+
+    def of_fields(b: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
+        single = []
+        for t, copies in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            if copies > 1:
+                yield copies, plain_words(t)
+            else:
+                single.append(t)
+        yield 1, plain_words("\n".join(single))
 
-    fields = records.select(*(F.col(c).cast("string") for c in ("input", "alt_question_1", "alt_question_3")))
-    schema = "word string, n bigint"
-    return texts.mapInArrow(of_pages, schema).unionByName(fields.mapInArrow(of_fields, schema)).groupBy("word").agg(F.sum("n").alias("n"))
+    page = F.struct("row_no", "page_start", "page_end", "titles")
+    outputs = texts.groupBy(F.unhex(F.sha2("output", 256)).alias("h")).agg(F.first("output").alias("output"), F.min_by(page, "row_no").alias("p"), F.count(F.lit(1)).alias("copies"))
+    outputs = outputs.select("p.row_no", "output", "p.page_start", "p.page_end", "p.titles", "copies")
+    fields = records.select(F.explode(F.array(*(F.col(c).cast("string") for c in ("input", "alt_question_1", "alt_question_3")))).alias("text"))
+    fields = fields.where("text <> ''").groupBy("text").agg(F.count(F.lit(1)).alias("copies"))
+    schema = "word string, n bigint, n_rows bigint"
+    return outputs.mapInArrow(counted(of_pages), schema).unionByName(fields.mapInArrow(counted(of_fields), schema)).groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_rows").alias("n_rows"))
 
 
 def _vocabulary(words: DataFrame) -> dict[str, int]:
-    total = words.agg(F.sum("n")).first()[0] or 0
+    total = words.agg(F.sum("n_rows")).first()[0] or 0
     least = max(LEAST_COUNT, int(total * SHARE))
-    return {r.word: r.n for r in words.where((F.col("n") >= least) & ~F.col("word").rlike("^[0-9]+$")).toLocalIterator()}
+    return {r.word: r.n_rows for r in words.where((F.col("n_rows") >= least) & ~F.col("word").rlike("^[0-9]+$")).toLocalIterator()}
 
 
 def misread_forms(words: DataFrame, vocabulary) -> DataFrame:
@@ -313,7 +347,7 @@ def misread_forms(words: DataFrame, vocabulary) -> DataFrame:
     top = max(vocabulary.value.values(), default=0)
     # few distinct words, much work for each: spread over all cores whatever their size in bytes
     cores = words.sparkSession.sparkContext.defaultParallelism
-    rare = words.where((F.col("n") * RARER <= top) & (F.length("word") >= 3)).repartition(2 * cores, "word")
+    rare = words.select("word", "n").where((F.col("n") * min(RARER, RARER_DIGIT, RARER_FEW) <= top) & (F.length("word") >= 3)).repartition(2 * cores, "word")
     return rare.mapInArrow(run, "form string, printed string, choices array<string>")
 
 
@@ -337,8 +371,8 @@ def page_faults(records: DataFrame) -> DataFrame:
 
     Null, empty and clean outputs give no rows; without pages no line counts as
     a page number; a null title is taken from the volume. Copies of a row are
-    cases each. Words are counted over all outputs, questions and titles of the
-    table. The vocabulary is broadcast, having at most 1 / SHARE words; misread
+    cases each, but do not make a misread word more frequent: those are counted
+    over distinct outputs and questions, the words they stand for over all rows. The vocabulary is broadcast, having at most 1 / SHARE words; misread
     forms are broadcast in blocks of a bounded number, one pass each.
     """
     texts, vocabulary, blocks = _prepared(records)

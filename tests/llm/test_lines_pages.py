@@ -121,3 +121,15 @@ def test_page_faults(spark):
     repaired = {r.row_no: (r.kinds, r.text) for r in scanned.repaired_pages(records(spark, rows)).collect()}
     assert repaired == {31: (["ocr"], "The session tokens compare with memory pages.")}
     assert scanned.page_faults(records(spark, rows).where("false")).count() == 0
+
+
+def test_copies_and_uncommon_words(spark):
+    text = "The session tokens compare with memory pages before the nightly job."
+    rows = [{"output": f"{text} {i}.", "page_start": 900, "page_end": 901} for i in range(30)]
+    rows += [{"output": "The sessiori tokens compare with memory pages.", "page_start": 900, "page_end": 901}] * 15
+    assert {(r.row_no, r.kind) for r in scanned.page_faults(records(spark, rows)).collect()} == {(i, "ocr") for i in range(31, 46)}
+    assert {r.text for r in scanned.repaired_pages(records(spark, rows)).collect()} == {"The session tokens compare with memory pages."}
+    # an uncommon word: 29 printed, 3 misread with a digit; 34 printed, 2 misread otherwise
+    known = scanned.Vocabulary({"wrote": 29, "accueil": 34})
+    assert known.printed("wr0te", 3) == [(1, "wrote")] and known.printed("uccueil", 2) == [(1, "accueil")]
+    assert known.printed("wrofe", 3) == [] and known.printed("wr0te", 6) == []
