@@ -72,7 +72,10 @@ def plain_words(text: str) -> list[bytes]:
 
 
 def count_words(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """``key, n`` over all texts of ``columns`` (column -> group; the empty group: single words only).
+    """``key, n`` over the distinct texts of each of ``columns`` (column -> group; the empty group: single words only).
+
+    A value counts once per column, so that copies of a cut one do not make its
+    stump or its first word frequent.
 
     Keys: ``w`` a word in lower case; ``w x`` a pair; ``w .`` a word before a
     sentence end; ``^g w`` and ``^g w .``: a value of group g that begins with
@@ -80,8 +83,9 @@ def count_words(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     mark. Counted per task before the
     shuffle.
     """
-    src = df.select(*(F.col(c).cast("string").alias(c) for c in columns))
     groups = list(columns.values())
+    each = F.explode(F.array(*(F.struct(F.lit(k).alias("c"), F.col(c).cast("string").alias("text")) for k, c in enumerate(columns)))).alias("v")
+    src = df.select(each).select("v.c", "v.text").where("text <> ''").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs: Counter = Counter()
@@ -106,8 +110,10 @@ def count_words(df: DataFrame, columns: dict[str, str]) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(list(out), pa.string()), pa.array(list(out.values()), pa.int64())], names=["key", "n"])
 
         for b in batches:
-            for c, g in enumerate(groups):
-                texts = [t for t in b.column(c).to_pylist() if t]
+            by_column: list[list[str]] = [[] for _ in groups]
+            for c, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                by_column[c].append(t)
+            for g, texts in zip(groups, by_column, strict=True):
                 if not g:
                     for t in texts:
                         parts = unmarked(t, _ONE_END).split(b".")

@@ -100,3 +100,12 @@ def test_label_model_separates_two_kinds():
 def test_stand_ins():
     assert all(map(wordstats.is_empty, (None, "", " \n", "​", "N/A", "null", "[no answer]", "--", "<think>x</think>", "<think>x")))
     assert not any(map(wordstats.is_empty, ("No.", "a", "Yes, always.")))
+
+
+def test_copies_do_not_hide_a_cut_value(spark):
+    rows = corpus()
+    base = rows[0]
+    for copies in (1, 160):
+        hot = [base | {"summary": "Beyond that it treats memo", "chunk_id": f"x{i}"} for i in range(copies)]
+        found = truncation.cut_values(records(spark, rows + hot)).where("is_cut").collect()
+        assert {(r.row_no, r.field) for r in found} == {(len(rows) + 1 + i, "summary") for i in range(copies)}
