@@ -30,6 +30,9 @@ FEW = 2
 #: Misread forms that one pass over the texts can look up; more are taken in further passes.
 FORMS_AT_ONCE = 500_000
 
+#: Confusions by the first letter read.
+_READ_BY = {c: tuple((a, b) for a, b in CONFUSIONS if b[0] == c) for c in {b[0] for _, b in CONFUSIONS}}
+
 _HEX = re.compile(r"[0-9a-f]{2}|(?=[a-f]*[0-9])(?:[0-9a-f]{8}|[0-9a-f]{16,})")
 _NUMBER = re.compile(r"(?P<open>\W*?)(?:(?P<name>page|seite|página|pagina|pág|folio|p|s)\b\.?\s*)?(?P<n>[0-9lIiOoSsBgZz|]{1,6})(?:\s*(?:of|von|de|sur|/)\s*[0-9lIO]{1,6})?(?P<close>\W*)", re.I)
 _DIGITS = str.maketrans("lIi|OoSsBgZz", "111100558922")
@@ -170,7 +173,7 @@ def _ended(line: str) -> bool:
 def wordlike(word: str) -> bool:
     """Whether a word that is not in the vocabulary may be a misread one: letters, few digits, no code."""
     digits = sum(map(str.isdigit, word))
-    return len(word) >= 3 and not (digits == 0 and len(word) < 4) and digits * 3 < len(word) and not _HEX.fullmatch(word)
+    return len(word) >= 3 and digits * 3 < len(word) and not _HEX.fullmatch(word)
 
 
 def rarer(word: str, count: int) -> int:
@@ -181,7 +184,7 @@ def rarer(word: str, count: int) -> int:
 
 
 class Vocabulary:
-    """Words in a trie, against which Levenshtein automata are intersected."""
+    """Words in a trie, against which automata of a read word are intersected."""
 
     def __init__(self, counts: dict[str, int]):
         self.counts = counts
@@ -224,15 +227,44 @@ class Vocabulary:
                     stack.append((child, x, y, z, t))
         return out
 
+    def explained(self, word: str) -> list[tuple[int, str]]:
+        """``(readings, word)`` of every word that confusions turn into ``word``, whatever their number.
+
+        The trie is walked with an automaton that reads ``word`` and for which a
+        confusion is one step: each state is a node, the letters read and the
+        least number of confusions so far.
+        """
+        best: dict[str, int] = {}
+        seen: dict[tuple[int, int], int] = {}
+        stack = [(self.root, 0, 0)]
+        while stack:
+            node, at, n = stack.pop()
+            if seen.get((id(node), at), n + 1) <= n:
+                continue
+            seen[id(node), at] = n
+            if at == len(word):
+                if (v := node.get("")) is not None:
+                    best[v] = min(n, best.get(v, n))
+                continue
+            if (child := node.get(word[at])) is not None:
+                stack.append((child, at + 1, n))
+            for a, b in _READ_BY.get(word[at], ()):
+                if word.startswith(b, at):
+                    child = node
+                    for c in a:
+                        if (child := child.get(c)) is None:
+                            break
+                    else:
+                        stack.append((child, at + len(b), n + 1))
+        return [(n, v) for v, n in best.items()]
+
     def printed(self, word: str, count: int) -> list[tuple[int, str]]:
         """``(readings, word)`` of the vocabulary words that a scanner can have misread as ``word``, the best first."""
-        for errors in (1,) if len(word) < 5 else (2,) if len(word) < 7 else (2, 3):
-            near = (v for v in self.within(word, errors) if v != word and self.counts[v] >= rarer(word, count) * count)
-            if found := [(n, v) for v in near if (n := misreadings(v, word)) is not None]:
-                # a candidate that is itself a misread form of another one is none
-                found = [(n, v) for n, v in found if not any(self.counts[w] >= RARER * self.counts[v] and misreadings(w, v) is not None for _, w in found)]
-                return sorted(found, key=lambda f: (f[0], -self.counts[f[1]], f[1]))
-        return []
+        least = rarer(word, count) * count
+        found = [(n, v) for n, v in self.explained(word) if n and self.counts[v] >= least]
+        # a candidate that is itself a misread form of another one is none
+        found = [(n, v) for n, v in found if not any(self.counts[w] >= RARER * self.counts[v] and misreadings(w, v) is not None for _, w in found)]
+        return sorted(found, key=lambda f: (f[0], -self.counts[f[1]], f[1]))
 
 
 def misreadings(printed: str, read: str) -> int | None:
@@ -332,7 +364,7 @@ def _vocabulary(words: DataFrame) -> dict[str, int]:
 
 
 def misread_forms(words: DataFrame, vocabulary) -> DataFrame:
-    """``form, printed, choices``: misread forms and the words they stand for, by Levenshtein automata over the vocabulary trie."""
+    """``form, printed, choices``: misread forms and the words they stand for, by automata of confusions over the vocabulary trie."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Vocabulary(vocabulary.value)

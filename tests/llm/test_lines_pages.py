@@ -133,3 +133,17 @@ def test_copies_and_uncommon_words(spark):
     known = scanned.Vocabulary({"wrote": 29, "accueil": 34})
     assert known.printed("wr0te", 3) == [(1, "wrote")] and known.printed("uccueil", 2) == [(1, "accueil")]
     assert known.printed("wrofe", 3) == [] and known.printed("wr0te", 6) == []
+
+
+def test_any_number_of_confusions(spark):
+    known = scanned.Vocabulary({"prüfsummen": 900, "und": 900, "the": 900, "memory": 900})
+    for read, n, word in (("prüfsumrneri", 2, "prüfsummen"), ("urid", 1, "und"), ("tlie", 1, "the"), ("thc", 1, "the"), ("rnernory", 2, "memory")):
+        assert known.printed(read, 1) == [(n, word)] and scanned.wordlike(read)
+    assert known.printed("memory", 1) == [] and known.printed("memori", 1) == []
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.sets(st.text("nrimudcl", min_size=1, max_size=6), max_size=40), st.text("nrimudcl", min_size=1, max_size=7))
+def test_confusions_found_are_those_that_explain(words, read):
+    found = scanned.Vocabulary(dict.fromkeys(words, 1)).explained(read)
+    assert sorted(found) == sorted((n, w) for w in words if (n := scanned.misreadings(w, read)) is not None)
