@@ -77,6 +77,12 @@ def fixed_token_windows(spark: SparkSession, d: str) -> DataFrame:
     return _documents(spark, d).where(t.token_count(F.col("text")) > 0).select("doc_id", F.ceil(F.size(w) / 64).cast("bigint").alias("n_windows"), F.array_join(F.slice(w, 1, 64), " ").alias("first_window"))
 
 
+def all_token_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Every window of 64 tokens of whole texts, the last one maybe shorter."""
+    w = _documents(spark, d).select("doc_id", F.posexplode(segmentation.fixed_tokens(F.col("text"), 64)).alias("pos", "window"))
+    return w.select("doc_id", (F.col("pos") + 1).cast("bigint").alias("window_no"), "window")
+
+
 def paragraph_pieces(spark: SparkSession, d: str) -> DataFrame:
     """Paragraphs of more than 30 characters."""
     p = _documents(spark, d).select("doc_id", F.posexplode(segmentation.paragraphs(F.regexp_replace("text", "\r\n?", "\n"))).alias("pos", "paragraph"))
@@ -223,6 +229,9 @@ SQL = {
         SELECT doc_id, generate_subscripts(l, 1)::BIGINT AS pos, unnest(l) AS paragraph FROM p""",
     "fixed_token_windows": rf"""WITH p AS (SELECT doc_id, regexp_extract_all(text, '{TOK}') AS l FROM documents WHERE text IS NOT NULL)
         SELECT doc_id, ceil(len(l) / 64)::BIGINT AS n_windows, array_to_string(l[1:64], ' ') AS first_window FROM p WHERE len(l) > 0""",
+    "all_token_windows": rf"""WITH p AS (SELECT doc_id, regexp_extract_all(text, '{TOK}') AS l FROM documents WHERE text IS NOT NULL),
+        w AS (SELECT doc_id, l, unnest(range(ceil(len(l) / 64)::BIGINT)) AS i FROM p)
+        SELECT doc_id, i + 1 AS window_no, array_to_string(l[i * 64 + 1 : i * 64 + 64], ' ') AS "window" FROM w""",
     "line_frequencies": rf"""WITH l AS (SELECT DISTINCT source_file, chunk_row, lower({_squeeze('unnest(regexp_split_to_array(output, chr(13) || $$?\n$$))')}) AS line FROM source_chunks WHERE output IS NOT NULL)
         SELECT source_file, line, count(*) AS n_pages FROM l WHERE line <> '' GROUP BY ALL HAVING count(*) >= 3""",
     "document_ranks": "SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY added_at NULLS FIRST, doc_id)::INT AS position FROM documents",

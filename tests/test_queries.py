@@ -55,3 +55,17 @@ def test_entry(spark):
 
     assert e.entry(spark).columns == ["lang", "docs", "tokens", "sentences", "oversized"]
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_token_windows_hold_whole_texts(spark):
+    from pyspark.sql import functions as F
+
+    from quillstone.functions import text as t
+
+    q = registry.queries()
+    windows = q["all_token_windows"](spark, str(DATA))
+    counts = {r.doc_id: r.tokens for r in q["text_sizes"](spark, str(DATA)).collect() if r.tokens}
+    per = windows.select("doc_id", "window_no", t.token_count(F.col("window")).alias("n")).groupBy("doc_id").agg(F.sum("n").alias("n"), F.max("window_no").alias("last")).collect()
+    assert {r.doc_id: r.n for r in per} == counts
+    assert max(r.last for r in per) > 1
+    assert {r.doc_id: r.last for r in per} == {r.doc_id: r.n_windows for r in q["fixed_token_windows"](spark, str(DATA)).collect()}
