@@ -191,7 +191,7 @@ def judge_pair(question: Question, answer: str | None, group: str, endings: Endi
         "signature": xxhash.xxh3_64_intdigest(_signature(words, question.set)) - (1 << 63) if short and 2 <= len(words) else None,
         "tail": _line_key(tail) if tail and not listing else None,
         "spoken": spoken,
-        "ending": (min(truncation.LONGEST, len(answer or "")), min(truncation.LONGEST, len(e.body)), e.kind, e.score),
+        "ending": (len(answer or ""), len(e.body), e.kind, e.score),
     }
 
 

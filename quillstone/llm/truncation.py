@@ -6,7 +6,7 @@ import math
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstone.runtime import cut, salted_join
@@ -14,28 +14,31 @@ from quillstone.runtime import cut, salted_join
 from .wordstats import EndingModel, count_words, frequent
 
 FIELDS = ("summary", "alt_question_2")
-#: Lengths from here on count as one in the length distribution.
-LONGEST = 4000
 #: Log odds of a cut where neither the length nor the ending says anything.
 PRIOR = -2.2
 #: Log odds above which a value counts as cut.
 CUTOFF = 0.0
+#: A length is a limit a priori with odds of one to this many.
+LIMIT_ODDS = 400
 
 
 def _normal_tail(z: float) -> float:
     return max(1e-12, 0.5 * math.erfc(z / math.sqrt(2)))
 
 
-def fit_censored(whole: list[tuple[float, int]], limit: float, censored: int) -> tuple[float, float]:
-    """Mean and deviation of log lengths by maximum likelihood, ``censored`` of them known only to reach ``limit``.
+def fit_censored(moments: tuple[float, float, float], limit: float, censored: float) -> tuple[float, float]:
+    """Mean and deviation of log lengths by maximum likelihood, ``censored`` more values known only to reach ``limit``.
 
-    Expectation-maximisation: values beyond the limit are replaced by the first
-    two moments of the normal tail until the estimate stands.
+    ``moments``: number, sum and sum of squares of the whole values' log
+    lengths, all that a round needs. Expectation-maximisation: values beyond the
+    limit are replaced by the first two moments of the normal tail until the
+    estimate stands.
     """
-    n = sum(k for _, k in whole)
-    mean = (sum(x * k for x, k in whole) + limit * censored) / max(1, n + censored)
-    var = (sum((x - mean) ** 2 * k for x, k in whole) + (limit - mean) ** 2 * censored) / max(1, n + censored)
-    sd = max(0.08, math.sqrt(var))
+    n, one, two = moments
+    total = max(1, n + censored)
+    mean = (one + limit * censored) / total
+    var = (two - 2 * mean * one + mean * mean * n + (limit - mean) ** 2 * censored) / total
+    sd = max(0.08, math.sqrt(max(0.0, var)))
     if n < 3:
         return max(mean, limit), max(sd, 0.3)
     for _ in range(60):
@@ -43,40 +46,34 @@ def fit_censored(whole: list[tuple[float, int]], limit: float, censored: int) ->
         hazard = math.exp(-z * z / 2) / math.sqrt(2 * math.pi) / _normal_tail(z)
         m1 = mean + sd * hazard
         m2 = sd * sd * max(0.02, 1 - hazard * (hazard - z))
-        new = (sum(x * k for x, k in whole) + m1 * censored) / (n + censored)
-        var = (sum((x - new) ** 2 * k for x, k in whole) + ((m1 - new) ** 2 + m2) * censored) / (n + censored)
+        new = (one + m1 * censored) / total
+        var = (two - 2 * new * one + new * new * n + ((m1 - new) ** 2 + m2) * censored) / total
         done = abs(new - mean) < 1e-4
-        mean, sd = new, min(2.0, max(0.08, math.sqrt(var)))
+        mean, sd = new, min(2.0, max(0.08, math.sqrt(max(0.0, var))))
         if done:
             break
     return mean, sd
 
 
-def limits(lengths: list[tuple[int, int, int]]) -> list[tuple[int, float]]:
-    """Field limits of one source and field: ``(length, posterior)`` from ``(length, values, values without an end)``.
+def limit_posterior(at: int, stuck: int, beyond: int, moments: tuple[float, float, float]) -> float | None:
+    """Posterior of a value of length ``at`` being censored there, if ``at`` is a field limit; else None.
 
-    At each candidate length the values without an end there count as censored.
-    A limit holds if the fitted distribution, with a share of values subject to
-    the limit, explains them and the longer values better than no limit does,
-    each length being a limit with equal prior. The posterior is that of a
-    value of this length being censored.
+    ``stuck`` values end there without an end and count as censored, ``beyond``
+    are longer, ``moments`` are those of all values of the source and field. A
+    length is a limit if the fitted distribution, with a share of values
+    subject to the limit, explains those stuck and the longer ones better than
+    no limit does, by more than the prior odds against any length.
     """
-    out = []
-    for at, _, stuck in lengths:
-        if stuck < 2 or at < 8 or at >= LONGEST:
-            continue
-        whole = [(math.log(x), n - (k if x == at else 0)) for x, n, k in lengths if x and n - (k if x == at else 0) > 0]
-        mean, sd = fit_censored(whole, math.log(at), stuck)
-        z = (math.log(at) - mean) / sd
-        density = max(1e-9, math.exp(-z * z / 2) / (sd * math.sqrt(2 * math.pi)) / at)
-        tail = _normal_tail(z)
-        beyond = sum(n for x, n, _ in lengths if x > at + 8)
-        share = min(0.98, max(0.02, stuck / (stuck + beyond)))
-        censored, free = share * tail, (1 - share) * density
-        gain = stuck * math.log((censored + free) / density) + beyond * math.log(1 - share) - math.log(400)
-        if gain > 0:
-            out.append((at, censored / (censored + free)))
-    return out
+    x = math.log(at)
+    n, one, two = moments
+    mean, sd = fit_censored((n - stuck, one - stuck * x, two - stuck * x * x), x, stuck)
+    z = (x - mean) / sd
+    density = max(1e-9, math.exp(-z * z / 2) / (sd * math.sqrt(2 * math.pi)) / at)
+    tail = _normal_tail(z)
+    share = min(0.98, max(0.02, stuck / (stuck + beyond)))
+    censored, free = share * tail, (1 - share) * density
+    gain = stuck * math.log((censored + free) / density) + beyond * math.log(1 - share) - math.log(LIMIT_ODDS)
+    return censored / (censored + free) if gain > 0 else None
 
 
 GROUPS = {"summary": "s", "input": "q", "alt_question_1": "q", "alt_question_2": "q", "alt_question_3": "q"}
@@ -99,8 +96,8 @@ def values(records: DataFrame, fields: tuple[str, ...] = FIELDS, known=None) ->
                         continue
                     e = model.judge(text, groups[field])
                     at.append(i)
-                    lengths.append(min(LONGEST, len(text)))
-                    bodies.append(min(LONGEST, len(e.body)))
+                    lengths.append(len(text))
+                    bodies.append(len(e.body))
                     kinds.append(e.kind)
                     scores.append(e.score)
                 take = pa.array(at, pa.int64())
@@ -115,10 +112,12 @@ def values(records: DataFrame, fields: tuple[str, ...] = FIELDS, known=None) ->
 def cut_values(records: DataFrame, fields: tuple[str, ...] = FIELDS, known=None) -> DataFrame:
     """Every non-empty value with the log odds that it is cut: ``row_no, source_file, field, length, kind, posterior, score, is_cut``.
 
-    Lengths of each source and field are summed up to a histogram (at most
-    ``LONGEST`` numbers), to which a right-censored log-normal distribution is
-    fitted; a value as long as a limit found there has the posterior of being
-    censored, which is added, as log odds, to the evidence of its ending. Nulls,
+    Lengths of each source and field are counted, every length by itself; to
+    each length at which values end without an end a right-censored log-normal
+    distribution is fitted, from three sums over the source's lengths, so that
+    the lengths of a source are independent rows. A value as long as a limit
+    found there has the posterior of being censored, which is added, as log
+    odds, to the evidence of its ending. Nulls,
     blanks, stand-ins and bare reasoning are no values here; a null
     ``source_file`` is a source of its own; copies of a row are cases each; an
     empty table gives no rows.
@@ -134,20 +133,18 @@ def weighed(judged: DataFrame) -> DataFrame:
         judged.where((F.col("kind") == "marked") & (F.col("body") != F.col("length"))).select("source_file", "field", F.col("body").alias("length"), stuck.alias("stuck"))
     )
     hist = spread.groupBy("source_file", "field", "length").agg(F.count(F.lit(1)).alias("n"), F.count_if("stuck").alias("k"))
-    per = hist.groupBy("source_file", "field").agg(F.sort_array(F.collect_list(F.struct("length", "n", "k"))).alias("lengths"))
+    key = Window.partitionBy("source_file", "field")
+    n, x = F.col("n"), F.log(F.col("length"))
+    upto = F.sum("n").over(key.orderBy("length").rangeBetween(Window.unboundedPreceding, 8))
+    sums = hist.select("source_file", "field", "length", "k", F.sum("n").over(key).alias("m0"), F.sum(n * x).over(key).alias("m1"), F.sum(n * x * x).over(key).alias("m2"), upto.alias("upto"))
+    asked = sums.where("k >= 2 and length >= 8").select("source_file", "field", "length", "k", (F.col("m0") - F.col("upto")).alias("beyond"), "m0", "m1", "m2")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at, length, posterior = [], [], []
-            for i, hist in enumerate(b.column(2).to_pylist()):
-                for x, p in limits([(h["length"], h["n"], h["k"]) for h in hist]):
-                    at.append(i)
-                    length.append(x)
-                    posterior.append(p)
-            take = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(length, pa.int32()), pa.array(posterior, pa.float64())], names=["f", "g", "limit", "posterior"])
+            found = [limit_posterior(at, k, beyond, moments) for at, k, beyond, *moments in zip(*(b.column(c).to_pylist() for c in range(2, 8)), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(found, pa.float64())], names=["f", "g", "limit", "posterior"])
 
-    found = per.mapInArrow(run, "f string, g string, limit int, posterior double")
+    found = asked.mapInArrow(run, "f string, g string, limit int, posterior double").where("posterior is not null")
     # at most a few limits per source and field, so the join does not multiply rows before the aggregate picks one
     per_source = found.groupBy(F.col("f").alias("source_file"), F.col("g").alias("field")).agg(F.map_from_entries(F.collect_list(F.struct("limit", "posterior"))).alias("limits"))
     p = F.coalesce(F.col("limits")[F.col("length")], F.col("limits")[F.col("body")], F.col("limits")[F.col("length") - 1])

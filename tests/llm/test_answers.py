@@ -73,11 +73,35 @@ def test_cut_values(spark):
     assert rate["en.json", "summary"] == 2 and rate["de.json", "summary"] == 0
 
 
+def _limits(lengths):
+    moments = [sum(n * math.log(x) ** p for x, n, _ in lengths) for p in range(3)]
+    found = ((at, truncation.limit_posterior(at, k, sum(n for x, n, _ in lengths if x > at + 8), moments)) for at, _, k in lengths if k >= 2)
+    return [(at, p) for at, p in found if p is not None]
+
+
 def test_limit_of_a_field():
     lengths = [(x, 3, 0) for x in range(60, 200, 4)] + [(200, 40, 39)]
-    (limit, p), = truncation.limits(lengths)
+    (limit, p), = _limits(lengths)
     assert limit == 200 and p > 0.9
-    assert truncation.limits([(x, 3, 0) for x in range(60, 260, 4)]) == []
+    assert _limits([(x, 3, 0) for x in range(60, 260, 4)]) == []
+
+
+@pytest.mark.parametrize("limit", [200, 3900, 4096, 8192, 65535])
+def test_limits_of_any_size(limit):
+    lengths = [(limit * k // 40, 3, 0) for k in range(6, 40)] + [(limit, 60, 58)]
+    (at, p), = _limits(lengths)
+    assert at == limit and p > 0.9
+
+
+def test_long_field_limit_is_found(spark):
+    """A file whose summaries are cut at 4,096 characters: those cut after a whole word too."""
+    sentence = "The operator counted access logs under heavy load and readers learn how firewall rules mask session tokens. "
+    rows = corpus()
+    whole = [rows[0] | {"source_file": "long.json", "chunk_id": f"w{i}", "summary": (sentence * 60)[: len(sentence) * (8 + i % 25)].strip()} for i in range(100)]
+    cut = [rows[0] | {"source_file": "long.json", "chunk_id": f"c{i}", "summary": (f"{i} " + sentence * 60)[:4096]} for i in range(60)]
+    found = {r.row_no: r.posterior for r in truncation.cut_values(records(spark, rows + whole + cut)).where("is_cut and field = 'summary'").collect()}
+    want = set(range(len(rows) + 101, len(rows) + 161))
+    assert set(found) == want and min(p or 0 for p in found.values()) > 0.9
 
 
 def test_censored_fit_recovers_the_distribution():
@@ -86,7 +110,8 @@ def test_censored_fit_recovers_the_distribution():
     rng = random.Random(5)
     xs = [rng.gauss(5.0, 0.4) for _ in range(4000)]
     limit = 5.3
-    mean, sd = truncation.fit_censored([(x, 1) for x in xs if x < limit], limit, sum(x >= limit for x in xs))
+    moments = [sum(x**p for x in xs if x < limit) for p in range(3)]
+    mean, sd = truncation.fit_censored(moments, limit, sum(x >= limit for x in xs))
     assert math.isclose(mean, 5.0, abs_tol=0.03) and math.isclose(sd, 0.4, abs_tol=0.03)
 
 
