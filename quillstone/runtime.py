@@ -29,13 +29,35 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dir
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    except Exception:  # the session is gone: nothing is left to clean through it
-        pass
+def _path(spark: SparkSession, path: str):
+    """The folder as the JVM's file system and path."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+_cuts: list[tuple[SparkSession, str]] = []
+
+
+def release() -> None:
+    """Remove every table that ``cut`` wrote. For long sessions, once the results built on them are stored; else done when the driver ends."""
+    while _cuts:
+        spark, path = _cuts.pop()
+        try:
+            fs, target = _path(spark, path)
+            fs.delete(target, True)
+        except Exception:  # the session is gone: nothing is left to clean through it
+            pass
+
+
+atexit.register(release)
+
+
+def _written(df: DataFrame) -> tuple[DataFrame, str]:
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/quillstone/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    _cuts.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -43,13 +65,9 @@ def cut(df: DataFrame) -> DataFrame:
 
     Used where an expensive stage feeds several branches; the written table
     outlives lost executors, unlike a cache or a local checkpoint. The folder
-    is removed when the driver process ends.
+    is removed by ``release`` or when the driver process ends.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/quillstone/{uuid.uuid4().hex}"
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _written(df)[0]
 
 
 _shipped: set[str] = set()
@@ -70,21 +88,40 @@ def ship(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(str(folder / "quillstone_package.zip"))
 
 
-#: Copies of a small side's rows in a salted join; a hot key of the large side is spread over as many tasks.
-JOIN_SALTS = 8
+#: A side is broadcast only if, once written, it has at most this many rows and compressed bytes.
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 4 << 20
+
+
+def measured(df: DataFrame) -> tuple[DataFrame, bool]:
+    """``df`` written to the shared folder, and whether it is small enough to be broadcast."""
+    out, path = _written(df)
+    fs, target = _path(df.sparkSession, path)
+    return out, fs.getContentSummary(target).getLength() <= BROADCAST_BYTES and out.count() <= BROADCAST_ROWS
+
+
+def salts(spark: SparkSession) -> int:
+    """Over how many tasks a hot key is spread: the cluster's cores, 64 at most."""
+    return max(4, min(64, spark.sparkContext.defaultParallelism))
 
 
 def salted_join(large: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """``large`` joined to ``small``, which has at most a row per key, null keys matching null.
+    """``large`` joined to ``small``, null keys matching null.
 
-    Rows of ``large`` get a salt, rows of ``small`` are copied for each salt, so
-    that a key with a third of all rows is shuffled to many tasks. A small side
-    below Spark's broadcast threshold is still broadcast.
+    The small side is written and measured. Below the bound it is broadcast, so
+    ``large`` is not shuffled. Beyond it rows of ``large`` get a salt and rows of
+    ``small`` are copied for each salt, so that a key with a third of all rows
+    is shuffled to many tasks. The result is the same.
     """
-    spread = small.select(*(F.col(k).alias(f"_key_{k}") for k in keys), *(c for c in small.columns if c not in keys), F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))).alias("_salt_s"))
-    salted = large.withColumn("_salt_l", F.pmod(F.monotonically_increasing_id(), F.lit(JOIN_SALTS)).cast("int"))
-    on = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys] + [F.col("_salt_l") == F.col("_salt_s")]
-    return salted.join(spread, on, how).drop(*(f"_key_{k}" for k in keys), "_salt_l", "_salt_s")
+    side, fits = measured(small)
+    side = side.select(*(F.col(k).alias(f"_key_{k}") for k in keys), *(c for c in small.columns if c not in keys))
+    on = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    if fits:
+        return large.join(F.broadcast(side), on, how).drop(*(f"_key_{k}" for k in keys))
+    n = salts(large.sparkSession)
+    side = side.withColumn("_salt_s", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    salted = large.withColumn("_salt_l", F.pmod(F.monotonically_increasing_id(), F.lit(n)).cast("int"))
+    return salted.join(side.hint("merge"), [*on, F.col("_salt_l") == F.col("_salt_s")], how).drop(*(f"_key_{k}" for k in keys), "_salt_l", "_salt_s")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
