@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 import unicodedata
@@ -9,18 +10,25 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.runtime import cut
+from quillstone.runtime import cut, salted_join
 
-LOST = "�"
+LOST = "\ufffd"
 #: A token: a run without ASCII white space, with guillemets set off by spaces.
-TOKEN = "(?:«[ \\t\\u00a0\\u202f]+)?[^ \\t\\n\\x0b\\f\\r]+(?:[ \\t\\u00a0\\u202f]+»)?"
-#: Tokens worth a lattice: any character beyond ASCII, or a question mark inside or before a word.
-SUSPECT = "[^\\x00-\\x7f]|\\p{L}\\?\\p{L}|(?<![^\\s(\\u201c\"'])\\?\\p{Ll}"
-_WORD = re.compile(r"(?:[^\W\d_]|[\u0300-\u036f�]|(?<=[^\W\d_�])[’'](?=[^\W\d_�]))+")
+_TOKEN = re.compile("(?:«[ \\t\u00a0\u202f]+)?[^ \\t\\n\\x0b\\f\\r]+(?:[ \\t\u00a0\u202f]+»)?")
+#: A question mark inside or before a word.
+_MARKED = regex.compile("\\p{L}\\?\\p{L}|(?<![^(\u201c\"'])\\?\\p{Ll}")
+_WORD = re.compile(r"(?:[^\W\d_]|[\u0300-\u036f\ufffd]|(?<=[^\W\d_\ufffd])[’'](?=[^\W\d_\ufffd]))+")
 _LOSSY = re.compile(r"(?<=[^\W\d_])\?(?=[^\W\d_])|(?<![^\W_])\?(?=[^\W\d_A-Z])")
+#: How many times as frequent a word has to be as the garbled form it is put for, where the bytes alone don't tell.
+MORE_FREQUENT = 3
+#: The same word in at least so many rows: for letters read in another code page, for question marks.
+LEAST_COUNT, LEAST_COUNT_MARK = 2, 3
+#: Cost of leaving the text as it is read (nats), against that of a control character in it.
+_LEAVE, _CONTROL = 3.0, 8.0
 
 #: Code pages by which UTF-8 bytes were read, and pairs (bytes written in, bytes read in) of single-byte code pages.
 READ_AS = ("cp1252", "latin-1", "cp850", "cp437", "mac_roman", "cp1251", "cp1250", "koi8_r")
@@ -54,8 +62,19 @@ def _swap(written: str, read: str) -> dict[int, str]:
     return out
 
 
+def suspects(text: str) -> list[str]:
+    """Tokens of ``text`` worth a lattice, in order: with characters beyond ASCII, or a question mark inside or before a word."""
+    if text.isascii() and "?" not in text:
+        return []
+    if "«" in text or "»" in text:
+        tokens = _TOKEN.findall(text)
+    else:
+        tokens = [t.decode() for t in text.encode().split() if not t.isascii() or b"?" in t]
+    return [t for t in tokens if not t.isascii() or _MARKED.search(t)]
+
+
 class Channel:
-    """Costs of characters, from how often the corpus has them."""
+    """Costs of characters beyond ASCII, from how often the corpus has them, and the edges of the byte lattice."""
 
     def __init__(self, counts: dict[str, int]):
         total = sum(counts.values()) + 1
@@ -63,210 +82,373 @@ class Channel:
         self.unseen = -math.log(0.1 / total)
 
     def of(self, c: str) -> float:
-        return self.cost.get(c, self.unseen)
+        return self.cost.get(c, self.unseen) if c > "\x7f" else 0.0
+
+    def as_read(self, c: str) -> float:
+        return self.of(c) + (_CONTROL if "\x80" <= c <= "\x9f" else 0.0)
+
+    def utf8_edges(self, token: str, i: int) -> Iterator[tuple[int, str]]:
+        """``(end, character)`` of each UTF-8 character whose bytes some code page reads as the characters from ``i`` on."""
+        for page in READ_AS:
+            byte = _bytes_of(page)
+            lead = byte.get(token[i], 0)
+            size = 2 if 0xC2 <= lead <= 0xDF else 3 if 0xE0 <= lead <= 0xEF else 4 if 0xF0 <= lead <= 0xF4 else 0
+            if not size or i + size > len(token):
+                continue
+            try:
+                x = bytes([lead, *(byte[d] for d in token[i + 1 : i + size])]).decode()
+            except (KeyError, UnicodeDecodeError):
+                continue
+            if x in self.cost or (size > 2 and unicodedata.category(x)[0] in "LSP"):
+                yield i + size, x
+
+    def cut_edges(self, token: str, i: int) -> Iterator[tuple[int, int]]:
+        """``(end, lead byte)`` of a UTF-8 character of two bytes whose second one is lost."""
+        if token[i + 1 : i + 2] == LOST:
+            for page in READ_AS:
+                if 0xC2 <= (lead := _bytes_of(page).get(token[i], 0)) <= 0xDF:
+                    yield i + 2, lead
 
     def decode_utf8(self, token: str) -> str:
-        """The cheapest path through the byte lattice of ``token``.
-
-        Nodes are the positions of the token, edges a character as it is or a
-        run of two to four characters that some code page maps to the bytes of
-        one UTF-8 character, at the cost of that character. Found by Viterbi
-        search, again and again while text was garbled more than once.
+        """``token`` without one round of UTF-8 read in a code page: the cheapest path by the costs of characters alone."""
+        n = len(token)
+        best: list[tuple[float, int, str]] = [(0.0, 0, "")] + [(math.inf, 0, "")] * n
+        for i, c in enumerate(token):
+            base = best[i][0]
+            if base + self.as_read(c) < best[i + 1][0]:
+                best[i + 1] = (base + self.as_read(c), i, c)
+            if c < "\x80":
+                continue
+            for end, x in self.utf8_edges(token, i):
+                if base + self.of(x) + _LEAVE < best[end][0]:
+                    best[end] = (base + self.of(x) + _LEAVE, i, x)
+        out, i = [], n
+        while i:
+            _, i, x = best[i]
+            out.append(x)
+        return "".join(reversed(out))
+
+    def rounds(self, token: str) -> list[str]:
+        """The token, and what each round of decoding leaves of it, until nothing changes; every round makes it shorter."""
+        out = [token]
+        while (x := self.decode_utf8(out[-1])) != out[-1]:
+            out.append(x)
+        return out
+
+
+def readings(token: str) -> Iterator[tuple[str, str]]:
+    """``(channel, restored)`` for each pair of single-byte code pages that can have been confused."""
+    beyond = [c for c in token if c > "\x7f" and c != LOST]
+    if beyond:
+        for written, read in CONFUSED:
+            table = _swap(written, read)
+            if all(ord(c) in table or c not in _bytes_of(read) for c in beyond) and (x := token.translate(table)) != token:
+                yield f"{written} as {read}", x
+
+
+def gap_key(word: str) -> str | None:
+    """A word with each run beyond ASCII as one gap; None with fewer than two ASCII letters. Whatever was lost or misread of it, the key stays."""
+    key = regex.sub(r"[^\x00-\x7f]+", LOST, word)
+    return key if sum(map(str.isalpha, key)) >= 2 and LOST in key else None
+
+
+def words_of(text: str) -> list[str]:
+    """Words in lower case that have characters beyond ASCII."""
+    return [w for x in _WORD.findall(text) if not (w := x.lower()).isascii()]
+
+
+def asked_words(token: str, channel: Channel) -> tuple[list[str], list[str]]:
+    """Keys under which words are looked up that paths through the token's lattice may spell, and those of the words as they stand."""
+    own = [w for w in words_of(token) if LOST not in w]
+    spelled = [w for r in (*channel.rounds(token)[1:], *(x for _, x in readings(token)), token, _LOSSY.sub(LOST, token)) for w in words_of(r)]
+    keys = dict.fromkeys(w for w in spelled if LOST not in w and len(w) >= 3)
+    keys |= dict.fromkeys(k for w in spelled if LOST in w for v in (w, w.strip(LOST)) if len(w) >= 3 and (k := gap_key(v)))
+    return [k for k in keys if k not in own], own
+
+
+class Lattice:
+    """The byte lattice of one token, searched together with a trie of the corpus words that its paths may spell."""
+
+    def __init__(self, token: str, channel: Channel, words: dict[str, tuple[str, int]], total: int):
+        self.token, self.channel, self.words, self.total = token, channel, words, max(2, total)
+        self.trie: dict = {}
+        for w, (_, n) in words.items():
+            node = self.trie
+            for c in w:
+                node = node.setdefault(c, {})
+            node[""] = n
+
+    def _edges(self, i: int, name: str, table: dict[int, str], marks: frozenset[int]) -> Iterator[tuple[int, str, float]]:
+        """``(end, character, cost)`` from position ``i`` in one channel; the character U+FFFD is a wildcard."""
+        c, channel = self.token[i], self.channel
+        if c == LOST:
+            end = i + 1
+            while end <= min(len(self.token), i + 3) and self.token[end - 1] == LOST:
+                yield end, LOST, 0.0
+                end += 1
+            return
+        if i in marks:
+            yield i + 1, LOST, 0.0
+            return
+        if (x := table.get(ord(c)) if c > "\x7f" else None) is not None:
+            yield i + 1, x, 0.0
+            return
+        yield i + 1, c, channel.as_read(c) if name == "utf-8" else 0.0
+        if name == "utf-8" and c > "\x7f":
+            for end, x in channel.utf8_edges(self.token, i):
+                yield end, x, channel.of(x) + _LEAVE
+            for end, lead in channel.cut_edges(self.token, i):
+                yield end, LOST + chr(lead), _LEAVE
+
+    def best(self, name: str, table: dict[int, str] | None = None, marks: frozenset[int] = frozenset()) -> tuple[float, list[tuple[str, str]], int, bool] | None:
+        """The cheapest path of a channel: ``cost``, ``(character, as found)`` along it, least count of its words, whether all are known.
+
+        Viterbi search; a state is a position, the trie node of the word so far
+        (None: no corpus word begins so) and whether the word has characters
+        beyond ASCII. A word costs its log frequency in the corpus when it ends.
+        With a code page table or marks a changed word must be one of the corpus.
         """
-        for _ in range(4):
-            n = len(token)
-            best: list[tuple[float, int, str]] = [(0.0, 0, "")] + [(math.inf, 0, "")] * n
-            changed = False
-            for i in range(n):
-                base = best[i][0]
-                c = token[i]
-                cost = base + (0.0 if c < "\x80" else self.of(c) + (8.0 if "\x80" <= c <= "\x9f" else 0.0))
-                if cost < best[i + 1][0]:
-                    best[i + 1] = (cost, i, c)
-                if c < "\x80":
-                    continue
-                for page in READ_AS:
-                    byte = _bytes_of(page)
-                    lead = byte.get(c, 0)
-                    size = 2 if 0xC2 <= lead <= 0xDF else 3 if 0xE0 <= lead <= 0xEF else 4 if 0xF0 <= lead <= 0xF4 else 0
-                    if not size or i + size > n:
-                        continue
-                    try:
-                        x = bytes([lead, *(byte[d] for d in token[i + 1 : i + size])]).decode()
-                    except (KeyError, UnicodeDecodeError):
-                        continue
-                    if x not in self.cost and (size == 2 or unicodedata.category(x)[0] not in "LSP"):
-                        continue
-                    cost = base + self.of(x) + 3.0
-                    if cost < best[i + size][0]:
-                        best[i + size] = (cost, i, x)
-            out, i = [], n
-            while i:
-                _, back, x = best[i]
-                changed = changed or i - back > 1
-                out.append(x)
-                i = back
-            if not changed:
-                return token
-            token = "".join(reversed(out))
-        return token
-
-    def candidates(self, token: str) -> list[tuple[str, str]]:
-        """``(channel, restored)`` of a token, lost letters as U+FFFD."""
-        out = {}
-        if (x := self.decode_utf8(token)) != token:
-            out[x] = "utf-8"
-        beyond = [c for c in token if c > "\x7f" and c != LOST]
-        if beyond:
-            for written, read in CONFUSED:
-                table = _swap(written, read)
-                if all(ord(c) in table or c not in _bytes_of(read) for c in beyond) and (x := token.translate(table)) != token:
-                    out.setdefault(x, f"{written} as {read}")
-        if "?" in token and (x := _LOSSY.sub(LOST, token)) != token:
-            out.setdefault(x, "question mark")
-        if LOST in token:
-            out.setdefault(token, "lost")
-            for x in list(out):
-                if LOST * 2 in x:
-                    out.setdefault(re.sub(f"{LOST}+", LOST, x), "lost")
-        return [(c, x) for x, c in out.items()]
-
-
-def changed_words(before: str, after: str) -> list[str]:
-    """Words of ``after`` in lower case, three letters at least, that have characters beyond ASCII and do not stand in ``before``.
-
-    A lost letter at a word's edge may have been a quotation mark or a dash, so the word without it is looked up too.
+        strict = table is not None or bool(marks)
+        states: list[dict] = [{} for _ in range(len(self.token) + 1)]
+        states[0][id(self.trie), False] = (0.0, self.trie, None, "", "", math.inf, True)
+        unknown = math.log(2.0 * self.total)
+
+        def close(node: dict | None, beyond: bool) -> tuple[float, float, bool]:
+            if not beyond:
+                return 0.0, math.inf, True
+            n = node.get("", 0) if node is not None else 0
+            return (math.log(self.total / n), n, True) if n else (math.inf if strict else unknown, 0, False)
+
+        for i in range(len(self.token)):
+            for at, s in sorted(states[i].items(), key=lambda x: x[1][0]):
+                cost, node, _, _, _, least, known = s
+                for end, x, step in self._edges(i, name, table or {}, marks):
+                    if x[0] == LOST:
+                        lead = ord(x[1]) if len(x) > 1 else 0
+                        options = [(c, child) for c, child in (node or {}).items() if c > "\x7f" and (not lead or c.encode()[0] == lead)]
+                        if not strict:
+                            options.append((LOST, None))
+                        moves = [(c, child, True) for c, child in options]
+                    else:
+                        low = x.lower()
+                        letter = x.isalpha() or "\u0300" <= x <= "\u036f" or (x in "’'" and i > 0 and self.token[i - 1].isalpha() and self.token[i + 1 : i + 2].isalpha())
+                        moves = [(x, node.get(low) if node is not None else None, x > "\x7f" and letter)] if letter else [(x, False, False)]
+                    for c, child, beyond in moves:
+                        if child is False:  # no letter: the word ends before it
+                            extra, n, ok = close(node, at[1])
+                            new = (cost + step + extra, self.trie, (i, at), c, x[0], min(least, n), known and ok)
+                            key = (id(self.trie), False)
+                        else:
+                            new = (cost + step, child, (i, at), c, x[0], least, known)
+                            key = (id(child), at[1] or beyond)
+                        if new[0] < math.inf and (key not in states[end] or new[0] < states[end][key][0]):
+                            states[end][key] = new
+        last = []
+        for at, s in states[-1].items():
+            extra, n, ok = close(s[1], at[1])
+            last.append((s[0] + extra, at, min(s[5], n), s[6] and ok))
+        cost, at, least, known = min(last, key=lambda x: x[0], default=(math.inf, None, 0, False))
+        if cost == math.inf:
+            return None
+        path, i = [], len(self.token)
+        while i:
+            s = states[i][at]
+            path.append((s[3], s[4]))
+            i, at = s[2]
+        return cost, path[::-1], 0 if least == math.inf else int(least), known and least < math.inf
+
+    def cased(self, path: list[tuple[str, str]]) -> str:
+        """The path's text; letters filled in for lost ones take the case their word has in the corpus, or that of an upper-case word."""
+        out = [c for c, _ in path]
+        if not any(x == LOST and c != LOST for c, x in path):
+            return "".join(out)
+        for m in _WORD.finditer("".join(out)):
+            shown = self.words.get(m.group().lower(), (m.group(), 0))[0]
+            read = [path[k][0] for k in range(m.start(), m.end()) if path[k][1] != LOST]
+            upper = len(read) > 1 and all(c.isupper() for c in read if c.isalpha())
+            for k in range(m.start(), m.end()):
+                if path[k][1] == LOST and out[k] != LOST and len(shown) == m.end() - m.start():
+                    out[k] = shown[k - m.start()].upper() if upper else shown[k - m.start()]
+        return "".join(out)
+
+
+def restore(token: str, n: int, words: dict[str, tuple[str, int]], own: dict[str, int], channel: Channel, total: int) -> tuple[str, str, str] | None:
+    """``(restored, with gaps, channel)`` of a token that is garbled; None for one that is not.
+
+    ``n``: in how many places of different texts the token stands, ``own`` the
+    same of its words as they are, ``words`` the corpus words that its lattice
+    may spell. UTF-8 read in a code page is known by its bytes and the
+    characters' frequencies, U+FFFD by itself. Another code page or a question
+    mark takes words of the corpus that are ``MORE_FREQUENT`` as often.
     """
-    old = {w.lower() for w in _WORD.findall(before)}
-    out = dict.fromkeys(w for w in (x.lower() for x in _WORD.findall(after)) if len(w) >= 3 and (w not in old and not w.isascii() or LOST in w))
-    return list(out | dict.fromkeys(x for w in out if LOST in (x := w.strip(LOST)) and len(x) >= 3))
-
-
-_CORE = re.compile(r"[^\W_]|[�\x80-\x9f]")
+    total = max(2, total)
+    rounds = channel.rounds(token)
+    last = rounds[-1]
+    if len(rounds) > 1:
+        found = Lattice(rounds[-2], channel, words, total).best("utf-8")
+        if found and (text := Lattice(rounds[-2], channel, words, total).cased(found[1])) != rounds[-2]:
+            return text, "".join(LOST if x == LOST else c for c, x in found[1]), "utf-8"
+        return last, last, "utf-8"
+    lattice = Lattice(token, channel, words, total)
+    if LOST in token:
+        _, path, _, known = lattice.best("utf-8")
+        return lattice.cased(path) if known or LOST not in "".join(c for c, _ in path) else token, token, "lost"
+    stands = sum(math.log(total / max(0.5, own[w])) for w in own) if own else math.log(total / max(1, n))
+    taken = []
+    control = any("\x80" <= c <= "\x9f" and c != "\x85" for c in token)  # 85 is a line end
+    asked = [(name, _swap(*name.split(" as ")), frozenset(), LEAST_COUNT) for name, _ in readings(token)]
+    if marks := frozenset(m.start() for m in _LOSSY.finditer(token)):
+        asked.append(("question mark", None, marks, LEAST_COUNT_MARK))
+    for name, table, marked, least in asked:
+        if (found := lattice.best(name, table, marked)) and found[3] and found[2] >= least and (control or found[0] + math.log(MORE_FREQUENT) <= stands + 1e-9):
+            gaps = "".join(LOST if x == LOST else c for c, x in found[1])
+            taken.append((found[0], len(found[1]), lattice.cased(found[1]), gaps, name))
+    if taken:
+        _, _, text, gaps, name = min(taken)
+        return text, gaps, name
+    return (token, token, "control") if control else None
+
+
+_CORE = re.compile(r"[^\W_]|[\ufffd\x80-\x9f]")
 _OPEN, _CLOSE = set("\"'“„«‘‚‹"), set("\"'”“»’›")
 
-
 def is_quoted(token: str, restored: str) -> bool:
-    """Whether the token only shows a garbled character: one character alone between quotation marks."""
+    """Whether the token only shows a garbled character: one character alone between quotation marks that are sound themselves."""
     core = restored.strip(".,;:!?)(…")
-    if len(core) >= 3 and core[0] in _OPEN and core[-1] in _CLOSE:
-        inner = core[1:-1].strip(" \t  ")
+    if len(core) >= 3 and core[0] in _OPEN and core[-1] in _CLOSE and core[0] in token and core[-1] in token:
+        inner = core[1:-1].strip(" \t\u00a0\u202f")
         return len(inner) <= 2 and not (len(inner) == 2 and inner.isascii())
     return False
 
 
-def _letters_alone(restored: str) -> bool:
+def _letters_alone(token: str, restored: str) -> bool:
+    """Whether the token is one garbled letter, with nothing but sound marks around it."""
     core = _CORE.findall(restored)
-    return len(core) == 1 and core[0] != LOST
+    return len(core) == 1 and core[0] != LOST and all(c in token for c in restored if not _CORE.match(c))
+
+
+def suspect_tokens(documents: DataFrame) -> DataFrame:
+    """``row, doc_id, h, tokens``: the suspect tokens of each text that has any, and the hash of the whole text (SHA-256); written once.
+
+    ``row`` numbers the rows, whatever their ``doc_id``. Only these tokens leave the scan, never whole texts.
+    """
+    src = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.col("text").cast("string")).where("text is not null")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at, hashes, tokens = [], [], []
+            for i, text in enumerate(b.column(2).to_pylist()):
+                if found := suspects(text):
+                    at.append(i)
+                    hashes.append(hashlib.sha256(text.encode()).digest())
+                    tokens.append(found)
+            take = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(hashes, pa.binary()), pa.array(tokens, pa.list_(pa.string()))], names=["row", "doc_id", "h", "tokens"])
+
+    return cut(src.mapInArrow(run, "row bigint, doc_id bigint, h binary, tokens array<string>"))
 
 
 def _vocabulary(tokens: DataFrame) -> DataFrame:
-    """Corpus words by key: the word itself, and the word with characters beyond ASCII lost (its most frequent word)."""
-    words = tokens.select("n", "n_rows", F.explode(F.regexp_extract_all("token", F.lit(r"([\p{L}\p{M}]+(?:[’'][\p{L}\p{M}]+)*)"), 1)).alias("word"))
+    """Corpus words beyond ASCII: ``key, own, word, n, n_rows``, by the word in lower case and by its gap key; every word, however rare."""
+    words = tokens.select("n", "n_rows", F.explode(F.regexp_extract_all("token", F.lit(r"((?:[\p{L}\p{M}]+(?:[’'][\p{L}\p{M}]+)*))"), 1)).alias("word")).where(r"word rlike '[^\\x00-\\x7f]'")
     forms = words.groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_rows").alias("n_rows"))
-    words = forms.groupBy(F.lower("word").alias("key")).agg(F.max_by("word", F.struct("n", "n_rows", "word")).alias("word"), F.sum("n").alias("n"), F.sum("n_rows").alias("n_rows"))
-    masked = words.where(r"key rlike '[^\\x00-\\x7f]'").select(F.regexp_replace("key", r"[^\x00-\x7f]", LOST).alias("key"), "word", "n", "n_rows")
-    both = words.select("key", "word", "n", "n_rows").unionByName(masked)
-    return both.groupBy("key").agg(F.max(F.struct("n", "n_rows", "word")).alias("v")).select("key", "v.word", "v.n", "v.n_rows")
-
-
-def repairs(documents: DataFrame) -> DataFrame:
-    """Garbled tokens of the corpus: ``token, restored, channel, sure`` (whether it shows by itself that its document is garbled).
-
-    Every different token of the corpus is decoded once. A candidate is weighed
-    by the corpus frequency of its words against that of the words as they are;
-    lost letters are looked up by the word with a gap. Whole texts are hashed
-    (SHA-256): what may be garbled is counted once per distinct text, so that a
-    garbled document stays one however often it was copied, and what vouches
-    for a candidate in every row. Nothing but the character counts (bounded by
-    the number of Unicode characters) leaves the executors.
+    low = forms.groupBy(F.lower("word").alias("own")).agg(F.max_by("word", F.struct("n", "n_rows", "word")).alias("word"), F.sum("n").alias("n"), F.sum("n_rows").alias("n_rows"))
+    gap = F.regexp_replace("own", r"[^\x00-\x7f]+", LOST)
+    return low.select(F.explode(F.array(F.col("own"), gap)).alias("key"), "own", "word", "n", "n_rows").where(F.col("key") != LOST)
+
+
+def repairs(held: DataFrame) -> DataFrame:
+    """Garbled tokens of the corpus: ``token, restored, channel, sure, quoted`` (``sure``: whether it shows by itself that its document is garbled).
+
+    Every different token is decoded once, by Viterbi search over its byte
+    lattice and the corpus words that paths through it may spell. Those words
+    are found by joins on the word or, for lost bytes, on the word with gaps, so
+    no vocabulary is broadcast and none is cut off. What may be garbled is
+    counted once per distinct text, so that a garbled document stays one however
+    often it was copied, and what vouches for a candidate in every row. Only the
+    counts of characters (bounded by the number of Unicode characters) leave the
+    executors.
     """
-    spark = documents.sparkSession
-    token = F.explode(F.regexp_extract_all(F.col("text").cast("string"), F.lit(f"({TOKEN})"), 1)).alias("token")
-    whole = documents.where("text is not null").select(F.col("text").cast("string").alias("text"))
-    texts = whole.groupBy(F.unhex(F.sha2("text", 256)).alias("h")).agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
-    tokens = cut(texts.select(token, "copies").groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("n_rows")))
-    chars = tokens.where(r"token rlike '[^\\x00-\\x7f]'").select("n_rows", F.explode(F.split("token", "")).alias("c")).where(r"c rlike '[^\\x00-\\x7f]'").groupBy("c").agg(F.sum("n_rows").alias("n"))
+    spark = held.sparkSession
+    texts = held.groupBy("h").agg(F.first("tokens").alias("tokens"), F.count(F.lit(1)).alias("copies"))
+    tokens = cut(texts.select(F.explode("tokens").alias("token"), "copies").groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("n_rows")))
+    chars = tokens.select("n_rows", F.explode(F.split(F.regexp_replace("token", r"[\x00-\x7f]+", ""), "")).alias("c")).where("c <> ''").groupBy("c").agg(F.sum("n_rows").alias("n"))
     counts = spark.sparkContext.broadcast({r.c: r.n for r in chars.toLocalIterator()})
 
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        channel = Channel(counts.value)
+        for b in batches:
+            rows = []
+            for i, t in enumerate(b.column(0).to_pylist()):
+                keys, own = asked_words(t, channel)
+                plain = LOST in t or any("\x80" <= c <= "\x9f" for c in t) or channel.decode_utf8(t) != t
+                if keys or plain:
+                    rows.append((i, keys, own, plain))
+            cols = list(zip(*rows, strict=True)) or [[]] * 4
+            take = pa.array(cols[0], pa.int64())
+            texts = pa.list_(pa.string())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(cols[1], texts), pa.array(cols[2], texts), pa.array(cols[3], pa.bool_())], names=["token", "n", "keys", "own", "plain"])
+
+    asked = cut(tokens.select("token", "n").mapInArrow(ask, "token string, n bigint, keys array<string>, own array<string>, plain boolean"))
+    vocabulary = cut(_vocabulary(tokens))
+    total = vocabulary.where("key = own").agg(F.sum("n_rows")).first()[0] or 0
+    # a word spelled by a path, or standing there as it is; the latter alone is no reason to search
+    lookups = asked.select("token", F.explode(F.concat(F.transform("keys", lambda k: F.struct(k.alias("key"), F.lit(True).alias("spelled"))), F.transform("own", lambda k: F.struct(k.alias("key"), F.lit(False).alias("spelled"))))).alias("k"))
+    met = lookups.select("token", "k.*").join(vocabulary, "key")
+    met = met.groupBy("token").agg(F.collect_list(F.struct("spelled", "own", "word", "n", "n_rows")).alias("met"), F.bool_or("spelled").alias("any"))
+    source = asked.select("token", "n", "plain").join(met, "token", "left").where("plain or any").select("token", "n", "met")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         channel = Channel(counts.value)
         for b in batches:
             rows = []
-            for t, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                for name, restored in channel.candidates(t):
-                    words = changed_words(t, restored)
-                    before = [w for w in changed_words(restored, t) if LOST not in w]
-                    rows.append((t, n, name, restored, words, before, is_quoted(t, restored), _letters_alone(restored)))
-            cols = list(zip(*rows, strict=True)) or [[]] * 8
-            kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string()), pa.bool_(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["token", "n", "channel", "restored", "words", "before", "quoted", "alone"])
-
-    schema = "token string, n bigint, channel string, restored string, words array<string>, before array<string>, quoted boolean, alone boolean"
-    found = tokens.where(F.col("token").rlike(SUSPECT)).mapInArrow(run, schema)
-    vocabulary = cut(_vocabulary(tokens))  # looked up twice
-    asked = found.select("token", "restored", F.explode_outer("words").alias("key"))
-    weighed = asked.join(vocabulary, "key", "left").groupBy("token", "restored").agg(
-        F.count("key").alias("n_words"), F.count("word").alias("n_known"), F.coalesce(F.min("n_rows"), F.lit(0)).alias("least"),
-        F.collect_list(F.when(F.col("key").contains(LOST) & F.col("word").isNotNull(), F.struct("key", "word"))).alias("filled"),
-    )
-    # the words as they stand, where they have letters beyond ASCII: a word of the corpus is not repaired to a rarer one
-    stands = found.where(F.size("before") > 0).select("token", "restored", F.explode("before").alias("key")).join(vocabulary, "key").groupBy("token", "restored").agg(F.max("n").alias("n_before"))
-    best = found.join(weighed, ["token", "restored"]).join(stands, ["token", "restored"], "left")
-    multi, lost, mark = F.col("channel") == "utf-8", F.col("restored").contains(LOST), F.col("channel") == "question mark"
-    known = (F.col("n_words") > 0) & (F.col("n_known") == F.col("n_words"))
-    control = F.col("token").rlike("[\\u0080-\\u0084\\u0086-\\u009f]")  # 85 is a line end
-    # a word garbled the same way throughout is still far rarer than its whole form
-    rarer = F.col("least") >= F.greatest(F.lit(2), 3 * F.coalesce("n_before", "n"))
-    take = multi | (F.col("channel") == "lost") | (known & rarer & (~mark | (F.col("least") >= 3)))
-    ranked = best.where(take | control).select(
-        "token", "restored", "channel", "filled", "quoted", "alone", known.alias("known"), lost.alias("lost"),
-        F.struct(multi.cast("int"), (known & rarer).cast("int"), F.col("least"), F.negative(F.length("restored")), F.col("restored")).alias("rank"),
-    )
-    top = ranked.groupBy("token").agg(F.max_by(F.struct("restored", "channel", "filled", "quoted", "alone", "known", "lost"), "rank").alias("b")).select("token", "b.*")
-    return top.select(
-        "token", "restored", "filled", "channel", "known",
-        (~F.col("quoted") & (~F.col("alone") | F.col("lost"))).alias("sure"), F.col("quoted"),
+            for t, n, met in zip(*(b.column(c).to_pylist() for c in range(3)), strict=True):
+                words = {m["own"]: (m["word"], m["n_rows"]) for m in met or ()}
+                own = {m["own"]: m["n"] for m in met or () if not m["spelled"]}
+                if found := restore(t, n, words, own, channel, total):
+                    restored, gaps, name = found
+                    quoted = is_quoted(t, gaps)
+                    rows.append((t, restored, name, not quoted and (not _letters_alone(t, gaps) or LOST in gaps), quoted))
+            cols = list(zip(*rows, strict=True)) or [[]] * 5
+            kinds = (pa.string(), pa.string(), pa.string(), pa.bool_(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["token", "restored", "channel", "sure", "quoted"])
+
+    return source.mapInArrow(run, "token string, restored string, channel string, sure boolean, quoted boolean")
+
+
+def _garbled(documents: DataFrame) -> DataFrame:
+    """``row, doc_id, fixes, channels`` of the garbled documents; texts are not shuffled, only suspect tokens are."""
+    held = suspect_tokens(documents)
+    hits = salted_join(held.select("row", "doc_id", F.explode(F.array_distinct("tokens")).alias("token")), repairs(held), ["token"])
+    per = hits.groupBy("row", "doc_id").agg(
+        F.collect_list(F.when(~F.col("quoted"), F.struct("token", "restored"))).alias("fixes"),
+        F.bool_or("sure").alias("sure"), F.array_sort(F.collect_set(F.when(F.col("sure"), F.col("channel")))).alias("channels"),
     )
+    return per.where("sure").drop("sure")
 
 
-def _fill(restored: str, filled: list[dict]) -> str:
-    """Lost letters filled from the words found for them; letters that are left keep their case."""
-    for f in sorted(filled or (), key=lambda f: -len(f["key"])):
-        at = restored.lower().find(f["key"])
-        if at < 0:
-            continue
-        old, word = restored[at : at + len(f["key"])], f["word"]
-        if len(old) == len(word):
-            upper = old.isupper() and sum(map(str.isalpha, old)) > 1
-            word = "".join((w.upper() if upper else w) if o == LOST else o for o, w in zip(old, word, strict=True))
-        restored = restored[:at] + word + restored[at + len(old) :]
-    return restored
+def garbled_ids(documents: DataFrame) -> DataFrame:
+    """``doc_id`` of every document with garbled text; as ``garbled_documents``, but texts are read once and never shuffled."""
+    return _garbled(documents).select("doc_id")
 
 
 def garbled_documents(documents: DataFrame) -> DataFrame:
     """Documents with garbled text: ``doc_id, text`` (restored where possible), ``n_places, n_open`` (places with letters still lost), ``channels``.
 
     Null, empty and clean texts give no rows; so do texts that only quote
-    garbled characters. Copies of a document are cases each. An empty table
-    gives no rows. Documents meet the repairs of their tokens by a join on the
-    token; frequent tokens are spread by the engine's skew handling.
+    garbled characters. Copies of a document are cases each, as are repeated
+    rows. An empty table gives no rows. Tokens meet their repairs, and texts
+    theirs, by joins whose smaller side is measured: broadcast below a bound,
+    salted beyond it.
     """
-    fixes = cut(repairs(documents))
-    token = F.explode(F.array_distinct(F.filter(F.regexp_extract_all(F.col("text").cast("string"), F.lit(f"({TOKEN})"), 1), lambda t: t.rlike(SUSPECT)))).alias("token")
-    hits = documents.where("text is not null").select("doc_id", token).join(fixes, "token")
-    per = hits.groupBy("doc_id").agg(
-        F.collect_list(F.when(~F.col("quoted"), F.struct("token", "restored", "filled"))).alias("fixes"),
-        F.bool_or("sure").alias("sure"), F.array_sort(F.collect_set(F.when(F.col("sure"), F.col("channel")))).alias("channels"),
-    ).where("sure")
-    src = documents.select("doc_id", F.col("text").cast("string").alias("text")).join(per.drop("sure"), "doc_id")
+    per = _garbled(documents).groupBy("doc_id").agg(F.first("fixes").alias("fixes"), F.first("channels").alias("channels"))
+    src = salted_join(documents.select("doc_id", F.col("text").cast("string").alias("text")), per, ["doc_id"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = re.compile(TOKEN)
         for b in batches:
             texts, places, open_ = [], [], []
             for text, fixes in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                known = {f["token"]: _fill(f["restored"], f["filled"]) for f in fixes}
+                known = {f["token"]: f["restored"] for f in fixes}
                 hit = [0, 0]
 
                 def put(m: re.Match, known: dict = known, hit: list = hit) -> str:
@@ -277,7 +459,7 @@ def garbled_documents(documents: DataFrame) -> DataFrame:
                     hit[1] += LOST in new
                     return new
 
-                texts.append(find.sub(put, text))
+                texts.append(_TOKEN.sub(put, text))
                 places.append(hit[0])
                 open_.append(hit[1])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), pa.array(places, pa.int32()), pa.array(open_, pa.int32()), b.column(3)], names=["doc_id", "text", "n_places", "n_open", "channels"])

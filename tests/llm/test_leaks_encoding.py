@@ -41,6 +41,8 @@ def test_garbled_documents(spark):
     clean = {201: "Als Latin-1 gelesen wird aus ü die Folge „Ã¼“.", 202: "Kommt er? Ja.", 203: None, 204: "", 205: "the sign is “�”.", 206: "see page?id=3"}
     # a rare token of a frequent word, while a garbled form of the word is frequent too
     garbled |= {i: "die Prьfsummen gelten" for i in range(301, 305)}
+    garbled |= {401: "a tool may turn the pair â€œÃƒÂ©â€\x9d into a dash", 402: "the dash â€œÃ¢â‚¬â€œâ€\x9d; and so on"}  # quotation marks are garbled themselves
+    clean |= {208: "a tool may turn the pair “Ã©” into a dash", 209: "the dash “â€“”; and so on"}
     clean |= {207: "der Prüfsummen</think> wegen"}
     df = spark.createDataFrame(rows + [*garbled.items(), *clean.items()], "doc_id bigint, text string")
     got = {r.doc_id: r.text for r in encoding_repair.garbled_documents(df).collect()}
@@ -64,3 +66,25 @@ def test_lattice_decodes_each_code_page():
     for page in ("latin-1", "cp850", "cp437", "mac_roman"):
         assert channel.decode_utf8("Prüfgröße".encode().decode(page)) == "Prüfgröße"
     assert channel.decode_utf8("Prüfgröße") == "Prüfgröße"
+
+
+def test_partial_losses_are_found_and_restored(spark):
+    """A word that lost only some of its letters, lost bytes inside UTF-8 read in a code page, a letter lost at a word's begin."""
+    rows = [(i, f"Die prüfungsmäßige Übersicht war früher größer, où l’été était près {i}.") for i in range(1, 41)]
+    garbled = {
+        101: ("eine pr?fungsmäßige Liste", "eine prüfungsmäßige Liste"), 102: ("eine pr\ufffdfungsmäßige Liste", "eine prüfungsmäßige Liste"), 103: ("eine pr\ufffdfungsm\ufffd\ufffdige Liste", "eine prüfungsmäßige Liste"),
+        104: ("war fr?her da", "war früher da"), 105: ("die ?bersicht fehlt", "die Übersicht fehlt"), 106: ("PR?FUNGSMÄSSIG fr?her", "PR?FUNGSMÄSSIG früher"), 107: ("prÃ¼fungsmÃ\ufffdÃŸige", "prüfungsmäßige"),
+    }
+    df = spark.createDataFrame(rows + [(i, t) for i, (t, _) in garbled.items()] + [(201, "war er da?oder nicht"), (202, "a?b:c")], "doc_id bigint, text string")
+    got = {r.doc_id: r.text for r in encoding_repair.garbled_documents(df).collect()}
+    assert got == {i: t for i, (_, t) in garbled.items()}
+    assert sorted(r.doc_id for r in encoding_repair.garbled_ids(df).collect()) == sorted(garbled)
+
+
+def test_the_more_frequent_word_wins():
+    """Of several words with the same gaps the search takes the most frequent, and a path's words decide between channels."""
+    channel = encoding_repair.Channel({c: 50 for c in "äöüé"})
+    words = {"möchte": ("möchte", 90), "mächte": ("Mächte", 7)}
+    lattice = encoding_repair.Lattice("M\ufffdchte", channel, words, 1000)
+    _, path, least, known = lattice.best("utf-8")
+    assert known and least == 90 and lattice.cased(path) == "Möchte"
