@@ -66,8 +66,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_outputs(spark: SparkSession, d: str) -> DataFrame:
-    records = table(spark, d, "ingest_records")
-    return repeated_lines.without_repeated_lines(records, repeated_lines.repeated_lines(records))
+    return repeated_lines.without_repeated_lines(table(spark, d, "ingest_records"))
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:

@@ -16,9 +16,12 @@ from quillstone.runtime import cut, salted_join
 _DIGITS = re.compile("[0-9]+").sub
 _SPACES = re.compile(r"[^\S\n]+").sub
 _LETTERS = 12
-_WINDOW, _AVERAGE, _LEAST = 12, 32, 16
-#: Frequent pieces (8 bytes each) are broadcast up to this many; beyond it lines are joined to them by source.
-PIECES_BROADCAST = 1_000_000
+#: (bytes hashed at a position, positions of which the least hash is a landmark): chunks of 16 bytes on average, and short ones.
+COARSE, FINE = (8, 31), (3, 3)
+#: So many bytes of text are chunked at once.
+_STREAM = 4 << 20
+_FACTOR = 0x9E3779B97F4A7C15
+_INVERSE = pow(_FACTOR, -1, 1 << 64)
 
 
 def _normal_lines(text: str) -> list[str]:
@@ -27,100 +30,192 @@ def _normal_lines(text: str) -> list[str]:
 
 
 def _enough_letters(line: str) -> bool:
-    return len(line) >= _LETTERS and sum(map(str.isalpha, line)) >= _LETTERS
+    return len(line) >= _LETTERS and (sum(map(str.isalpha, line[:20])) >= _LETTERS or sum(map(str.isalpha, line)) >= _LETTERS)
 
 
-def pieces_of(lines: list[str]) -> list[list[int]]:
-    """Content-defined pieces of each line, as 64-bit hashes.
+def _least(h: np.ndarray, size: int, take=np.minimum) -> np.ndarray:
+    """The least (or greatest) of every ``size`` neighbours, by doubling."""
+    have = 1
+    while have < size:
+        step = min(have, size - have)
+        h = take(h[:-step], h[step:]) if len(h) > step else h[:0]
+        have += step
+    return h
 
-    A rolling hash over the last ``_WINDOW`` bytes sets landmarks, one in
-    ``_AVERAGE`` bytes, at least ``_LEAST`` apart. Landmarks near a line's end
-    snap to it, so that pieces never mix a repeated line with its neighbours.
-    The rolling hash of all lines is computed at once.
+
+def landmarks(data: np.ndarray, gram: int, window: int) -> np.ndarray:
+    """Positions whose rolling hash over ``gram`` bytes is the least of some ``window`` neighbouring positions.
+
+    Whether a position is one depends on the bytes less than ``window`` before
+    it and ``window + gram`` after it, and each ``window`` positions have one.
     """
-    raw = [x.encode() for x in lines]
-    if not raw:
-        return []
-    data = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint32)
-    h, factor = np.zeros(len(data), np.uint32), 1
-    for back in range(min(_WINDOW, len(data))):
-        h[back:] += data[: len(data) - back] * np.uint32(factor)
-        factor = factor * 0x01000193 & 0xFFFFFFFF
+    n = len(data) - gram + 1
+    if n < window:
+        return np.empty(0, np.int64)
+    h = np.zeros(n, np.uint32)
+    for i in range(gram):
+        h *= np.uint32(0x01000193)
+        h += data[i : i + n]
     h ^= h >> np.uint32(15)
     h *= np.uint32(0x2C1B3C6D)
-    marks = np.flatnonzero(h >> np.uint32(12) & np.uint32(_AVERAGE - 1) == 0).tolist()
-    out, at, k = [], 0, 0
-    for x in raw:
-        start, end, hashes = at, at + len(x), []
-        while k < len(marks) and marks[k] < start + _WINDOW:  # the window would reach into the line before
-            k += 1
-        while k < len(marks) and marks[k] < end - _LEAST:
-            if marks[k] + 1 - start >= _LEAST:
-                hashes.append(xxhash.xxh3_64_intdigest(x[start - at : marks[k] + 1 - at]) - (1 << 63))
-                start = marks[k] + 1
-            k += 1
-        hashes.append(xxhash.xxh3_64_intdigest(x[start - at :]) - (1 << 63))
-        out.append(hashes)
-        at = end
-    return out
+    h ^= h >> np.uint32(13)
+    least = _least(h, window)
+    padded = np.concatenate([np.zeros(window - 1, np.uint32), least, np.zeros(window - 1, np.uint32)])
+    return np.flatnonzero(_least(padded, window, np.maximum) == h)
+
+
+class Stream:
+    """A stream of text, cut by content into chunks; line ends are bytes as any other."""
+
+    def __init__(self, raw: bytes):
+        self.data = np.frombuffer(raw, np.uint8)
+        n = len(raw)
+        powers = np.full(n, _INVERSE, np.uint64)
+        powers[:1] = 1
+        np.cumprod(powers, out=powers)
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(self.data.astype(np.uint64) * powers, out=self.sums[1:])
+        powers = np.full(n, _FACTOR, np.uint64)
+        powers[:1] = 1
+        self.powers = np.cumprod(powers)
+
+    def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """64-bit hashes of the bytes from ``start`` to ``end``, whatever their place."""
+        h = (self.sums[end] - self.sums[start]) * self.powers[start] + (end - start).astype(np.uint64)
+        h ^= h >> np.uint64(29)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        return (h ^ (h >> np.uint64(32))).view(np.int64)
+
+    def inside(self, start: np.ndarray, end: np.ndarray, scale: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Landmarks, and of each span the first and last that nothing outside the span can have set."""
+        gram, window = scale
+        marks = landmarks(self.data, gram, window)
+        return marks, np.searchsorted(marks, start + window - 1), np.searchsorted(marks, end - gram - window + 1, "right") - 1
+
+    def chunks(self, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per span (line) the hashes of the chunks that lie in it whatever stands around it, as ``(values, offsets)``.
+
+        A chunk reaches from a landmark over the next one. Lines too short for a
+        chunk of the coarse scale have one between landmarks of the fine scale,
+        which every span of at least 12 bytes holds; so each repeated line
+        repeats all chunks given for it.
+        """
+        marks, first, last = self.inside(start, end, COARSE)
+        n = np.maximum(0, last - first)
+        short = n == 0
+        fine, a, b = self.inside(start[short], end[short], FINE)
+        counts = np.where(short, 1, n)
+        offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        out = np.empty(offsets[-1], np.int64)
+        if short.any():
+            out[offsets[:-1][short]] = self.hashes(fine[a], fine[b] + FINE[0])
+        if not short.all():
+            long = ~short
+            at = np.repeat(first[long] - offsets[:-1][long], n[long]) + (places := np.flatnonzero(np.repeat(long, counts)))
+            out[places] = self.hashes(marks[at], marks[at + 1] + COARSE[0])
+        return out, offsets
 
 
 def _lines(records: DataFrame) -> DataFrame:
-    """Every line with enough letters: ``row_no, source_file, chunk_id, line_no, key, pieces``."""
-    src = records.where("output is not null").select("row_no", "source_file", "chunk_id", F.col("output").cast("string"))
+    """Every line with enough letters: ``row, row_no, source_file, chunk_id, line_no, key, pieces``; ``row`` numbers the rows."""
+    src = records.select(F.monotonically_increasing_id().alias("row"), "row_no", "source_file", "chunk_id", F.col("output").cast("string")).where("output is not null")
+
+    def flush(b: pa.RecordBatch, at: list, numbers: list, keys: list, starts: list, ends: list, stream: list) -> pa.RecordBatch:
+        if at:
+            values, offsets = Stream(b"\n".join([*stream, b""])).chunks(np.array(starts), np.array(ends))
+        else:
+            values, offsets = np.empty(0, np.int64), np.zeros(1, np.int32)
+        take = pa.array(at, pa.int64())
+        pieces = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int64()))
+        return pa.RecordBatch.from_arrays([*(b.column(c).take(take) for c in range(4)), pa.array(numbers, pa.int64()), pa.array(keys, pa.binary()), pieces], names=["row", "row_no", "source_file", "chunk_id", "line_no", "key", "pieces"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at, numbers, lines = [], [], []
-            for i, text in enumerate(b.column(3).to_pylist()):
+            parts: tuple[list, ...] = ([], [], [], [], [], [])
+            at, numbers, keys, starts, ends, stream = parts
+            size = 0
+            for i, text in enumerate(b.column(4).to_pylist()):
                 for n, line in enumerate(_normal_lines(text), 1):
+                    raw = line.encode()
                     if _enough_letters(line):
                         at.append(i)
                         numbers.append(n)
-                        lines.append(line)
-            keys = pa.array([xxhash.xxh3_128_digest(x) for x in lines], pa.binary())
-            take = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([*(b.column(c).take(take) for c in range(3)), pa.array(numbers, pa.int64()), keys, pa.array(pieces_of(lines), pa.list_(pa.int64()))], names=["row_no", "source_file", "chunk_id", "line_no", "key", "pieces"])
-
-    return src.mapInArrow(run, "row_no bigint, source_file string, chunk_id string, line_no bigint, key binary, pieces array<bigint>")
-
-
-def repeated_lines(records: DataFrame, least_docs: int = 5, share: float = 0.08) -> DataFrame:
-    """Lines to be removed, one row ``(row_no, source_file, line_no, n_docs)`` each.
-
-    Every output is chunked by content; different ``chunk_id`` are counted per
-    source and piece; a line all of whose pieces stand in at least ``least_docs``
-    documents and ``share`` of all documents of its source is a candidate, whose
-    own documents are then counted exactly. No line is lost: each piece of a
-    line stands wherever the line does. Null and empty outputs have no lines; a
-    null ``source_file`` is a source of its own; a null ``chunk_id`` is no
-    document but its lines are removed too. Copies of a row are cases each.
-    Counts are partial sums over (source, piece) and (source, line), so a source
-    with a third of all rows is spread over all tasks.
-    """
+                        keys.append(xxhash.xxh3_128_digest(raw))
+                        starts.append(size)
+                        ends.append(size + len(raw))
+                    stream.append(raw)
+                    size += len(raw) + 1
+                if size > _STREAM:
+                    yield flush(b, *parts)
+                    for p in parts:
+                        p.clear()
+                    size = 0
+            yield flush(b, *parts)
+
+    return src.mapInArrow(run, "row bigint, row_no bigint, source_file string, chunk_id string, line_no bigint, key binary, pieces array<bigint>")
+
+
+def _found(records: DataFrame, least_docs: int, share: float) -> tuple[DataFrame, DataFrame]:
+    """Candidate lines, and the repeated ones as ``source_file, key, n_docs``."""
     lines = cut(_lines(records))
     source, doc = F.xxhash64("source_file").alias("source"), F.xxhash64("chunk_id").alias("doc")
-    docs = records.where("chunk_id is not null").select("source_file", "chunk_id").distinct().groupBy("source_file").agg(F.count(F.lit(1)).alias("n_all"))
+    docs = cut(records.where("chunk_id is not null").select("source_file", "chunk_id").distinct().groupBy("source_file").agg(F.count(F.lit(1)).alias("n_all")))
     enough = (F.col("n_docs") >= least_docs) & (F.col("n_docs") >= F.col("n_all") * F.lit(share))
 
-    # pieces only propose lines, so their sources and documents are counted as 64-bit hashes, a third of the size
+    # chunks only propose lines, so their sources and documents are counted as 64-bit hashes, a third of the size
     pieces = lines.where("chunk_id is not null").select(source, doc, F.explode(F.array_distinct("pieces")).alias("piece")).distinct()
     counted = pieces.groupBy("source", "piece").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") >= least_docs)
-    often = cut(counted.join(docs.select(source, "n_all"), "source").where(enough).select("source", "piece"))
-    # at most 1/share times the pieces of a document are frequent in a source
-    known = often.groupBy("source").agg(F.collect_list("piece").alias("known"))
-    asked = lines.withColumn("source", F.xxhash64("source_file"))
-    joined = asked.join(F.broadcast(known), "source") if often.count() <= PIECES_BROADCAST else salted_join(asked, known, ["source"])
-    candidates = joined.where(F.forall("pieces", lambda p: F.array_contains("known", p))).select("row_no", "source_file", "chunk_id", "line_no", "key")
+    often = salted_join(counted, docs.groupBy(source).agg(F.min("n_all").alias("n_all")), ["source"]).where(enough).select("source", "piece")
+    each = ["row", "row_no", "source_file", "chunk_id", "line_no", "key"]
+    asked = lines.select(*each, source, F.size("pieces").alias("n_pieces"), F.explode("pieces").alias("piece"))
+    met = salted_join(asked, often, ["source", "piece"])
+    candidates = cut(met.groupBy(*each, "n_pieces").agg(F.count(F.lit(1)).alias("n_met")).where("n_met = n_pieces").select(*each))
 
     n = candidates.where("chunk_id is not null").select("source_file", "chunk_id", "key").distinct().groupBy("source_file", "key").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") >= least_docs)
-    hits = salted_join(n, docs, ["source_file"]).where(enough).select("source_file", "key", "n_docs")
+    return candidates, salted_join(n, docs, ["source_file"]).where(enough).select("source_file", "key", "n_docs")
+
+
+def repeated_lines(records: DataFrame, least_docs: int = 5, share: float = 0.08) -> DataFrame:
+    """Lines to be removed, one row ``(row_no, source_file, line_no, n_docs)`` each.
+
+    Every output is one stream, cut into chunks at landmarks of a rolling hash,
+    not at line ends; different ``chunk_id`` are counted per source and chunk.
+    Chunks in at least ``least_docs`` documents and ``share`` of all documents of
+    their source are mapped back to the lines they lie in; a line made of such
+    chunks only is a candidate, whose own documents are then counted exactly.
+    Each chunk that counts for a line stands wherever the line does, so no line
+    is missed (but for collisions of 64-bit hashes of documents). Null and empty
+    outputs have no lines; a null ``source_file`` is a source of its own; a null
+    ``chunk_id`` is no document but its lines are removed too. Copies of a row
+    are cases each. Counts are partial sums over (source, chunk) and (source,
+    line), so a source with a third of all rows is spread over all tasks.
+    """
+    candidates, hits = _found(records, least_docs, share)
     return salted_join(candidates, hits, ["source_file", "key"]).select("row_no", "source_file", "line_no", "n_docs")
 
 
-def without_repeated_lines(records: DataFrame, found: DataFrame) -> DataFrame:
-    """``row_no, output, n_removed``: every record's output without its repeated lines (unchanged where there are none)."""
-    gone = found.groupBy("row_no").agg(F.collect_set("line_no").alias("gone"))
-    rows = records.select("row_no", F.col("output").cast("string").alias("output")).join(gone, "row_no", "left")
-    kept = F.filter(F.split("output", "\n"), lambda line, i: ~F.array_contains("gone", (i + 1).cast("bigint")))
-    return rows.select("row_no", F.when(F.col("gone").isNull(), F.col("output")).otherwise(F.array_join(kept, "\n")).alias("output"), F.coalesce(F.size("gone"), F.lit(0)).alias("n_removed"))
+def without_repeated_lines(records: DataFrame, least_docs: int = 5, share: float = 0.08) -> DataFrame:
+    """``row_no, output, n_removed``: every record's output without its repeated lines (unchanged where there are none).
+
+    A source's repeated lines are few (at most 1/``share`` times the lines of a
+    document, on average), so they go to the records, and texts stay where they
+    are. Lines are as in ``repeated_lines``; a null output stays null.
+    """
+    hits = _found(records, least_docs, share)[1].groupBy("source_file").agg(F.collect_set("key").alias("gone"))
+    src = salted_join(records.select("row_no", "source_file", F.col("output").cast("string").alias("output")), hits, ["source_file"], "left").select("row_no", "output", "gone")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts, removed = [], []
+            for text, gone in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                n = 0
+                if text and gone:
+                    keys = frozenset(gone)
+                    kept = [raw for raw, line in zip(text.split("\n"), _normal_lines(text), strict=True) if not (_enough_letters(line) and xxhash.xxh3_128_digest(line.encode()) in keys)]
+                    n = text.count("\n") + 1 - len(kept)
+                    text = "\n".join(kept) if n else text
+                texts.append(text)
+                removed.append(n)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), pa.array(removed, pa.int32())], names=["row_no", "output", "n_removed"])
+
+    return src.mapInArrow(run, "row_no bigint, output string, n_removed int")

@@ -1,9 +1,11 @@
 import re
 from collections import defaultdict
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from quillstone import runtime
 from quillstone.llm import repeated_lines, scanned
 
 from .records import records
@@ -39,19 +41,33 @@ def test_repeated_lines_equal_brute_force(spark, monkeypatch):
             if m >= 5 and m >= 0.08 * len(docs[r["source_file"]]):
                 want.add((i, n))
     assert got == want and want
-    monkeypatch.setattr(repeated_lines, "PIECES_BROADCAST", 0)
+    monkeypatch.setattr(runtime, "BROADCAST_ROWS", -1)  # sides are joined salted instead of broadcast
     assert {(r.row_no, r.line_no) for r in repeated_lines.repeated_lines(records(spark, rows)).collect()} == want
-    left = {r.row_no: r.output for r in repeated_lines.without_repeated_lines(records(spark, rows), repeated_lines.repeated_lines(records(spark, rows))).collect()}
+    left = {r.row_no: r.output for r in repeated_lines.without_repeated_lines(records(spark, rows)).collect()}
     assert "COPY" not in left[1] and left[2] == rows[1]["output"] and left[62] is None
     assert repeated_lines.repeated_lines(records(spark, rows).where("false")).count() == 0
 
 
+def _pieces(lines):
+    raw = [x.encode() for x in lines]
+    ends = np.cumsum([len(x) + 1 for x in raw]) - 1
+    at = [i for i, x in enumerate(raw) if len(x) >= 12]
+    values, offsets = repeated_lines.Stream(b"\n".join([*raw, b""])).chunks(np.array([ends[i] - len(raw[i]) for i in at], np.int64), np.array([ends[i] for i in at], np.int64))
+    return {i: values[offsets[k] : offsets[k + 1]].tolist() for k, i in enumerate(at)}
+
+
 @settings(max_examples=80, deadline=None)
-@given(st.lists(st.text("abcdefgh ", min_size=1, max_size=120), max_size=8), st.text("abc ", max_size=60))
-def test_pieces_of_a_line_do_not_depend_on_its_neighbours(lines, other):
-    alone = [repeated_lines.pieces_of([x])[0] for x in lines]
-    assert repeated_lines.pieces_of(lines) == alone
-    assert repeated_lines.pieces_of([other, *lines])[1:] == alone
+@given(st.lists(st.text("abcdefgh ", min_size=12, max_size=320), max_size=8), st.text("abc ", max_size=60))
+def test_chunks_of_a_line_do_not_depend_on_its_neighbours(lines, other):
+    alone = {i: _pieces([x])[0] for i, x in enumerate(lines)}
+    assert all(alone.values())
+    assert _pieces(lines) == alone
+    assert _pieces([other, *lines, other]) == {i + 1: x for i, x in alone.items()} | {i: x for i in (0, len(lines) + 1) if len(other) >= 12 for x in [_pieces([other])[0]]}
+
+
+def test_coarse_chunks_lie_inside_long_lines_only():
+    line = "the operator shall not copy this notice, nor any part of it, without the written consent of the reading room; " * 3
+    assert len(_pieces([line])[0]) > 5 and len(_pieces(["do not copy!"])[0]) == 1
 
 
 def levenshtein(a, b):
