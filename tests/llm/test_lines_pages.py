@@ -2,6 +2,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -118,8 +119,9 @@ def test_reflow():
     assert scanned.reflowed(lines) == "A line that goes on here.\n\n1. First point\n2. Second point\nblk.1.attn=Q4 (12)\nblk.2.attn=Q4 (12)"
 
 
-def test_page_faults_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(scanned, "FORMS_AT_ONCE", 1)
+@pytest.mark.parametrize("rows", [200_000, -1])
+def test_page_faults_of_few_rows(spark, monkeypatch, rows):
+    monkeypatch.setattr(runtime, "BROADCAST_ROWS", rows)  # nothing is broadcast below 0
     text = "The session tokens compare with memory pages before the nightly job."
     rows = [{"output": text, "input": text, "page_start": 1, "page_end": 1}] * 30 + [{"output": "The sessiori tokens compare with memory pages.", "page_start": 1, "page_end": 1}, {"output": "The t0kens compare with rnemory pages before the job.", "page_start": 1, "page_end": 1}]
     assert {(r.row_no, r.kind) for r in scanned.page_faults(records(spark, rows)).collect()} == {(31, "ocr"), (32, "ocr")}
@@ -163,3 +165,24 @@ def test_any_number_of_confusions(spark):
 def test_confusions_found_are_those_that_explain(words, read):
     found = scanned.Vocabulary(dict.fromkeys(words, 1)).explained(read)
     assert sorted(found) == sorted((n, w) for w in words if (n := scanned.misreadings(w, read)) is not None)
+
+
+def test_both_sides_of_a_confusion_have_one_shape():
+    assert all(a.translate(scanned.SHAPES) == b.translate(scanned.SHAPES) for a, b in scanned.CONFUSIONS)
+    assert "modern".translate(scanned.SHAPES) == "modem".translate(scanned.SHAPES) != "model".translate(scanned.SHAPES)
+
+
+def test_a_word_misread_as_another_word(spark):
+    """Both words are frequent; where the neighbours are those of the other one, the word is misread, and only there."""
+    rows = [{"output": f"The report shows the modern design of networks in part {i}.", "page_start": 900, "page_end": 901} for i in range(60)]
+    rows += [{"output": f"The operator bought a modem adapter for networks in part {i}.", "page_start": 900, "page_end": 901} for i in range(60)]
+    rows += [{"output": "The report shows the modem design of networks.", "page_start": 900, "page_end": 901}, {"output": "Someone likes some modem very much.", "page_start": 900, "page_end": 901}]
+    assert {(r.row_no, r.kind) for r in scanned.page_faults(records(spark, rows)).collect()} == {(121, "ocr")}
+    assert [r.text for r in scanned.repaired_pages(records(spark, rows)).collect()] == ["The report shows the modern design of networks."]
+
+
+def test_every_title_of_a_volume_counts(spark):
+    titles = [f"Quiet {w} Shard" for w in ("Amber", "Birch", "Cedar", "Delta", "Ember", "Fjord")]
+    rows = [{"output": "Plain text of a page that goes on.", "source_title": t, "page_start": 900, "page_end": 901} for t in titles]
+    rows += [{"output": f"some text\n{t.upper()}\nthat goes on.", "source_title": None, "page_start": 900, "page_end": 901} for t in titles]
+    assert {(r.row_no, r.kind) for r in scanned.page_faults(records(spark, rows)).collect()} == {(i, "header") for i in range(7, 13)}
