@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstone.runtime import cut, salted_join
@@ -27,7 +27,7 @@ FUNCTIONS = {
     "truncated": (("mark of omission", 0.25, 0.0005), ("no sentence end", 0.6, 0.005), ("stump or seldom a last word", 0.6, 0.01), ("log odds of the ending", 0.95, 0.003)),
 }
 PRIOR = {"empty": 0.02, "refusal": 0.01, "copy": 0.01, "language": 0.01, "truncated": 0.03}
-#: Posteriors above which a label is kept, validated on fixtures of known defects.
+#: Posteriors above which a label is kept: those of the best F1 on planted defects (``best_cutoffs``; figures in the README).
 CUTOFF = {"empty": 0.5, "refusal": 0.5, "copy": 0.5, "language": 0.5, "truncated": 0.5}
 #: The language classifier is fitted on at most this many rows per language.
 SAMPLE_PER_LANGUAGE = 1500
@@ -93,22 +93,32 @@ class LanguageModel:
         return self.languages[order[0]], sums[order[0]] - sums[order[1]]
 
 
-def _labelled(records: DataFrame, manifest: DataFrame) -> DataFrame:
-    latest = manifest.where("output_json is not null and lang is not null").groupBy("output_json").agg(F.max_by("lang", F.struct("generated_at", "manifest_row")).alias("lang"))
-    return records.join(latest, records["source_file"] == latest["output_json"]).select("lang", F.concat_ws("\n", "input", "alt_question_1", "summary", "output").alias("t"), "row_no")
+def _languages(manifest: DataFrame) -> DataFrame:
+    return manifest.where("output_json is not null and lang is not null").groupBy(F.col("output_json").alias("source_file")).agg(F.max_by("lang", F.struct("generated_at", "manifest_row")).alias("lang"))
+
+
+def sampled(records: DataFrame, manifest: DataFrame, per_language: int) -> DataFrame:
+    """``lang, t``: of each manifest language the ``per_language`` rows of the lowest hash of ``row_no``, or all where there are fewer.
+
+    Rows are filtered by a hash threshold that leaves a few more than that, of
+    each language alike, before the lowest are ranked.
+    """
+    latest = cut(_languages(manifest))
+    sizes = records.groupBy("source_file").agg(F.count(F.lit(1)).alias("n")).join(latest, "source_file").groupBy("lang").agg(F.sum("n").alias("n_lang"))
+    # 2^63 times the share of the language's rows wanted, with room for chance
+    most = F.least(F.lit(1.0), (F.lit(float(per_language)) + 6 * math.sqrt(per_language) + 20) / F.col("n_lang")) * float(2**63)
+    h = F.abs(F.xxhash64("row_no").cast("double"))
+    rows = records.select("row_no", "source_file", F.concat_ws("\n", "input", "alt_question_1", "summary", "output").alias("t"))
+    chosen = salted_join(rows, latest.join(sizes, "lang").select("source_file", "lang", most.alias("most")), ["source_file"]).where(h <= F.col("most")).withColumn("h", h)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "row_no"))
+    return chosen.select("lang", "t", rank.alias("rank")).where(F.col("rank") <= per_language).select("lang", "t")
 
 
 def language_model(records: DataFrame, manifest: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> LanguageModel:
-    """Fitted on at most ``per_language`` rows of each manifest language (a documented bound), chosen by a hash of ``row_no``."""
-    named = _labelled(records, manifest)
-    sizes = {r.lang: r["count"] for r in named.groupBy("lang").count().toLocalIterator()}
-    if not sizes:
-        return LanguageModel({})
-    share = F.create_map(*[x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(1.0, per_language / n)))])
-    sample = named.where(F.pmod(F.xxhash64("row_no"), F.lit(1_000_000)) < 1_000_000 * share[F.col("lang")]).limit(2 * per_language * len(sizes))
-    texts: dict[str, list[str]] = {lang: [] for lang in sizes}
-    for r in sample.select("lang", "t").toLocalIterator():
-        texts[r.lang].append(r.t)
+    """Fitted on at most ``per_language`` rows of each manifest language (a documented bound), see ``sampled``."""
+    texts: dict[str, list[str]] = {}
+    for r in sampled(records, manifest, per_language).toLocalIterator():
+        texts.setdefault(r.lang, []).append(r.t)
     return LanguageModel(texts)
 
 
@@ -145,26 +155,33 @@ def judge_pair(question: Question, answer: str | None, group: str, endings: Endi
     empty = is_empty(answer, seen)
     letters = len(words) > 3 or any(map(str.isalpha, seen))
     out = {"empty": [int(empty), None if empty and letters else int(not letters)]}
-    # refusal: every sentence declines, apologises or points elsewhere; speech within a story is none
-    short = len(seen) <= 600 and len(words) <= 45
+    # refusal: the answer opens by declining, apologising or pointing elsewhere and mostly does so; speech within a story is none
+    short = len(words) <= 45
     declines = only = False
-    if short:
+    opening = seen
+    for _ in range(2):
+        m = _SPLIT.search(opening)
+        declines = declines or bool(_DECLINES.search(opening, 0, m.start() if m else len(opening)))
+        if declines or not m:
+            break
+        opening = opening[m.end() :]
+    if declines and not _SPOKEN.search(seen):
         sentences = [x for x in _SPLIT.split(seen) if x.strip()]
-        short = len(sentences) <= 4
-        declines = short and bool(_DECLINES.search(seen)) and not _SPOKEN.search(seen)
-        only = declines and sum(map(bool, map(_DECLINES.search, sentences))) * 2 >= len(sentences)
-    out["refusal"] = [int(declines), int(short), None, int(only)]
+        only = sum(map(bool, map(_DECLINES.search, sentences))) * 2 >= len(sentences)
+        declines = only or short
+    else:
+        declines = False
+    out["refusal"] = [int(declines), 1 if short else None if only else 0, None, int(only)]
     # copy: an answer that has few of the question's words cannot be one
     same = contained = covers = False
-    if len(seen) <= 600 or len(words) <= 4 * len(question.words) + 8:
-        asked = question.set
-        if len(asked.intersection(words)) >= 0.6 * len(asked):
-            bare = plain_words(_PREFIX.sub("", seen))
-            a, q = b"".join(bare), b"".join(question.words)
-            said = set(bare)
-            same = bool(q) and a in (q, q * 2, q * 3)
-            contained = len(words) >= 3 and bool(said) and len(said - asked) <= len(said) // 20 and len(said) >= 0.6 * len(asked)
-            covers = bool(asked) and len(asked & said) >= 0.85 * len(asked) and len(said) <= 1.3 * len(asked) + 2
+    asked = question.set
+    if len(asked.intersection(words)) >= 0.6 * len(asked):
+        bare = plain_words(_PREFIX.sub("", seen)) if _PREFIX.match(seen) else words
+        a, q = b"".join(bare), b"".join(question.words)
+        said = set(bare)
+        same = bool(q) and len(a) >= len(q) and a == q * (len(a) // len(q))
+        contained = len(words) >= 3 and bool(said) and len(said - asked) <= len(said) // 20 and len(said) >= 0.6 * len(asked)
+        covers = bool(asked) and len(asked & said) >= 0.85 * len(asked) and len(said) <= 1.3 * len(asked) + 2
     out["copy"] = [int(same), int(contained), int(covers)]
     # language: letters are asked only where words don't settle it
     spoken = None
@@ -188,7 +205,7 @@ def judge_pair(question: Question, answer: str | None, group: str, endings: Endi
     out["truncated"] = [int(e.kind == "marked" and e.score > 0), int(e.kind == "open" and not listing), int(not listing and e.stump >= 6), int(score > 0.0)]
     return {
         "votes": out,
-        "signature": xxhash.xxh3_64_intdigest(_signature(words, question.set)) - (1 << 63) if short and 2 <= len(words) else None,
+        "signature": xxhash.xxh3_64_intdigest(_signature(words, question.set)) - (1 << 63) if (short or only) and 2 <= len(words) else None,
         "tail": _line_key(tail) if tail and not listing else None,
         "spoken": spoken,
         "ending": (len(answer or ""), len(e.body), e.kind, e.score),
@@ -226,13 +243,12 @@ def pair_votes(records: DataFrame, manifest: DataFrame) -> DataFrame:
     schema = "row_no bigint, source_file string, field string, signature bigint, tail bigint, question bigint, length int, body int, kind string, score double, spoken string, " + ", ".join(f"{d} array<tinyint>" for d in DEFECTS)
     votes = cut(src.mapInArrow(run, schema))
     # the same short answer to different questions; a last line that ends other records of the file too is a notice, not a stump
-    volumes = manifest.where("output_json is not null").groupBy(F.col("output_json").alias("source_file")).agg(F.max_by("lang", F.struct("generated_at", "manifest_row")).alias("volume"))
+    volumes = _languages(manifest).withColumnRenamed("lang", "volume")
     stock = votes.where("signature is not null").select("signature", "question").distinct().groupBy("signature").agg(F.count(F.lit(1)).alias("n_questions")).where("n_questions >= 4")
     notices = votes.where("tail is not null").groupBy("source_file", "tail").agg(F.count_distinct("question").alias("n_tails")).where("n_tails >= 2")
-    judged = votes.where("field = 'summary' and kind <> 'empty'").select("row_no", "source_file", "field", "length", "body", "kind", "score")
-    summaries = truncation.weighed(judged).select("row_no", "field", "is_cut")
-    out = salted_join(votes, volumes, ["source_file"], "left")
-    out = salted_join(salted_join(out, stock, ["signature"], "left"), notices, ["source_file", "tail"], "left").join(summaries, ["row_no", "field"], "left")
+    limits = truncation.field_limits(votes.where("field = 'summary' and kind <> 'empty'"))
+    out = truncation.weigh(salted_join(votes, volumes, ["source_file"], "left"), limits).withColumn("is_cut", F.col("is_cut") & (F.col("kind") != "empty"))
+    out = salted_join(salted_join(out, stock, ["signature"], "left"), notices, ["source_file", "tail"], "left")
     lv = F.col("language")
     other = F.when(F.col("volume").isNull() | (lv[0] < 0), F.lit(-1)).otherwise(F.coalesce((F.col("spoken") != F.col("volume")).cast("int"), F.lit(0))).cast("tinyint")
     repeated = F.when(F.col("signature").isNull(), F.lit(0)).otherwise(F.coalesce((F.col("n_questions") >= 4).cast("int"), F.lit(0))).cast("tinyint")
@@ -244,7 +260,7 @@ def pair_votes(records: DataFrame, manifest: DataFrame) -> DataFrame:
     return out.select("row_no", "field", "empty", F.array(r[0], r[1], repeated, r[3]).alias("refusal"), "copy", F.array(lv[0], lv[1], other).alias("language"), with_limits.alias("truncated"))
 
 
-def pair_labels(records: DataFrame, manifest: DataFrame) -> DataFrame:
+def pair_labels(records: DataFrame, manifest: DataFrame, cutoffs: dict[str, float] = CUTOFF) -> DataFrame:
     """Every label of every answer: ``row_no, field, defect, posterior``; an answer may have several.
 
     For each defect a label model is fitted to how often each combination of
@@ -261,7 +277,7 @@ def pair_labels(records: DataFrame, manifest: DataFrame) -> DataFrame:
         if not patterns:
             continue
         share, rates = label_model.fit(patterns, PRIOR[d], [(h, f) for _, h, f in FUNCTIONS[d]])
-        kept = {p: x for p in patterns if (x := label_model.posterior(p, share, rates)) > CUTOFF[d]}
+        kept = {p: x for p in patterns if (x := label_model.posterior(p, share, rates)) > cutoffs[d]}
         if not kept:
             continue
         entries = [x for p, post in kept.items() for x in (F.lit(" ".join(str(-1 if v is None else v) for v in p)), F.lit(post))]
@@ -275,3 +291,24 @@ def pair_defects(records: DataFrame, manifest: DataFrame) -> DataFrame:
     """One defect per defective answer, ``row_no, field, defect``: the first that holds in the order of ``DEFECTS``."""
     rank = F.array_position(F.array(*map(F.lit, DEFECTS)), F.col("defect"))
     return pair_labels(records, manifest).groupBy("row_no", "field").agg(F.min_by("defect", rank).alias("defect"))
+
+
+def best_cutoffs(labels: DataFrame, truth: DataFrame) -> dict[str, tuple[float, float]]:
+    """``(cutoff, F1)`` per defect: the posterior above which labels agree best with ``truth`` (``row_no, field, defect``).
+
+    For validation on labelled rows. Posteriors belong to combinations of
+    votes, so there are few different ones; the cutoff lies midway between two.
+    ``labels`` as of ``pair_labels`` with every posterior kept.
+    """
+    known = truth.select("row_no", "field", "defect", F.lit(1).alias("t"))
+    rows = labels.join(known, ["row_no", "field", "defect"], "full_outer").groupBy("defect", F.coalesce("posterior", F.lit(0.0)).alias("p")).agg(F.count("t").alias("true"), F.count(F.lit(1)).alias("n")).collect()
+    out = {}
+    for d in sorted({r.defect for r in rows}):
+        mine = sorted(((r.p, r.true, r.n) for r in rows if r.defect == d), reverse=True)
+        total, hit, said, best = sum(t for _, t, _ in mine), 0, 0, (0.0, 1.0)
+        for i, (p, t, n) in enumerate(mine):
+            hit, said = hit + t, said + n
+            below = mine[i + 1][0] if i + 1 < len(mine) else 0.0
+            best = max(best, (2 * hit / (said + total), (p + below) / 2))
+        out[d] = (best[1], best[0])
+    return out

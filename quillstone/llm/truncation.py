@@ -122,11 +122,12 @@ def cut_values(records: DataFrame, fields: tuple[str, ...] = FIELDS, known=None)
     ``source_file`` is a source of its own; copies of a row are cases each; an
     empty table gives no rows.
     """
-    return weighed(cut(values(records, fields, known).where("kind <> 'empty'")))
+    judged = cut(values(records, fields, known).where("kind <> 'empty'"))
+    return weigh(judged, field_limits(judged)).select("row_no", "source_file", "field", "length", "kind", "posterior", F.col("odds").alias("score"), "is_cut")
 
 
-def weighed(judged: DataFrame) -> DataFrame:
-    """The same for values judged already: ``row_no, source_file, field, length, body, kind, score``."""
+def field_limits(judged: DataFrame) -> DataFrame:
+    """``source_file, field, limits``: the lengths at which values judged already are cut, each with its posterior."""
     stuck = F.col("score") > 2
     spread = judged.select("source_file", "field", "length", stuck.alias("stuck")).unionByName(
         # a mark put at the end later lengthens the value: its length before that is a candidate too
@@ -146,12 +147,15 @@ def weighed(judged: DataFrame) -> DataFrame:
 
     found = asked.mapInArrow(run, "f string, g string, limit int, posterior double").where("posterior is not null")
     # at most a few limits per source and field, so the join does not multiply rows before the aggregate picks one
-    per_source = found.groupBy(F.col("f").alias("source_file"), F.col("g").alias("field")).agg(F.map_from_entries(F.collect_list(F.struct("limit", "posterior"))).alias("limits"))
+    return found.groupBy(F.col("f").alias("source_file"), F.col("g").alias("field")).agg(F.map_from_entries(F.collect_list(F.struct("limit", "posterior"))).alias("limits"))
+
+
+def weigh(judged: DataFrame, limits: DataFrame) -> DataFrame:
+    """``judged`` with ``posterior``, ``odds`` (of ending evidence and length together) and ``is_cut``; other columns stay."""
     p = F.coalesce(F.col("limits")[F.col("length")], F.col("limits")[F.col("body")], F.col("limits")[F.col("length") - 1])
-    at_limit = salted_join(judged, per_source, ["source_file", "field"], "left").withColumn("posterior", p)
+    at_limit = salted_join(judged, limits, ["source_file", "field"], "left").withColumn("posterior", p).drop("limits")
     odds = F.when(F.col("posterior").isNull(), F.lit(PRIOR)).otherwise(F.greatest(F.lit(PRIOR), F.least(F.lit(4.0), F.log(F.col("posterior") / (1.0001 - F.col("posterior"))))))
-    total = F.col("score") + odds
-    return at_limit.select("row_no", "source_file", "field", "length", "kind", "posterior", total.alias("score"), (total > CUTOFF).alias("is_cut"))
+    return at_limit.withColumn("odds", F.col("score") + odds).withColumn("is_cut", F.col("odds") > CUTOFF)
 
 
 def cut_rates(values: DataFrame) -> DataFrame:

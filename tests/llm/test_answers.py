@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from quillstone.llm import label_model, pairs, truncation, wordstats
 
@@ -134,3 +135,36 @@ def test_copies_do_not_hide_a_cut_value(spark):
         hot = [base | {"summary": "Beyond that it treats memo", "chunk_id": f"x{i}"} for i in range(copies)]
         found = truncation.cut_values(records(spark, rows + hot)).where("is_cut").collect()
         assert {(r.row_no, r.field) for r in found} == {(len(rows) + 1 + i, "summary") for i in range(copies)}
+
+
+LONG_REFUSAL = " ".join(["I’m sorry, but I can’t help with that request.", "We are unable to provide details about this system because our guidelines do not allow it."] * 7)
+
+
+def test_long_refusals_and_repeated_questions(spark):
+    """Length decides nothing: a refusal of 900 characters, and a question given back ten times, are defects all the same."""
+    rows = corpus()
+    base = rows[0]
+    assert len(LONG_REFUSAL) > 900
+    whole = base["output"] + " " + " ".join(r["output"] for r in rows[2:40:2])
+    cases = [{"output": LONG_REFUSAL}, {"output": " ".join([base["alt_question_1"]] * 10)}, {"output": whole}, {"output": whole + " I’m sorry, said the operator, but I can’t help with that request."}]
+    rows += [base | d | {"chunk_id": f"x{i}"} for i, d in enumerate(cases)]
+    manifest = spark.createDataFrame([(1, "2025", "en.json", "en"), (2, "2025", "de.json", "de")], MANIFEST)
+    n = len(rows) - len(cases)
+    got = {(r.row_no, r.field, r.defect) for r in pairs.pair_defects(records(spark, rows), manifest).where(f"row_no > {n}").collect()}
+    assert got == {(n + 1, "output", "refusal"), (n + 2, "output", "copy")}
+
+
+def test_sample_has_the_lowest_hashes_of_each_language(spark):
+    """However many rows a language has, its sample is the lowest hashes, the same number for each."""
+    rows = spark.range(1, 5001).select(F.col("id").alias("row_no"), F.when(F.col("id") % 50 == 0, "b.json").otherwise("a.json").alias("source_file"), *(F.col("id").cast("string").alias(c) for c in ("input", "alt_question_1", "summary", "output")))
+    manifest = spark.createDataFrame([(1, "2025", "a.json", "en"), (2, "2025", "b.json", "de")], MANIFEST)
+    got = pairs.sampled(rows, manifest, 40).groupBy("lang").count().collect()
+    assert {r.lang: r["count"] for r in got} == {"en": 40, "de": 40}
+    want = {str(r.row_no) for r in rows.where("source_file = 'a.json'").orderBy(F.abs(F.xxhash64("row_no").cast("double"))).limit(40).collect()}
+    assert {r.t.split("\n")[0] for r in pairs.sampled(rows, manifest, 40).where("lang = 'en'").collect()} == want
+
+
+def test_cutoffs_of_the_best_agreement(spark):
+    labels = spark.createDataFrame([(i, "output", "copy", p) for i, p in enumerate([0.99, 0.99, 0.9, 0.4, 0.4, 0.1])], "row_no bigint, field string, defect string, posterior double")
+    truth = spark.createDataFrame([(0, "output", "copy"), (1, "output", "copy"), (2, "output", "copy")], "row_no bigint, field string, defect string")
+    assert pairs.best_cutoffs(labels, truth) == {"copy": (0.65, 1.0)}
