@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from quillstone.runtime import cut, measured, salted_join
 
+from .copies import with_copies
 from .wordstats import plain_words
 
 #: What scanners make of letters (as printed, as read).
@@ -347,14 +348,6 @@ def _pages(b: pa.RecordBatch, vocabulary: Container[str] | None) -> Iterator[tup
         yield row, Page(text, frozenset(s for t in titles if len(s := skeleton(t)) >= 4), first, last, vocabulary)
 
 
-def _with_copies(texts: DataFrame, key: str, text: str) -> DataFrame:
-    """``texts`` with ``again``: whether a row of a lower ``key`` has the same text. Only hashes are shuffled."""
-    hashes = texts.select(key, F.unhex(F.md5(text)).alias("h"))
-    more = hashes.groupBy("h").agg(F.min(key).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    again = salted_join(hashes, more, ["h"]).where(F.col(key) != F.col("first")).select(key, F.lit(True).alias("again")).distinct()
-    return salted_join(texts, again, [key], "left").withColumn("again", F.coalesce("again", F.lit(False)))
-
-
 def word_counts(records: DataFrame, texts: DataFrame) -> DataFrame:
     """``word, n, n_rows``: all words in lower case of the repaired lines of ``texts`` and of the records' questions; summed up per task before the shuffle.
 
@@ -397,9 +390,9 @@ def word_counts(records: DataFrame, texts: DataFrame) -> DataFrame:
 
     fields = ("input", "alt_question_1", "alt_question_3")
     asked = records.select("row_no", *(F.col(c).cast("string").alias(c) for c in fields))
-    asked = _with_copies(asked.withColumn("all", F.concat_ws("\n", *fields)), "row_no", "all").select(*fields, "again")
+    asked = with_copies(asked.withColumn("all", F.concat_ws("\n", *fields)), "row_no", "all").select(*fields, "again")
     schema = "word string, n bigint, n_rows bigint"
-    outputs = _with_copies(texts, "row_no", "output").select(*texts.columns, "again")
+    outputs = with_copies(texts, "row_no", "output").select(*texts.columns, "again")
     both = outputs.mapInArrow(of_pages, schema).unionByName(asked.mapInArrow(of_fields, schema))
     return both.groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_rows").alias("n_rows"), F.bool_or(F.col("n_rows").isNull()).alias("asked"))
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quillstone.runtime import salted_join
 
+from .copies import with_copies
 from .tokenizer import PRE_TOKEN, TOKENIZER_DIR, read_ranks
 
 
@@ -46,9 +47,9 @@ def _squeezed(c: Column) -> Column:
 def token_budget(records: DataFrame, manifest: DataFrame, vocabulary: str = f"{TOKENIZER_DIR}/byte_bpe_50k.tiktoken") -> DataFrame:
     """Token totals of ``records.output`` by slice.
 
-    Whole texts are hashed (SHA-256) and each distinct text is tokenised once;
-    the counts are joined back to the multiplicity of the text in each file and
-    title, which is aggregated before any shuffle of texts. Language and domain
+    Whole texts are hashed (SHA-256) and each distinct text is tokenised once, in
+    the first of its rows; the counts are joined back to the multiplicity of the
+    text in each file and title. Hashes and counts are shuffled, texts are not. Language and domain
     are those of the file's latest manifest row by ``generated_at`` (then
     ``manifest_row``); files without one, and null values there, form a slice
     of their own (null). Titles are compared without case and spacing and shown
@@ -63,10 +64,12 @@ def token_budget(records: DataFrame, manifest: DataFrame, vocabulary: str = f"{T
     ``n_tokens_distinct``.
     """
     base = records.select(
-        F.col("source_file"), _squeezed(F.col("source_title")).alias("title"),
+        "row_no", F.col("source_file"), _squeezed(F.col("source_title")).alias("title"),
         F.nullif(F.col("output").cast("string"), F.lit("")).alias("text"),
     ).withColumn("h", F.unhex(F.sha2("text", 256)))
-    counted = count_tokens(base.where("h is not null").groupBy("h").agg(F.first("text").alias("text")), "text", vocabulary)
+    # the first row of each text is tokenised where it lies; repeated rows give the same count again
+    first = with_copies(base.where("h is not null"), "row_no", "text").where("not again").select("h", "text")
+    counted = count_tokens(first, "text", vocabulary).groupBy("h").agg(F.max("n_tokens").alias("n_tokens"))
 
     spelled = base.groupBy("source_file", F.lower("title").alias("title_key"), "title").count()
     pick = Window.partitionBy("source_file", "title_key").orderBy(F.desc("count"), "title")
