@@ -147,7 +147,8 @@ def pack(records: DataFrame, usable: int) -> DataFrame:
             runs = pa.array([r for _, r in rows], pa.list_(pa.struct([(k, pa.int64()) for k in ("rank", "n", "per_bin", "bin")])))
             yield pa.RecordBatch.from_arrays([pa.array(docs, pa.string()), pa.array([s for s, _ in rows], pa.int32()), runs], names=["doc_id", "size", "runs"])
 
-    runs = hist.mapInArrow(run, "doc_id string, size int, runs array<struct<rank bigint, n bigint, per_bin bigint, bin bigint>>")
+    # few bytes but much work a volume: spread over all cores whatever the size
+    runs = hist.repartition(2 * hist.sparkSession.sparkContext.defaultParallelism, "doc_id").mapInArrow(run, "doc_id string, size int, runs array<struct<rank bigint, n bigint, per_bin bigint, bin bigint>>")
     offsets = before.join(runs.withColumnsRenamed({"doc_id": "d", "size": "s"}), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("size") == F.col("s"))).select(*keys, "ahead", "runs")
     ranked = pieces.withColumn("r", F.row_number().over(Window.partitionBy(*keys).orderBy("semantic_block_index", "row_no", "piece_index")) - 1)
     o = offsets.select(*(F.col(k).alias(f"_{k}") for k in keys), "ahead", "runs")
