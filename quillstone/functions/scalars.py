@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,13 +17,17 @@ def chunk_id(doc: Column, index: Column) -> Column:
     return F.concat(doc, F.lit(":chunk_"), F.lpad(index.cast("string"), 5, "0"))
 
 
-def payload_signature(*columns: Column) -> Column:
-    """H3, H4 (aggregate): SHA-1 over the sorted SHA-1s of the rows, independent of their order.
+def signatures(rows: DataFrame, keys: list[str], content: Column) -> DataFrame:
+    """H3, H4: ``keys, n, signature`` of each group's rows, whatever their order: SHA-1 over the hashes of 256 buckets of row hashes.
 
-    The rows' hashes are combined, so the group is never built as one string of texts.
+    Rows are spread by the first byte of their SHA-1, so a task holds a 256th of
+    a group's hashes (a null key is a group as any other), and texts are never
+    brought together.
     """
-    row = F.sha1(F.to_json(F.struct(*columns)))
-    return F.sha1(F.array_join(F.sort_array(F.collect_list(row)), ""))
+    h = rows.select(*keys, F.sha1(content).alias("_h")).withColumn("_b", F.substring("_h", 1, 2))
+    part = h.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"), F.sha1(F.array_join(F.sort_array(F.collect_list("_h")), "")).alias("_s"))
+    whole = F.sha1(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_b", "_s"))), lambda x: F.concat(x["_b"], x["_s"])), ""))
+    return part.groupBy(*keys).agg(F.sum("_n").alias("n"), whole.alias("signature"))
 
 
 def iso_time(text: Column, default: Column | None = None) -> Column:
@@ -56,8 +60,8 @@ def min_max(values: Column) -> Column:
 
 
 def layer_order(layer: Column, last: Column) -> Column:
-    """M2: position of a layer from 0 to 10; 0 where there is only one."""
-    return F.when(last <= 0, 0).otherwise(F.greatest(F.lit(0), F.least(F.lit(10), F.round(layer * 10.0 / last)))).cast("int")
+    """M2: position of a layer on a scale to 10, 10 at the most; 0 where there is only one."""
+    return F.when(last <= 0, F.lit(0.0)).otherwise(F.least(F.lit(10.0), 10.0 * (layer / last)))
 
 
 def required_gb(parameters: Column) -> Column:
@@ -126,3 +130,8 @@ def resume_after(items: Column, last: Column) -> Column:
     """What follows ``last``; all of it where ``last`` is not there."""
     at = F.coalesce(F.array_position(items, last), F.lit(0)).cast("int")
     return F.slice(items, at + 1, F.size(items))
+
+
+def whole_range(first: Column, last: Column) -> Column:
+    """The whole numbers from ``first`` to ``last``, both included; empty where ``last`` is smaller, null for null."""
+    return F.when(first <= last, F.sequence(first, last)).when(first > last, F.slice(F.array(first), 1, 0))

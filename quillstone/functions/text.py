@@ -87,6 +87,14 @@ def tags(text: Column, name: str) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(rf"(?is)<{name}>(.*?)</{name}>"), 1), squeeze)
 
 
+def tag_or_text(text: Column, name: str) -> Column:
+    """What the first pair of tags holds, as generated (X5); without a pair the whole text less stray tags; no thinking, empty for null."""
+    t = F.coalesce(without_thinking(text), F.lit(""))
+    inner = F.regexp_extract(t, rf"(?is)<{name}>\s*(.*?)\s*</{name}>", 1)
+    stray = F.regexp_replace(generated(t), rf"(?is)^<{name}>\s*|\s*</{name}>$", "")
+    return F.when(t.rlike(rf"(?is)<{name}>.*?</{name}>"), generated(inner)).otherwise(generated(stray))
+
+
 _SCORED = r'(?is)<q(?:\s+score\s*=\s*"?(-?[0-9.]+)"?)?\s*>(.*?)</q>'
 
 
@@ -110,9 +118,9 @@ def extractive_summary(text: Column, n: int = 2, limit: int = 420) -> Column:
 
 
 def clean_page(text: Column) -> Column:
-    """X11: words broken over lines joined, single line ends as blanks, blank lines and blanks squeezed."""
+    """X11: words broken over lines joined (ASCII letters on both sides), single line ends as blanks, blank lines and blanks squeezed."""
     t = F.regexp_replace(text, r"\r\n?", "\n")
-    t = F.regexp_replace(t, r"([\p{L}\p{N}_])-\n([\p{L}\p{N}_])", "$1$2")
+    t = F.regexp_replace(t, r"([A-Za-z])-\n([A-Za-z])", "$1$2")
     t = F.regexp_replace(t, r"(?<!\n)\n(?!\n)", " ")
     t = F.regexp_replace(t, r"\n{3,}", "\n\n")
     return F.btrim(F.regexp_replace(t, r"[ \t]+", " "), F.lit(" \t\n\r"))
@@ -144,11 +152,14 @@ def last_int(text: Column, low: int, high: int) -> Column:
 
 
 def yes_no(text: Column, whole_words: bool = True) -> Column:
-    """True or false by which of yes and no comes first; true without either. ``whole_words=False`` also finds them inside words."""
-    t = F.lower(without_thinking(text))
+    """True or false by which of yes and no comes first; without either false where only ``false`` is said, else true, also for null and empty texts.
+
+    ``whole_words=False`` also finds yes and no inside words.
+    """
+    t = F.lower(F.coalesce(without_thinking(text), F.lit("")))
     edge = r"\b" if whole_words else ""
     yes, no = (F.regexp_instr(t, F.lit(f"{edge}{w}{edge}")) for w in ("yes", "no"))
-    return F.when(no == 0, True).when(yes == 0, False).otherwise(yes < no)
+    return F.when((yes > 0) & (no > 0), yes < no).when(yes > 0, True).when(no > 0, False).otherwise(F.contains(t, F.lit("true")) | ~F.contains(t, F.lit("false")))
 
 
 def parameters_from_name(name: Column) -> Column:
@@ -158,6 +169,24 @@ def parameters_from_name(name: Column) -> Column:
     return F.when(unit == "b", number * 1e9).when(unit == "m", number * 1e6)
 
 
+def parameters_anywhere(name: Column) -> Column:
+    """The first number before a b or m, wherever it stands (``7bit`` counts), as a whole number."""
+    number, unit = (F.regexp_extract(name, r"(?i)(\d+\.?\d*)\s*([bm])b?", i) for i in (1, 2))
+    return F.floor(number.try_cast("double") * F.when(F.lower(unit) == "b", 1e9).when(F.lower(unit) == "m", 1e6)).cast("bigint")
+
+
+def billions_from_name(name: Column) -> Column:
+    """The first whole number directly before a b, in billions."""
+    return F.regexp_extract(F.lower(name), r"(\d+)b", 1).try_cast("int")
+
+
+def quantization_of(name: Column, known: list[str]) -> Column:
+    """The first known type that ends a file's name (``-TYPE.gguf``), else ``imatrix`` or ``bf16`` where the name says so; else null."""
+    hit = F.get(F.filter(F.array(*map(F.lit, known)), lambda k: F.contains(name, F.concat(F.lit("-"), k, F.lit(".gguf")))), F.lit(0))
+    low = F.lower(name)
+    return F.coalesce(hit, F.when(F.contains(low, F.lit("imatrix")), "imatrix").when(F.contains(low, F.lit("bf16.gguf")), "bf16"))
+
+
 def expert_size(name: Column) -> Column:
     """Active parameters of a mixture of experts (-a3b-), in billions."""
     return F.nullif(F.regexp_extract(F.lower(name), r"-a(\d+(?:\.\d+)?)b(?:-|$)", 1), F.lit("")).try_cast("double")
@@ -206,6 +235,17 @@ def json_object(text: Column) -> Column:
     return F.when(F.try_parse_json(span).isNotNull() & (span != ""), span)
 
 
+def json_with(text: Column, required: list[str], allowed: dict[str, list[str]] | None = None) -> Column:
+    """``json_object`` if it has all required fields, and fields with allowed values have one of them; else null."""
+    found = json_object(text)
+    ok = F.lit(True)
+    for k in required:
+        ok = ok & F.get_json_object(found, f"$.{k}").isNotNull()
+    for k, values in (allowed or {}).items():
+        ok = ok & F.coalesce(F.get_json_object(found, f"$.{k}").isin(values), F.lit(False))
+    return F.when(ok, found)
+
+
 def bytes_of_size(size: Column) -> Column:
     """``10K``, ``5M``, ``2G`` or a plain number, decimal."""
     number = F.regexp_extract(F.upper(F.btrim(size)), r"^(\d+)([KMG]?)B?$", 1).try_cast("bigint")

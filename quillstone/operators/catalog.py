@@ -173,3 +173,35 @@ def after_cursor(events: DataFrame, order: str, id_: str, cursor: str | int) ->
     """Everything after the row of that id in order; everything where it is not there. The cursor's position is one row."""
     at = events.where(F.col(id_) == cursor).agg(F.max(order).alias("_at"))
     return events.crossJoin(F.broadcast(at)).where(F.col("_at").isNull() | (F.col(order) > F.col("_at"))).drop("_at")
+
+
+def full_scan(lines: DataFrame, key: str, value: str, schema: str) -> DataFrame:
+    """S3: a catalogue stored as key and JSON text, parsed: ``key`` and the fields of ``schema``. If one entry does not parse, the catalogue is empty, as a scan that fails."""
+    parsed = lines.select(key, F.col(value).alias("_raw"), F.from_json(value, schema).alias("_v"))
+    broken = lines.agg(F.coalesce(F.bool_or(F.try_parse_json(value).isNull()), F.lit(False)).alias("_broken"))
+    return parsed.crossJoin(F.broadcast(broken)).where(~F.col("_broken")).select(key, "_v.*")  # a single row
+
+
+def not_converted(catalog: DataFrame, flag: str = "converted") -> DataFrame:
+    """rows whose flag is false or missing."""
+    return catalog.where(~F.coalesce(F.col(flag), F.lit(False)))
+
+
+def unusable(catalog: DataFrame, number: str, flag: str) -> DataFrame:
+    """rows whose number is none or -1, or whose flag is false; a missing flag counts as true."""
+    return catalog.where((F.coalesce(F.col(number).try_cast("double"), F.lit(-1.0)) == -1) | ~F.coalesce(F.col(flag), F.lit(True)))
+
+
+def marked(catalog: DataFrame, flag: str, where: Column) -> DataFrame:
+    """The flag set where the condition holds, else as it was."""
+    return catalog.withColumn(flag, F.when(where, F.lit(True)).otherwise(F.col(flag)))
+
+
+def by_last_time(catalog: DataFrame, *times: str) -> DataFrame:
+    """With ``sort_time``: the first of the times that is one, else the least there is; the order is left to the reader."""
+    return catalog.withColumn("sort_time", F.coalesce(*(F.try_to_timestamp(F.col(t).cast("string")) for t in times), F.lit("0001-01-01").cast("timestamp")))
+
+
+def largest_within(catalog: DataFrame, number: str, most: float, key: str) -> DataFrame:
+    """The row of the greatest number up to ``most`` (the first key of equal ones); none where there is none."""
+    return catalog.where(F.col(number) <= most).orderBy(F.desc(number), key).limit(1)

@@ -59,6 +59,15 @@ def mentions_key(document: Column, pattern: str) -> Column:
     return F.exists(F.regexp_extract_all(document, F.lit(r'"((?:[^"\\]|\\.)*)"\s*:'), 1), lambda k: k.rlike(pattern))
 
 
+#: By which words a model's description tells of a mixture of experts.
+MIXTURE_WORDS = ("mixture of experts", "moe", "multiple experts")
+
+
+def describes_mixture(readme: Column, words: tuple[str, ...] = MIXTURE_WORDS) -> Column:
+    """Whether a description, whatever the case, holds one of the words."""
+    return F.coalesce(F.exists(F.array(*map(F.lit, words)), lambda w: F.contains(F.lower(readme), w)), F.lit(False))
+
+
 def outcome_counts(rows: DataFrame, outcomes: dict[str, Column]) -> DataFrame:
     """One row with how many rows each condition holds for."""
     return rows.agg(*(F.count_if(c).alias(n) for n, c in outcomes.items()))

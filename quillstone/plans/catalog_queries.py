@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillstone.functions import scalars
@@ -32,13 +32,14 @@ def search_one_field(spark: SparkSession, d: str) -> DataFrame:
 def search_page(spark: SparkSession, d: str) -> DataFrame:
     """O1, O3, Q7: the third page of a search, ordered by type over all rows."""
     hits = catalog.search(table(spark, d, "part"), "p_name", "a")
-    return catalog.ordered(hits, "p_type", "p_partkey").select("p_partkey", "p_type").offset(20).limit(10)
+    page = catalog.ordered(hits, "p_type", "p_partkey").select("p_partkey", "p_type").offset(20).limit(10)
+    return page.withColumn("position", F.row_number().over(Window.orderBy(*catalog.sort_keys(F.col("p_type")), "p_partkey")))  # ten rows
 
 
 def page_sorted_by_itself(spark: SparkSession, d: str) -> DataFrame:
-    """O2: a page in key order, with its ranks by size."""
+    """O2: a page in key order, then sorted by size: with the position each row has in the result."""
     p = catalog.page_sorted_locally(table(spark, d, "part").select("p_partkey", "p_size"), "p_partkey", "p_size", 2)
-    return p.select("p_partkey", "p_size")
+    return p.select("p_partkey", "p_size").withColumn("position", F.monotonically_increasing_id() + 1)  # a sorted limit is one partition
 
 
 def mixed_order(spark: SparkSession, d: str) -> DataFrame:
@@ -50,15 +51,16 @@ def mixed_order(spark: SparkSession, d: str) -> DataFrame:
 
 
 def wanted_keys(spark: SparkSession, d: str) -> DataFrame:
-    """Rows of the keys asked for, in their order, and nulls for those unknown."""
+    """Rows of the keys asked for, by position, and nulls for those unknown."""
     keys = spark.range(1, 50).select(F.col("id").alias("pos"), (F.col("id") * 97).alias("p_partkey"))
     return catalog.multi_get(table(spark, d, "part").select("p_partkey", "p_brand"), keys, "p_partkey")
 
 
 def customers_without_events(spark: SparkSession, d: str) -> DataFrame:
-    """An anti join."""
+    """Customers that no event names, by an anti join, less those deleted by key."""
     o = table(spark, d, "events").select(F.col("user_id").alias("c_custkey"))
-    return catalog.new_only(table(spark, d, "customer"), o, "c_custkey").select("c_custkey", "c_name")
+    left = catalog.new_only(table(spark, d, "customer"), o, "c_custkey").select("c_custkey", "c_name")
+    return catalog.delete_keys(left, left.where("c_custkey % 10 = 0"), "c_custkey")
 
 
 def work_dashboard(spark: SparkSession, d: str) -> DataFrame:
@@ -105,7 +107,7 @@ def state_changes(spark: SparkSession, d: str) -> DataFrame:
     """users' states after their events in order, a purchase ending them."""
     e = table(spark, d, "events")
     states = e.select("user_id").distinct().withColumn("state", F.lit("waiting"))
-    changes = e.where("event_id % 7 <> 0").select("user_id", F.when(F.col("event_type") != "purchase", F.col("event_type")).alias("state"), F.col("event_id").alias("seq"))
+    changes = e.select("user_id", F.when(F.col("event_type") != "purchase", F.col("event_type")).alias("state"), F.col("event_id").alias("seq"))
     last = changes.groupBy("user_id").agg(F.max("seq").alias("seq")).join(changes, ["user_id", "seq"])
     return catalog.moved(states, last, "user_id")
 
@@ -133,7 +135,7 @@ def rule_bumps(spark: SparkSession, d: str) -> DataFrame:
 
 
 def first_rules(spark: SparkSession, d: str) -> DataFrame:
-    """The first matching rule's type, and the rung two steps up a ladder."""
+    """The first matching rule's type, and the rung two steps up a ladder."""
     names = table(spark, d, "part").select(F.col("p_name").alias("name")).distinct()
     r = spark.createDataFrame([(1, ["* gear"], "Q4"), (2, ["small*"], "Q5"), (3, ["*"], "Q3")], "rule_no int, layer_name array<string>, type string")
     f = rules.first_rule(names, r, "type")
@@ -148,7 +150,7 @@ def quality_overrides(spark: SparkSession, d: str) -> DataFrame:
 
 
 def name_filters(spark: SparkSession, d: str) -> DataFrame:
-    """Included, excluded and suffixed names."""
+    """included and excluded names."""
     return table(spark, d, "part").where(rules.included(F.col("p_name"), ["Gear", "bolt"], ["red"])).groupBy("p_name").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -190,11 +192,11 @@ def old_documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 def numbers(spark: SparkSession, d: str) -> DataFrame:
-    """M2-M9 over part sizes."""
+    """M2-M6, M8, M9 over part sizes."""
     s = F.col("p_size")
     w = scalars.context_targets(s * 1000)
     return table(spark, d, "part").select(
-        "p_partkey", scalars.layer_order(s, F.lit(49)).alias("layer_order"), F.round(scalars.required_gb(s * 1e9), 6).alias("gb"), scalars.parameters_of_bytes(s * 10, 4).cast("bigint").alias("parameters"), scalars.pages(s.cast("bigint"), 10).alias("pages"),
+        "p_partkey", F.round(scalars.layer_order(s, F.lit(49)), 6).alias("layer_order"), F.round(scalars.required_gb(s * 1e9), 6).alias("gb"), scalars.parameters_of_bytes(s * 10, 4).cast("bigint").alias("parameters"), scalars.pages(s.cast("bigint"), 10).alias("pages"),
         scalars.round_half_even(s / 2).alias("half_even"), scalars.backoff(s % 5 + 1).alias("backoff"), scalars.cooldown(s % 6).alias("cooldown"), w["target"].alias("target"), scalars.resized_window(F.lit(20), s * 100, F.lit(2500)).alias("window"),
     )
 
@@ -210,7 +212,7 @@ def maps_and_arrays(spark: SparkSession, d: str) -> DataFrame:
 
 
 def after_last_seen(spark: SparkSession, d: str) -> DataFrame:
-    """J15, ST1: events after the one seen last."""
+    """Events after the one seen last."""
     return catalog.after_cursor(table(spark, d, "events"), "ts", "event_id", 500).select("event_id")
 
 
@@ -249,7 +251,7 @@ def part_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 def merged_metadata(spark: SparkSession, d: str) -> DataFrame:
-    """Metadata overlaid and removed."""
+    """Metadata overlaid and removed."""
     p = table(spark, d, "part")
     old = p.select(F.col("p_partkey").alias("key"), F.col("p_brand").alias("value"))
     new = p.where("p_partkey % 3 = 0").select(F.col("p_partkey").alias("key"), F.col("p_type").alias("value"))
@@ -268,11 +270,11 @@ SQL = {
     "search_names": "SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name), 'gear')",
     "search_all_fields": """SELECT p_partkey, array_to_string(f, ',') AS fields FROM (SELECT p_partkey, list_filter([CASE WHEN contains(p_partkey::VARCHAR, '12') THEN 'p_partkey' END, CASE WHEN contains(p_name, '12') THEN 'p_name' END, CASE WHEN contains(p_brand, '12') THEN 'p_brand' END, CASE WHEN contains(p_type, '12') THEN 'p_type' END, CASE WHEN contains(p_size::VARCHAR, '12') THEN 'p_size' END], lambda x: x IS NOT NULL) AS f FROM part) WHERE len(f) > 0""",
     "search_one_field": "SELECT p_partkey, p_type FROM part WHERE contains(lower(p_type), 'mal')",
-    "search_page": "SELECT p_partkey, p_type FROM part WHERE contains(lower(p_name), 'a') ORDER BY lower(p_type), p_partkey LIMIT 10 OFFSET 20",
-    "page_sorted_by_itself": "SELECT p_partkey, p_size FROM part ORDER BY p_partkey LIMIT 10 OFFSET 10",
+    "search_page": "SELECT *, row_number() OVER (ORDER BY lower(p_type), p_partkey)::INT AS position FROM (SELECT p_partkey, p_type FROM part WHERE contains(lower(p_name), 'a') ORDER BY lower(p_type), p_partkey LIMIT 10 OFFSET 20)",
+    "page_sorted_by_itself": "SELECT *, row_number() OVER (ORDER BY p_size, p_partkey) AS position FROM (SELECT p_partkey, p_size FROM part ORDER BY p_partkey LIMIT 10 OFFSET 10)",
     "mixed_order": """SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 5 WHEN 1 THEN 2 WHEN 2 THEN 3 ELSE 1 END::INT AS rank, CASE WHEN p_partkey % 4 = 2 THEN lower(p_name) ELSE '' END AS text, CASE WHEN p_partkey % 4 = 1 THEN p_size::DOUBLE END AS number FROM part""",
     "wanted_keys": "SELECT k.pos, k.key AS p_partkey, p_brand FROM (SELECT i AS pos, i * 97 AS key FROM range(1, 50) AS r(i)) k LEFT JOIN part ON p_partkey = k.key",
-    "customers_without_events": "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)",
+    "customers_without_events": "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events) AND c_custkey % 10 <> 0",
     "work_dashboard": """WITH w AS (SELECT o_custkey AS c_custkey FROM orders WHERE o_orderstatus = 'P'), f AS (SELECT DISTINCT o_custkey AS c_custkey FROM orders WHERE o_orderstatus = 'F' AND o_custkey % 3 = 0), k AS (SELECT * FROM w UNION SELECT * FROM f)
         SELECT c_custkey, c_name, (SELECT count(*) FROM orders WHERE o_custkey = c_custkey) AS progress, CASE WHEN c_custkey IN (SELECT c_custkey FROM f) THEN 'failed' ELSE 'running' END AS state FROM k LEFT JOIN customer USING (c_custkey)""",
     "first_namesakes": "SELECT a.p_partkey AS left_id, min(b.p_partkey) AS right_id FROM part a JOIN part b ON a.p_type = b.p_type AND a.p_brand = b.p_brand AND a.p_partkey <> b.p_partkey GROUP BY 1",
@@ -282,7 +284,7 @@ SQL = {
         SELECT status, count(*) AS n, sum(CASE WHEN status = 'updated' THEN 7 ELSE p_size END)::BIGINT AS sizes FROM s GROUP BY 1""",
     "bulk_changes": """WITH k AS (SELECT DISTINCT i * 13 % 2600 AS k FROM range(1, 500) AS r(i)), p AS (SELECT p_partkey, p_size > 25 AS c FROM part)
         SELECT count(*) FILTER (p_partkey IS NULL) AS added, count(*) FILTER (p_partkey IS NOT NULL AND k IS NOT NULL AND NOT c) AS updated, count(*) FILTER (k IS NOT NULL OR c) AS converted FROM p FULL JOIN k ON k = p_partkey""",
-    "state_changes": """WITH l AS (SELECT user_id, arg_max(event_type, event_id) AS t FROM events WHERE event_id % 7 <> 0 GROUP BY 1) SELECT user_id, coalesce(t, 'waiting') AS state FROM (SELECT DISTINCT user_id FROM events) LEFT JOIN l USING (user_id) WHERE coalesce(t, '') <> 'purchase'""",
+    "state_changes": """WITH l AS (SELECT user_id, arg_max(event_type, event_id) AS t FROM events GROUP BY 1) SELECT user_id, coalesce(t, 'waiting') AS state FROM (SELECT DISTINCT user_id FROM events) LEFT JOIN l USING (user_id) WHERE coalesce(t, '') <> 'purchase'""",
     "event_counters": "SELECT c_custkey, 2 + (SELECT count(*) FROM events WHERE user_id = c_custkey) AS attempts FROM customer",
     "top_questions": """WITH q AS (SELECT doc_id, unnest([input, alt_question_1, alt_question_2, alt_question_3]) AS question, row_no * 4 + unnest([0, 1, 2, 3]) AS pos FROM ingest_records WHERE doc_id IS NOT NULL),
         g AS (SELECT doc_id, arg_min(question, pos) AS question, max(length(question))::DOUBLE AS score, min(pos) AS pos FROM q WHERE trim(question) <> '' GROUP BY doc_id, lower(question))
@@ -300,7 +302,7 @@ SQL = {
     "weekly_events": "SELECT strftime(ts, '%Y-%W') AS week, count(*) AS n FROM events GROUP BY 1",
     "month_bounds": "WITH b AS (SELECT date_trunc('month', min(ts)) AS a, date_trunc('month', max(ts)) AS z FROM events) SELECT strftime(m, '%Y-%m') AS month, date_diff('second', a, m)::BIGINT AS seconds FROM b, unnest(generate_series(a, z, INTERVAL 1 MONTH)) AS u(m)",
     "old_documents": "SELECT domain, count(*) AS n FROM documents WHERE added_at < TIMESTAMPTZ '2026-01-01 00:00:00+00' - INTERVAL 90 DAY GROUP BY 1",
-    "numbers": """SELECT p_partkey, greatest(0, least(10, round(p_size * 10.0 / 49)))::INT AS layer_order, round(greatest(p_size * 1e9::DOUBLE * 2 * 3 / 1073741824::DOUBLE * 1.1::DOUBLE, 10), 6) AS gb, floor(p_size * 10 / 4)::BIGINT AS parameters, ceil(p_size / 10)::BIGINT AS pages, round_even(p_size / 2, 0)::BIGINT AS half_even,
+    "numbers": """SELECT p_partkey, round(least(10.0, 10.0 * p_size / 49), 6)::DOUBLE AS layer_order, round(greatest(p_size * 1e9::DOUBLE * 2 * 3 / 1073741824::DOUBLE * 1.1::DOUBLE, 10), 6) AS gb, floor(p_size * 10 / 4)::BIGINT AS parameters, ceil(p_size / 10)::BIGINT AS pages, round_even(p_size / 2, 0)::BIGINT AS half_even,
         8.0::DOUBLE * pow(2, p_size % 5) AS backoff, CASE WHEN p_size % 6 = 0 THEN 0 ELSE least(120.0, 15.0 * pow(2, p_size % 6 - 1)) END::DOUBLE AS cooldown, floor(greatest(256, p_size * 1000 - 1024) * 0.6)::INT AS target, greatest(2, least(60, round_even(20 * 2500 / (p_size * 100), 0)))::INT AS window FROM part""",
     "maps_and_arrays": """SELECT event_id, (len(list_filter(json_keys(props), lambda k: k <> 'z')) + 1)::INT AS n_keys, user_id::INT AS first, CASE WHEN event_type IN ('view', 'click', 'purchase') THEN 'view,click,purchase' ELSE 'view,click,purchase,' || event_type END AS appended,
         CASE event_type WHEN 'view' THEN 'click,purchase' WHEN 'click' THEN 'purchase' WHEN 'purchase' THEN '' ELSE 'view,click,purchase' END AS "left" FROM events""",

@@ -9,36 +9,32 @@ from quillstone.functions import scalars
 from quillstone.functions.text import token_count
 from quillstone.operators import intervals, records
 from quillstone.plans import reports
+from quillstone.plans.volumes import document_volumes, volume_chunks
 from quillstone.plans.text_queries import TOK
 from quillstone.runtime import table
 from quillstone.sources import readers
 
 
-def _chunks(spark: SparkSession, d: str) -> DataFrame:
-    """Stage-1 chunks, each of a volume once."""
-    c = table(spark, d, "source_chunks")
-    first = c.groupBy("source_file", "chunk_total", "chunk_index").agg(F.min("chunk_row").alias("chunk_row"))
-    return c.join(first.select("chunk_row"), "chunk_row", "left_semi")
-
-
 def _record_intervals(spark: SparkSession, d: str) -> DataFrame:
     """Chunk ranges of the volumes' records."""
     return table(spark, d, "ingest_records").where("doc_id is not null").select("doc_id", "chunk_start", "chunk_end", "source_chunk_total")
 
 
+def _coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks of each volume covered by records that are no parts of others."""
+    r = table(spark, d, "ingest_records").where("doc_id is not null")
+    totals = r.groupBy("doc_id").agg(F.max("source_chunk_total").alias("n"))
+    return intervals.coverage(r.where("not coalesce(resplit_applied, false)"), totals, "doc_id", "chunk_start", "chunk_end", "n")
+
+
 def covered_chunks(spark: SparkSession, d: str) -> DataFrame:
-    """Covered and missing chunks of every volume, every tenth record left out to make gaps."""
-    i = table(spark, d, "ingest_records").where("doc_id is not null and row_no % 10 <> 0")
-    totals = _record_intervals(spark, d).groupBy("doc_id").agg(F.max("source_chunk_total").alias("n"))
-    c = intervals.coverage(i, totals, "doc_id", "chunk_start", "chunk_end", "n")
-    return c.select("doc_id", "total_count", "covered_count", "missing_count", "is_complete", F.size("missing").cast("bigint").alias("n_gaps"))
+    """Covered and missing chunks of every volume, by the records that were not cut from others."""
+    return _coverage(spark, d).select("doc_id", "total_count", "covered_count", "missing_count", "is_complete", F.size("missing").cast("bigint").alias("n_gaps"))
 
 
 def first_missing_ranges(spark: SparkSession, d: str) -> DataFrame:
-    """Each incomplete volume's first missing range."""
-    i = table(spark, d, "ingest_records").where("doc_id is not null and row_no % 10 <> 0")
-    totals = _record_intervals(spark, d).groupBy("doc_id").agg(F.max("source_chunk_total").alias("n"))
-    return intervals.first_missing(intervals.coverage(i, totals, "doc_id", "chunk_start", "chunk_end", "n"), "doc_id")
+    """Each incomplete volume's first range of chunks that such records miss."""
+    return intervals.first_missing(_coverage(spark, d), "doc_id")
 
 
 def order_ranges(spark: SparkSession, d: str) -> DataFrame:
@@ -54,20 +50,20 @@ def spliced_intervals(spark: SparkSession, d: str) -> DataFrame:
 
 
 def record_pages(spark: SparkSession, d: str) -> DataFrame:
-    """Page bounds of every record by its chunks."""
-    r = table(spark, d, "ingest_records").select("row_no", "source_file", F.col("source_chunk_total").alias("chunk_total"), "chunk_start", "chunk_end")
-    m = intervals.members(r, _chunks(spark, d).select("source_file", "chunk_total", "chunk_index", "start_page", "end_page"), ["source_file", "chunk_total"], "chunk_start", "chunk_end", "chunk_index")
+    """Page bounds of every record by its volume's chunks."""
+    r = table(spark, d, "ingest_records").join(document_volumes(spark, d), "doc_id").select("row_no", "volume", "chunk_start", "chunk_end")
+    m = intervals.members(r, volume_chunks(spark, d).select("volume", "chunk_index", "start_page", "end_page"), ["volume"], "chunk_start", "chunk_end", "chunk_index")
     return m.groupBy("row_no").agg(F.count(F.lit(1)).alias("n_chunks"), *records.page_bounds())
 
 
 def built_records(spark: SparkSession, d: str) -> DataFrame:
-    """Records built anew from the volumes' ranges and chunks."""
-    i = table(spark, d, "ingest_records").where("source_file is not null").withColumn("book", F.concat_ws("#", "source_file", F.col("source_chunk_total").cast("string")))
+    """Records built anew from the volumes' ranges and chunks; records that were cut from others are no content."""
+    i = table(spark, d, "ingest_records").where("doc_id is not null").join(document_volumes(spark, d), "doc_id").withColumn("book", F.concat_ws("#", "source_file", F.col("volume").cast("string")))
     blocks = i.groupBy("book", F.col("chunk_start").alias("start"), F.col("chunk_end").alias("end")).agg(
-        F.min_by(F.struct("input", "summary", F.array("alt_question_1", "alt_question_2", "alt_question_3").alias("alt")), "row_no").alias("r"), F.min("row_no").alias("row_no")
+        F.min_by(F.struct("input", "summary", F.array("alt_question_1", "alt_question_2", "alt_question_3").alias("alt"), "resplit_applied"), "row_no").alias("r")
     )
-    blocks = blocks.select("book", "start", "end", F.col("r.input").alias("question"), F.col("r.summary").alias("summary"), F.col("r.alt").alias("alt_questions"), F.when(F.col("row_no") % 17 == 0, "false").otherwise("true").alias("is_content"))
-    chunks = _chunks(spark, d).withColumn("book", F.concat_ws("#", "source_file", F.col("chunk_total").cast("string")))
+    blocks = blocks.select("book", "start", "end", F.col("r.input").alias("question"), F.col("r.summary").alias("summary"), F.col("r.alt").alias("alt_questions"), F.when(F.col("r.resplit_applied"), "false").otherwise("true").alias("is_content"))
+    chunks = volume_chunks(spark, d).withColumn("book", F.concat_ws("#", "source_file", F.col("volume").cast("string")))
     out = records.build_records(blocks, chunks, "book")
     return out.select("book", "chunk_index", "chunk_count", "chunk_start", "chunk_end", "doc_id", "chunk_id", "prev_chunk_id", "next_chunk_id", "page_start", "page_end", "alt_question_1", F.length("output").alias("n_chars"))
 
@@ -103,8 +99,8 @@ def rewrite_states(spark: SparkSession, d: str) -> DataFrame:
 
 
 def source_signatures(spark: SparkSession, d: str) -> DataFrame:
-    """H4: a signature of each volume's content, whatever the order of its rows."""
-    return table(spark, d, "ingest_records").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.sha1(F.array_join(F.sort_array(F.collect_list(F.sha1(F.concat_ws("|", "chunk_id", "chunk_start", "chunk_end", F.sha1("output"))))), "")).alias("signature"))
+    """H3, H4: a signature of each volume's content, whatever the order of its rows, in two levels so that no task has all of a volume's hashes."""
+    return scalars.signatures(table(spark, d, "ingest_records"), ["doc_id"], F.concat_ws("|", "chunk_id", "chunk_start", "chunk_end", F.sha1("output")))
 
 
 def usable_manifest_files(spark: SparkSession, d: str) -> DataFrame:
@@ -161,10 +157,12 @@ def missing_fields(spark: SparkSession, d: str) -> DataFrame:
 
 
 _LATEST = "(SELECT * FROM stage5_status WHERE updated_at IS NOT NULL QUALIFY row_number() OVER (PARTITION BY source_file ORDER BY updated_at DESC, status_id DESC) = 1)"
-_FIRST_CHUNKS = "(SELECT * FROM source_chunks QUALIFY row_number() OVER (PARTITION BY source_file, chunk_total, chunk_index ORDER BY chunk_row) = 1)"
+_VOLUMES = r"""dv AS (SELECT doc_id, volume FROM (SELECT doc_id, max(source_file) AS f, max(source_chunk_total) AS n, max(lower(trim(regexp_replace(source_title, '[\s\p{Z}]+', ' ', 'g')))) AS title FROM ingest_records WHERE doc_id IS NOT NULL GROUP BY 1) d
+    JOIN (SELECT source_file, chunk_total, chunk_row - chunk_index AS volume, max(lower(trim(regexp_replace(source_title, '[\s\p{Z}]+', ' ', 'g')))) AS title FROM source_chunks WHERE source_file IS NOT NULL GROUP BY ALL) v ON v.source_file = d.f AND v.chunk_total = d.n
+    QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY coalesce(d.title = v.title, FALSE) DESC, volume) = 1), cv AS (SELECT *, chunk_row - chunk_index AS volume FROM source_chunks WHERE source_file IS NOT NULL)"""
 _LATEST_DELIVERY = "(SELECT * FROM ingest_records WHERE chunk_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY chunk_id ORDER BY coalesce(loaded_at, TIMESTAMPTZ '0001-01-01 00:00:00+00') DESC, row_no DESC) = 1 UNION ALL SELECT * FROM ingest_records WHERE chunk_id IS NULL)"
 _COVERED = """t AS (SELECT doc_id, max(source_chunk_total) AS n FROM ingest_records WHERE doc_id IS NOT NULL GROUP BY 1), a AS (SELECT doc_id, unnest(generate_series(1, n)) AS i FROM t),
-    c AS (SELECT DISTINCT doc_id, unnest(generate_series(chunk_start, chunk_end)) AS i FROM ingest_records WHERE row_no % 10 <> 0 AND doc_id IS NOT NULL), m AS (SELECT * FROM a ANTI JOIN c USING (doc_id, i)),
+    c AS (SELECT DISTINCT doc_id, unnest(generate_series(chunk_start, chunk_end)) AS i FROM ingest_records WHERE NOT coalesce(resplit_applied, FALSE) AND doc_id IS NOT NULL), m AS (SELECT * FROM a ANTI JOIN c USING (doc_id, i)),
     g AS (SELECT doc_id, min(i) AS lo, max(i) AS hi FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM m) GROUP BY doc_id, k)"""
 
 SQL = {
@@ -174,12 +172,12 @@ SQL = {
     "order_ranges": "SELECT event_type, min(event_id) AS lo, max(event_id) AS hi FROM (SELECT DISTINCT event_type, event_id, event_id - dense_rank() OVER (PARTITION BY event_type ORDER BY event_id) AS k FROM events) GROUP BY event_type, k",
     "spliced_intervals": """WITH i AS (SELECT doc_id, chunk_start AS s, chunk_end AS e FROM ingest_records WHERE doc_id IS NOT NULL), n AS (SELECT doc_id, greatest(s + 3, 20) AS s, least(e + 3, 40) AS e FROM i),
         u AS (SELECT * FROM i WHERE NOT coalesce(s <= 40 AND e >= 20, FALSE) UNION ALL SELECT * FROM n WHERE s <= e) SELECT doc_id, count(*) AS n, sum(s)::BIGINT AS starts, sum(e)::BIGINT AS ends FROM u GROUP BY 1""",
-    "record_pages": f"""SELECT row_no, count(*) AS n_chunks, min(coalesce(c.start_page, c.end_page)) AS page_start, max(coalesce(c.end_page, c.start_page)) AS page_end FROM ingest_records r JOIN {_FIRST_CHUNKS} c
-        ON c.source_file = r.source_file AND c.chunk_total = r.source_chunk_total AND c.chunk_index BETWEEN r.chunk_start AND r.chunk_end GROUP BY row_no""",
-    "built_records": f"""WITH ch AS (SELECT concat_ws('#', source_file, chunk_total::VARCHAR) AS book, * FROM {_FIRST_CHUNKS}),
+    "record_pages": f"""WITH {_VOLUMES} SELECT row_no, count(*) AS n_chunks, min(coalesce(c.start_page, c.end_page)) AS page_start, max(coalesce(c.end_page, c.start_page)) AS page_end FROM ingest_records r JOIN dv USING (doc_id) JOIN cv c
+        ON c.volume = dv.volume AND c.chunk_index BETWEEN r.chunk_start AND r.chunk_end GROUP BY row_no""",
+    "built_records": f"""WITH {_VOLUMES}, ch AS (SELECT concat_ws('#', source_file, volume::VARCHAR) AS book, * FROM cv),
         tot AS (SELECT book, max(chunk_index) AS total, arg_min(nullif(trim(source_title), ''), chunk_index) FILTER (nullif(trim(source_title), '') IS NOT NULL) AS title FROM ch GROUP BY 1),
-        b AS (SELECT concat_ws('#', source_file, source_chunk_total::VARCHAR) AS book, chunk_start AS s, chunk_end AS e, min(row_no) AS row_no, arg_min([alt_question_1, alt_question_2, alt_question_3], row_no) AS alt FROM ingest_records WHERE source_file IS NOT NULL GROUP BY 1, 2, 3),
-        k AS (SELECT b.*, total, title, row_number() OVER w::INT AS chunk_index, count(*) OVER (PARTITION BY book)::INT AS chunk_count FROM b JOIN tot USING (book) WHERE row_no % 17 <> 0 WINDOW w AS (PARTITION BY book ORDER BY s, e)),
+        b AS (SELECT concat_ws('#', source_file, volume::VARCHAR) AS book, chunk_start AS s, chunk_end AS e, arg_min(coalesce(resplit_applied, FALSE), row_no) AS part, arg_min([alt_question_1, alt_question_2, alt_question_3], row_no) AS alt FROM ingest_records JOIN dv USING (doc_id) GROUP BY 1, 2, 3),
+        k AS (SELECT b.*, total, title, row_number() OVER w::INT AS chunk_index, count(*) OVER (PARTITION BY book)::INT AS chunk_count FROM b JOIN tot USING (book) WHERE NOT part WINDOW w AS (PARTITION BY book ORDER BY s, e)),
         l AS (SELECT *, greatest(1, least(s, total)) AS chunk_start, greatest(greatest(1, least(s, total)), least(e, total)) AS chunk_end, 'doc_' || left(sha1(concat_ws('|', book, coalesce(title, ''), chunk_count::VARCHAR)), 16) AS doc_id FROM k),
         t AS (SELECT l.book, l.chunk_index, string_agg(output, chr(10) || chr(10) ORDER BY ch.chunk_index) AS output, min(coalesce(start_page, end_page)) AS page_start, max(coalesce(end_page, start_page)) AS page_end FROM l JOIN ch ON ch.book = l.book AND ch.chunk_index BETWEEN l.chunk_start AND l.chunk_end GROUP BY 1, 2),
         i AS (SELECT *, doc_id || ':chunk_' || lpad(chunk_index::VARCHAR, 5, '0') AS chunk_id FROM l)
@@ -196,7 +194,8 @@ SQL = {
         t AS (SELECT source_file, CASE WHEN coalesce(s, 0) = 0 THEN 'failed' WHEN s >= 300 THEN 'skipped' WHEN o >= 300 THEN 'skipped' WHEN coalesce(o, 0) = 0 THEN 'failed' ELSE 'rewritten' END AS state FROM n),
         g AS (SELECT source_file, count(*) AS n_rows, count(*) FILTER (state = 'rewritten') AS n_rewritten, count(*) FILTER (state = 'skipped') AS n_skipped, count(*) FILTER (state = 'failed') AS n_failed FROM t GROUP BY 1)
         SELECT *, CASE WHEN n_rewritten + n_skipped = n_rows THEN 'done' WHEN n_rewritten + n_skipped + n_failed = 0 THEN 'not_started' WHEN n_failed > 0 THEN 'in_progress_with_failures' ELSE 'in_progress' END AS progress FROM g""",
-    "source_signatures": "SELECT doc_id, count(*) AS n, sha1(string_agg(s, '' ORDER BY s)) AS signature FROM (SELECT doc_id, sha1(concat_ws('|', chunk_id, chunk_start::VARCHAR, chunk_end::VARCHAR, sha1(output))) AS s FROM ingest_records) GROUP BY doc_id",
+    "source_signatures": """WITH r AS (SELECT doc_id, sha1(concat_ws('|', chunk_id, chunk_start::VARCHAR, chunk_end::VARCHAR, sha1(output))) AS s FROM ingest_records), p AS (SELECT doc_id, left(s, 2) AS bucket, count(*) AS n, sha1(string_agg(s, '' ORDER BY s)) AS s FROM r GROUP BY 1, 2)
+        SELECT doc_id, sum(n)::BIGINT AS n, sha1(string_agg(bucket || s, '' ORDER BY bucket)) AS signature FROM p GROUP BY 1""",
     "usable_manifest_files": """SELECT output_json, position, pdf_file, lang, domain FROM (SELECT *, min(manifest_row) OVER (PARTITION BY output_json) AS position FROM manifest_files WHERE output_json IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY output_json ORDER BY generated_at DESC, manifest_row DESC) = 1) WHERE status IN ('converted', 'existing') AND coalesce(file_exists, FALSE)""",
     "manifest_status": "SELECT coalesce(status, 'unknown') AS status, count(*) AS n FROM manifest_files GROUP BY 1",

@@ -7,9 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstone.plans import catalog_queries, record_queries, text_queries
+from quillstone.plans import catalog_queries, pipeline_queries, record_queries, text_queries
 
-MODULES = (text_queries, record_queries, catalog_queries)
+MODULES = (text_queries, record_queries, catalog_queries, pipeline_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -6,7 +6,7 @@ import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 CHUNK = "input string, output string, summary string, source_title string, start_page int, end_page int, chunk_index int, chunk_total int, word_count int"
@@ -209,3 +209,27 @@ def gguf_tensors(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([p] * len(rows), pa.string()), pa.array([r[0].removesuffix(".weight") for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.int64())), pa.array([r[2] for r in rows], pa.int32())], names=["path", "name", "shape", "kind"])
 
     return src.mapInArrow(run, "path string, name string, shape array<bigint>, kind int")
+
+
+def outline(entries: DataFrame, book: str, last_page: str) -> DataFrame:
+    """A nested outline flattened: ``book, title, start_page, end_page, depth``.
+
+    ``entries``: ``book, path`` (positions from the top, array<int>), ``title,
+    page``; nulls for pages that do not resolve are left out. Entries are read
+    in the order of their paths, the first title of a page counts, and a section
+    ends before the next begins, the last one at ``last_page``.
+    """
+    rank = F.struct("path")
+    first = entries.where(F.col("page").isNotNull()).groupBy(book, "page").agg(F.min_by(F.struct("title", F.size("path").alias("depth")), rank).alias("e"), F.max(last_page).alias("_last"))
+    after = F.lead("page").over(Window.partitionBy(book).orderBy("page"))
+    return first.select(book, F.col("e.title").alias("title"), F.col("page").alias("start_page"), F.greatest("page", F.coalesce(after - 1, "_last")).alias("end_page"), "e.depth")
+
+
+def page_lines(pages: DataFrame, book: str, page: str, text: str) -> DataFrame:
+    """Pages as lines: ``book, page, line_no, line``; null pages have none. Page texts come from any extractor as rows."""
+    return pages.where(F.col(text).isNotNull()).select(book, page, F.posexplode(F.split(text, r"\r?\n")).alias("line_no", "line"))
+
+
+def inspected(df: DataFrame, n: int = 5) -> tuple[list[tuple[str, str]], DataFrame]:
+    """Names and kinds of the columns, and the first rows."""
+    return df.dtypes, df.limit(n)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -26,6 +26,40 @@ def versioned(path: str, stamp: str) -> str:
     return f"{path.rstrip('/')}.version={stamp}"
 
 
+def _fs(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def backup(spark: SparkSession, path: str, stamp: str) -> str | None:
+    """K6: what lies at ``path`` moved to its versioned name before it is written anew; None where nothing is there."""
+    fs, source = _fs(spark, path)
+    if not fs.exists(source):
+        return None
+    name = versioned(path, stamp)
+    if not fs.rename(source, _fs(spark, name)[1]):
+        raise OSError(f"cannot keep {path} as {name}")
+    return name
+
+
+def export(df: DataFrame, folder: str, stamp: str) -> str:
+    """K5: an export under a name with its time; an earlier one of the same time is kept aside (K6)."""
+    path = f"{folder.rstrip('/')}/export_{stamp}"
+    backup(df.sparkSession, path, "before")
+    write_json(df, path)
+    return path
+
+
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """A small file written by the driver through the cluster's file system."""
+    fs, target = _fs(spark, path)
+    out = fs.create(target, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
 def write_lines(df: DataFrame, path: str) -> None:
     """K7: a ``value`` column as text."""
     df.select("value").write.mode("overwrite").text(path)
@@ -48,6 +82,12 @@ def to_upload(local: DataFrame, remote: DataFrame, key: str = "name", at: str =
     return local.join(r, key, "left").where(F.col("_r").isNull() | (F.col(at) > F.col("_r"))).drop("_r")
 
 
+def size_differs(local: DataFrame, expected: DataFrame, key: str = "name", size: str = "length") -> DataFrame:
+    """Files whose local size is not the expected one, or that are not there: ``key, local, expected``."""
+    j = expected.select(key, F.col(size).alias("expected")).join(local.select(key, F.col(size).alias("local")), key, "left")
+    return j.where(~F.col("local").eqNullSafe(F.col("expected"))).select(key, "local", "expected")
+
+
 def with_metadata(old: DataFrame, new: DataFrame, removed: DataFrame) -> DataFrame:
     """Key-value pairs, the new ones replacing the old, without the removed keys."""
     j = old.withColumnRenamed("value", "_o").join(new.withColumnRenamed("value", "_n"), "key", "full_outer")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -54,6 +56,48 @@ def rate_states(events: DataFrame, key: str, at: str, refused: Column) -> DataFr
     return e.withColumn("wait_seconds", F.when(F.col("streak") == 0, 0.0).otherwise(F.least(F.lit(120.0), 15.0 * F.pow(F.lit(2.0), F.col("streak") - 1)))).drop("_refused", "_run")
 
 
+RATE = "at double, refused boolean, sent double, wait double, multiplier double, streak int, successes int"
+
+
+def rate_waits(requests: DataFrame, key: str, per_minute: int, step: float = 0.25, most: float = 4.0, recovery: int = 10, base: float = 15.0, longest: float = 120.0) -> DataFrame:
+    """ST5: when each request of a key may be sent: ``key`` and the columns of ``RATE``.
+
+    ``requests``: ``key, at`` (seconds), ``refused``. A request waits for the
+    cooldown after refusals (doubling with their streak), for room in the last
+    60 seconds, and for the spacing, which a refusal widens by ``step`` up to
+    ``most`` times and ``recovery`` successes in a row narrow again. Each depends
+    on the one before, so a key is one state machine; its requests meet in one
+    task, as they must to be spaced.
+    """
+
+    def run(name: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        spacing, sent, free, last, streak, good, times = 60.0 / per_minute, 0.0, 0.0, None, 0, 0, 1.0
+        window: deque[float] = deque()
+        rows = []
+        for at, refused in pdf.sort_values(["at", "refused"])[["at", "refused"]].itertuples(index=False):
+            sent = max(at, sent, free)
+            while window and sent - window[0] >= 60.0:
+                window.popleft()
+            if len(window) >= per_minute:
+                sent = max(sent, window[0] + 60.0)
+            if last is not None:
+                sent = max(sent, last + spacing * times)
+            window.append(sent)
+            last = sent
+            if refused:
+                good, streak, times = 0, streak + 1, min(most, times + step)
+                free = max(free, sent + min(longest, base * 2 ** (streak - 1)))
+            else:
+                streak, good = 0, good + 1
+                if good >= recovery and times > 1.0:
+                    times, good = max(1.0, times - step), 0
+            rows.append((name[0], at, bool(refused), sent, sent - at, times, streak, good))
+        return pd.DataFrame(rows, columns=[key, "at", "refused", "sent", "wait", "multiplier", "streak", "successes"])
+
+    kind = dict(requests.dtypes)[key]
+    return requests.select(key, F.col("at").cast("double"), F.col("refused").cast("boolean")).groupBy(key).applyInPandas(run, f"`{key}` {kind}, {RATE}")
+
+
 def tumbling(events: DataFrame, at: str, width: str, late: str | None = None) -> DataFrame:
     """Extension: counts and sums per time window; on a stream with a watermark for late rows."""
     e = events.withWatermark(at, late) if late else events

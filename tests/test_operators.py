@@ -85,10 +85,11 @@ def test_overlapping_chunks(n, seed):
 @settings(max_examples=60, deadline=None)
 @given(st.text("ab c.!?\n", max_size=300), st.integers(2, 30))
 def test_pieces_keep_the_cap(text, cap):
-    pieces = segmentation.split_single(text, cap)
+    pieces = segmentation.split_single(text, cap, floor=0)
     squeeze = lambda x: "".join(x.split())
     assert squeeze("".join(pieces)) == squeeze(text)
     assert all(segmentation.count_tokens(p) <= cap for p in pieces)
+    assert squeeze("".join(segmentation.split_single(text, cap))) == squeeze(text)
     for p in segmentation.word_boundary_chunks(text, cap):
         assert segmentation.count_tokens(p) <= cap + int(cap * 0.25) + 1
 
@@ -97,11 +98,13 @@ def test_segmentation_of_null_and_empty(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "a b c")], "k int, t string")
     for f in (segmentation.overlapping_chunks, lambda x: segmentation.smart_prechunk(x, 5), lambda x: segmentation.split_single(x, 5), lambda x: segmentation.word_boundary_chunks(x, 5)):
         assert [(r.k, r.piece_no, r.piece) for r in segmentation.explode_pieces(df, "k", "t", f).collect()] == [(3, 1, "a b c")]
-    assert segmentation.segment(["a b"] * 5, 2, 100) == [(1, 2), (3, 4), (5, 5)]
-    assert segmentation.segment(["a b"] * 3, 9, 3) == [(1, 1), (2, 2), (3, 3)]
+    assert segmentation.segment([2] * 5, 2, 100) == [(1, 2), (3, 4), (5, 5)]
+    assert segmentation.segment([2] * 3, 9, 3) == [(1, 1), (2, 2), (3, 3)]
+    assert segmentation.segment([2] * 5, 4, 100, lambda first, after: 3) == [(1, 3), (4, 5)]
     assert segmentation.segment([], 2, 3) == []
     assert [r.x for r in df.select(segmentation.fixed_tokens(F.col("t"), 2).alias("x")).collect()] == [None, None, ["a b", "c"]]
-    assert [r.x for r in df.select(segmentation.merge_small(F.split("t", " "), 2).alias("x")).collect()][2] == ["a\n\nb", "c"]
+    assert segmentation.merge_small(["a", "b", "c"], 2) == ["a", "b", "c"] and segmentation.merge_small(["a", "b", "c"], 3) == ["a\n\nb", "c"] and segmentation.merge_small([], 3) == []
+    assert list(map(segmentation.count_tokens, segmentation.merge_small(["w " * 30] * 3, 80))) == [60, 30]
 
 
 def test_noise(spark):
@@ -245,3 +248,58 @@ def test_salted_join(spark):
     left = salted_join(large, small, ["k"], "left")
     assert left.columns == ["k", "v", "x"] and left.count() == 52 and left.where("x is null").count() == 1
     assert salted_join(large.where("false"), small, ["k"]).count() == 0
+
+
+def test_runs_of_long_sentences_have_the_floor():
+    text = "Short one.\n\n" + "word " * 600 + "\n\nLast one."
+    assert [len(p) for p in segmentation.split_single(text, 100)] == [10, 1199, 1199, 599, 9]
+    assert max(map(segmentation.count_tokens, segmentation.split_single(text, 100, floor=0))) <= 100
+
+
+def test_answers_without_yes_or_no(spark):
+    from quillstone.functions import text as t
+
+    cases = [("unclear response", True), ("no", False), ("<think>reason</think> yes", True), (None, True), ("", True), ("It is false", False), ("true or false", True), ("that is TRUE", True)]
+    df = spark.createDataFrame(cases, "a string, want boolean")
+    assert all(r.got == r.want for r in df.select("want", t.yes_no(F.col("a")).alias("got")).collect())
+    tags = spark.createDataFrame([("<think>reason</think><summary>  Uses Nmap for service discovery.  </summary>",), ("plain  text",), (None,)], "x string")
+    assert [r.y for r in tags.select(t.tag_or_text(F.col("x"), "summary").alias("y")).collect()] == ["Uses Nmap for service discovery.", "plain text", ""]
+    assert spark.createDataFrame([("devel-\nopment and 10-\n20",)], "x string").select(t.clean_page(F.col("x")).alias("y")).first().y == "development and 10- 20"
+
+
+def test_records_over_their_cap_are_cut(spark):
+    """Against the rule stated over plain lists: chunks packed within cap and window, a chunk beyond the cap split by itself, other records as they are."""
+    text = lambda w, n: " ".join([w] * n)
+    chunks = spark.createDataFrame([("v", 1, text("a", 4)), ("v", 2, text("b", 5)), ("v", 3, "One two three. " + text("c", 9)), ("v", 4, text("d", 3))], "v string, chunk_index int, output string")
+    schema = "row_no bigint, v string, source_file string, output string, chunk_index int, chunk_start int, chunk_end int"
+    rows = [(1, "v", "f", text("x", 30), 1, 1, 3), (2, "v", "f", text("d", 3), 2, 4, 4), (3, "v", "g", text("y", 30), 3, 4, 4), (4, "v", "f", "Six six. " + text("z", 8), 4, 9, 9), (5, "v", "f", None, 5, 5, 5)]
+    caps = spark.createDataFrame([("f", 10)], "source_file string, cap int")
+    out = segmentation.resplit_records(spark.createDataFrame(rows, schema), chunks, caps, "v", 2, floor=0).orderBy("chunk_index").collect()
+    got = [(r.row_no, r.part_index, r.part_count, r.chunk_start, r.chunk_end, r.output) for r in out]
+    assert got == [
+        (1, 1, 3, 1, 2, text("a", 4) + "\n" + text("b", 5)), (1, 2, 3, 3, 3, "One two three."), (1, 3, 3, 3, 3, text("c", 9)), (2, 0, 0, 4, 4, text("d", 3)), (3, 0, 0, 4, 4, text("y", 30)),
+        (4, 1, 2, 9, 9, "Six six."), (4, 2, 2, 9, 9, text("z", 8)), (5, 0, 0, 5, 5, None),
+    ]
+    assert [r.chunk_index for r in out] == list(range(1, 9)) and {r.chunk_count for r in out} == {8} and [r.resplit_applied for r in out] == [True] * 3 + [False] * 2 + [True] * 2 + [False]
+    assert segmentation.resplit_records(spark.createDataFrame([], schema), chunks, caps, "v", 2).count() == 0
+
+
+def test_rate_waits(spark):
+    from quillstone.streaming import incremental
+
+    e = spark.createDataFrame([("a", 0.0, False), ("a", 1.0, True), ("a", 2.0, False), ("a", 200.0, False), ("b", 5.0, False)], "u string, at double, refused boolean")
+    got = {(r.u, r.at): (r.sent, r.multiplier, r.streak) for r in incremental.rate_waits(e, "u", 6, recovery=2).collect()}
+    assert got == {("a", 0.0): (0.0, 1.0, 0), ("a", 1.0): (10.0, 1.25, 1), ("a", 2.0): (25.0, 1.25, 0), ("a", 200.0): (200.0, 1.0, 0), ("b", 5.0): (5.0, 1.0, 0)}
+
+
+def test_rules_of_types(spark):
+    from pyspark.sql import Row
+
+    t = spark.createDataFrame([("m", 1, "blk.0.attn_k.weight", "F16", 0), ("m", 2, "blk.9.ffn", "F16", 9), ("m", 3, "norm", "F32", -1), ("m", 4, "blk.3.x", "mxfp4", 3)], "model string, position int, name string, current string, layer int")
+    names = [c.split()[0] for c in rules.RULE.split(", ")]
+    of = lambda **k: Row(*(k.get(n) for n in names))
+    r = spark.createDataFrame([of(rule_no=1, base_type=["IQ2_S"], layer_name=["*attn_k*"], bump=1, bump_experts=5), of(rule_no=2, base_type=["IQ2_S"], bump=2, bump_order_low=1.0, bump_order_val=4), of(rule_no=3, override_types=["*"], layer_name=["norm"], force_type=" f32 ")], rules.RULE)
+    got = {x.position: (x.type, x.why) for x in rules.tensor_types(t, r, "IQ2_M").collect()}
+    # 0: 1 + 2 + 4 beyond the ladder's end, 9: 2 + 4 (its place 10 is beyond no upper bound), 3: forced
+    assert got == {1: ("Q6_K", "bump"), 2: ("IQ3_S", "bump"), 3: ("F32", "rule"), 4: ("mxfp4", "kept")}
+    assert rules.type_arguments(rules.tensor_types(t, r, "IQ2_M")).first().arguments == "--tensor-type norm=F32 --tensor-type blk.0.attn_k.weight=Q6_K --tensor-type blk.3.x=mxfp4 --tensor-type blk.9.ffn=IQ3_S"
