@@ -6,14 +6,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Integers that one task of ``contiguous_ranges`` looks at for a key.
+SPAN = 1 << 16
+
+
 def contiguous_ranges(df: DataFrame, key: str, value: str) -> DataFrame:
     """``key, lo, hi`` of each run of consecutive integers. Nulls are ignored, repeats count once.
 
-    Gaps and islands by one window per key: the value less its rank is constant in a run.
+    Gaps and islands: the value less its rank is constant in a run. Runs are
+    found within spans of ``SPAN`` integers, so a key with most of the rows is
+    spread; only runs that touch a span's edge (two a span at the most) are then
+    put together per key.
     """
-    v = df.where(F.col(value).isNotNull()).select(key, F.col(value).cast("bigint").alias("v")).distinct()
-    runs = v.withColumn("g", F.col("v") - F.row_number().over(Window.partitionBy(key).orderBy("v")))
-    return runs.groupBy(key, "g").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).drop("g")
+    v = df.where(F.col(value).isNotNull()).select(key, F.col(value).cast("bigint").alias("v")).distinct().withColumn("s", F.floor(F.col("v") / SPAN))
+    runs = v.withColumn("g", F.col("v") - F.row_number().over(Window.partitionBy(key, "s").orderBy("v")))
+    runs = runs.groupBy(key, "s", "g").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    edge = (F.col("lo") == F.col("s") * SPAN) | (F.col("hi") == (F.col("s") + 1) * SPAN - 1)
+    w = Window.partitionBy(key).orderBy("lo")
+    joined = runs.where(edge).withColumn("new", (~F.coalesce(F.lag("hi").over(w) + 1 == F.col("lo"), F.lit(False))).cast("int")).withColumn("n", F.sum("new").over(w))
+    return runs.where(~edge).select(key, "lo", "hi").unionByName(joined.groupBy(key, "n").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("n"))
 
 
 def merged(intervals: DataFrame, key: str, start: str, end: str) -> DataFrame:

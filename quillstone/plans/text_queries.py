@@ -229,6 +229,11 @@ _UNWRAPPED = rf"regexp_replace(regexp_replace({_JOINED}, '([^\n])\n([^\n])', '\1
 
 _SIZED = f"""o AS (SELECT source_file, chunk_total, chunk_row - chunk_index AS volume, chunk_index, {_tokens("coalesce(output, '')")} AS n, row_number() OVER (PARTITION BY source_file, chunk_total, chunk_row - chunk_index ORDER BY chunk_index) AS r FROM source_chunks WHERE source_file IS NOT NULL)"""
 
+_HEADED = r"(?mi)^((?:chapter|part|section|kapitel|capítulo|chapitre)\s+[\p{L}\p{N}_]+|\d+(?:\.\d+)*\.?\s+\S|#{1,6}\s)"
+_MARKED = "text"
+for _ in range(3):
+    _MARKED = f"regexp_replace({_MARKED}, '{_HEADED}', chr(30) || '\\1', 'g')"
+
 SQL = {
     "page_text": rf"""WITH c AS (SELECT chunk_row, trim(regexp_replace(regexp_replace({_UNWRAPPED}, '\n{{3,}}', chr(10) || chr(10), 'g'), '[ \t]+', ' ', 'g'), ' ' || chr(9) || chr(10) || chr(13)) AS t FROM source_chunks WHERE output IS NOT NULL)
         SELECT chunk_row, length(t)::INT AS n_chars, sha1(t) AS hash FROM c""",
@@ -290,6 +295,22 @@ SQL = {
         f AS (SELECT doc_id, r, part, n AS used, alone, 1 AS piece_no FROM o WHERE r = 1 UNION ALL
               SELECT o.doc_id, o.r, o.part, CASE WHEN o.alone OR f.alone OR f.used + o.n > 200 THEN o.n ELSE f.used + o.n END, o.alone, CASE WHEN o.alone OR f.alone OR f.used + o.n > 200 THEN f.piece_no + 1 ELSE f.piece_no END FROM f JOIN o ON o.doc_id = f.doc_id AND o.r = f.r + 1)
         SELECT doc_id, piece_no::INT AS piece_no, string_agg(part, chr(10) || chr(10) ORDER BY r) AS piece FROM f GROUP BY doc_id, piece_no UNION ALL SELECT doc_id, 1, text FROM d WHERE n <= 200 AND {_strip("text")} <> ''""",
+    # gaps between tokens tell where words start; a piece is its tokens with the gaps inside it
+    "word_boundary_pieces": rf"""WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all(text, '{TOK}') AS l, regexp_split_to_array(text, '{TOK}') AS s FROM documents WHERE text IS NOT NULL),
+        p AS (SELECT doc_id, l, s, len(l) AS n, list_filter(range(0, len(l)), lambda i: i = 0 OR length(s[i + 1]) > 0) AS w FROM t WHERE len(l) > 0),
+        f AS (SELECT doc_id, 0::BIGINT AS a, 0::BIGINT AS z, 0 AS piece_no FROM p UNION ALL
+              SELECT f.doc_id, f.z, least(p.n, CASE WHEN f.z + 128 < p.n THEN coalesce(list_min(list_filter(p.w, lambda i: i >= f.z + 128 AND i < least(p.n, f.z + 161))), list_max(list_filter(p.w, lambda i: i < f.z + 128 AND i > greatest(f.z, f.z + 95))), f.z + 128) ELSE p.n END), piece_no + 1 FROM f JOIN p USING (doc_id) WHERE f.z < p.n),
+        u AS (SELECT doc_id, piece_no, a, unnest(range(a, z)) AS i FROM f WHERE piece_no > 0)
+        SELECT doc_id, piece_no::INT AS piece_no, string_agg(CASE WHEN i > a THEN s[i + 1] ELSE '' END || l[i + 1], '' ORDER BY i) AS piece FROM u JOIN p USING (doc_id) GROUP BY doc_id, piece_no""",
+    # headings are marked thrice, as marks found at once do not overlap
+    "prechunked": rf"""WITH RECURSIVE d AS (SELECT doc_id, text, list_filter(string_split({_MARKED}, chr(30)), lambda x: {_strip("x")} <> '') AS h FROM documents WHERE text IS NOT NULL),
+        q AS (SELECT doc_id, CASE WHEN len(h) > 1 THEN h ELSE list_filter(regexp_split_to_array(text, '\n\s*\n'), lambda x: {_strip("x")} <> '') END AS l FROM d),
+        p AS (SELECT doc_id, {_strip("unnest(l)")} AS part, generate_subscripts(l, 1) AS i FROM q),
+        s AS (SELECT doc_id, i, unnest(l) AS piece, generate_subscripts(l, 1) AS j FROM (SELECT doc_id, i, CASE WHEN {_tokens("part")} <= 200 THEN [part] ELSE list_filter(string_split(regexp_replace(part, '([.!?])\s+', '\1' || chr(31), 'g'), chr(31)), lambda x: x <> '') END AS l FROM p)),
+        o AS (SELECT *, {_tokens("piece")} AS n, row_number() OVER (PARTITION BY doc_id ORDER BY i, j) AS r FROM s),
+        f AS (SELECT doc_id, i, r, piece, n AS used, 1 AS piece_no FROM o WHERE r = 1 UNION ALL
+              SELECT o.doc_id, o.i, o.r, o.piece, CASE WHEN o.i <> f.i OR f.used + o.n > 200 THEN o.n ELSE f.used + o.n END, CASE WHEN o.i <> f.i OR f.used + o.n > 200 THEN f.piece_no + 1 ELSE f.piece_no END FROM f JOIN o ON o.doc_id = f.doc_id AND o.r = f.r + 1)
+        SELECT doc_id, piece_no::INT AS piece_no, string_agg(piece, ' ' ORDER BY r) AS piece FROM f GROUP BY doc_id, piece_no""",
     "outline_sections": """WITH c AS (SELECT *, chunk_row - chunk_index AS volume FROM source_chunks WHERE source_file IS NOT NULL), m AS (SELECT source_file, max(end_page) AS last FROM c GROUP BY 1),
         f AS (SELECT source_file, start_page, arg_min(coalesce(source_title, 'Document'), volume * 1000000 + chunk_index) AS title FROM c WHERE start_page IS NOT NULL GROUP BY 1, 2)
         SELECT source_file, title, start_page, greatest(start_page, coalesce(lead(start_page) OVER (PARTITION BY source_file ORDER BY start_page) - 1, last))::INT AS end_page, 2::INT AS depth FROM f JOIN m USING (source_file)""",

@@ -303,3 +303,21 @@ def test_rules_of_types(spark):
     # 0: 1 + 2 + 4 beyond the ladder's end, 9: 2 + 4 (its place 10 is beyond no upper bound), 3: forced
     assert got == {1: ("Q6_K", "bump"), 2: ("IQ3_S", "bump"), 3: ("F32", "rule"), 4: ("mxfp4", "kept")}
     assert rules.type_arguments(rules.tensor_types(t, r, "IQ2_M")).first().arguments == "--tensor-type norm=F32 --tensor-type blk.0.attn_k.weight=Q6_K --tensor-type blk.3.x=mxfp4 --tensor-type blk.9.ffn=IQ3_S"
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.sets(st.integers(-20, 60)), st.integers(1, 9))
+def test_ranges_over_the_edges_of_spans(spark, values, span):
+    before, intervals.SPAN = intervals.SPAN, span
+    try:
+        df = spark.createDataFrame([("k", v) for v in values] + [("k", None)], "k string, v int")
+        got = sorted((r.lo, r.hi) for r in intervals.contiguous_ranges(df, "k", "v").collect())
+    finally:
+        intervals.SPAN = before
+    want = []
+    for v in sorted(values):
+        if want and want[-1][1] == v - 1:
+            want[-1] = (want[-1][0], v)
+        else:
+            want.append((v, v))
+    assert got == want
