@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -102,10 +103,7 @@ class ItemIndex:
                 moved = [c for c in cursors if c[0] < doc]
             for c in moved:
                 docs = c[2][0]
-                k = c[1]
-                while k < len(docs) and docs[k] < target:
-                    k += 1
-                c[1] = k
+                k = c[1] = bisect_left(docs, target, c[1])
                 c[0] = docs[k] if k < len(docs) else end
 
     def matches(self, text: str, passage: int = 48) -> list[tuple[int, int, int, bool]]:
