@@ -205,3 +205,8 @@ def by_last_time(catalog: DataFrame, *times: str) -> DataFrame:
 def largest_within(catalog: DataFrame, number: str, most: float, key: str) -> DataFrame:
     """The row of the greatest number up to ``most`` (the first key of equal ones); none where there is none."""
     return catalog.where(F.col(number) <= most).orderBy(F.desc(number), key).limit(1)
+
+
+def examples(rows: DataFrame, n: int, *order: str) -> DataFrame:
+    """The first ``n`` rows in order, for reports that show a few."""
+    return rows.orderBy(*order).limit(n)

@@ -13,7 +13,7 @@ from quillstone.functions import scalars
 from quillstone.functions import text as t
 from quillstone.operators import catalog, intervals, models, rules, segmentation
 from quillstone.plans import reports
-from quillstone.plans.text_queries import TOK
+from quillstone.plans.text_queries import NSP, TOK
 from quillstone.plans.volumes import VOLUME, document_volumes, volume_chunks
 from quillstone.runtime import shared_dir, table
 from quillstone.sources import readers, sinks
@@ -250,6 +250,12 @@ def guarded_blocks(spark: SparkSession, d: str) -> DataFrame:
     return lists.select(*VOLUME, many("w").alias("reach"))
 
 
+def report_examples(spark: SparkSession, d: str) -> DataFrame:
+    """The first ten failed runs, as examples in a report."""
+    s = table(spark, d, "stage5_status").where("coalesce(failed, false)").select("status_id", "source_file", "phase")
+    return catalog.examples(s, 10, "status_id")
+
+
 def written_records(spark: SparkSession, d: str) -> DataFrame:
     """Records exported twice under one name, the later export read back and counted, the earlier one kept."""
     r = table(spark, d, "ingest_records").select("row_no", "source_file", "output", "page_start")
@@ -403,6 +409,9 @@ SQL = {
     "payload_texts": "SELECT p_partkey, p_name || CASE WHEN p_size % 3 = 1 THEN '!' ELSE '' END AS text FROM part",
     "uploads": "SELECT count(*) FILTER (o_orderkey % 3 <> 1) AS n_upload, (sum(o_orderkey) FILTER (o_orderkey % 3 <> 1))::BIGINT AS names, count(*) FILTER (o_orderkey % 3 <> 0 AND o_orderkey % 5 = 0) AS n_differ FROM orders",
     "edited_notes": "SELECT doc_id, (length(text) + CASE WHEN doc_id % 2 = 0 THEN 24 ELSE 7 END)::INT AS n_chars, sha1(CASE WHEN contains(text, 'operator') THEN text ELSE replace(text, 'the', 'THE') END) AS hash FROM documents WHERE text IS NOT NULL",
+    "guarded_blocks": rf"""WITH c AS (SELECT source_file, chunk_total, chunk_row - chunk_index AS volume, list(len(regexp_extract_all(coalesce(output, ''), '{NSP}')) ORDER BY chunk_index) AS w FROM source_chunks WHERE source_file IS NOT NULL AND chunk_index <= 9 GROUP BY 1, 2, 3),
+        x AS (SELECT *, len(w) AS n, list_filter(range(1, len(w)), lambda i: w[i + 1] < 110) AS h FROM c) SELECT source_file, chunk_total, volume, (CASE WHEN n >= 3 AND len(h) > 2 THEN h[3] ELSE n END)::INT AS reach FROM x""",
+    "report_examples": "SELECT status_id, source_file, phase FROM stage5_status WHERE coalesce(failed, FALSE) ORDER BY status_id LIMIT 10",
     "written_records": """WITH a AS (SELECT source_file, count(*) AS n, sum(length(output))::BIGINT AS n_chars FROM ingest_records GROUP BY 1), b AS (SELECT source_file, count(*) AS n_before, sum(length(output))::BIGINT AS n_before_chars FROM ingest_records WHERE row_no % 2 = 0 GROUP BY 1)
         SELECT a.*, n_before, n_before_chars FROM a LEFT JOIN b ON a.source_file IS NOT DISTINCT FROM b.source_file""",
     "written_catalogue": "SELECT c_custkey::VARCHAR AS id, c_name AS name, CASE WHEN c_nationkey % 2 = 0 THEN c_nationkey END::INT AS nation, NULL::DOUBLE AS wrong FROM customer",

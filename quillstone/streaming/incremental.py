@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections import deque
 from collections.abc import Callable
 
@@ -38,6 +39,18 @@ def until_complete(step: Callable[[int], int], remaining: Callable[[], int], mos
     return most, "complete" if remaining() == 0 else "limit"
 
 
+def retried(action: Callable[[], object], attempts: int = 3, wait: float = 0.1, passing: type[Exception] | tuple[type[Exception], ...] = Exception, sleep: Callable[[float], None] = time.sleep) -> object:
+    """ST7: what ``action`` gives; after a ``passing`` error it is tried again, each time after a longer wait, and the last error is raised. For calls outside of Spark, which retries its own tasks."""
+    for n in range(1, attempts + 1):
+        try:
+            return action()
+        except passing:
+            if n == attempts:
+                raise
+            sleep(wait * n)
+    raise ValueError("at least one attempt")
+
+
 def window_counts(events: DataFrame, key: str, at: str, seconds: int) -> DataFrame:
     """With ``in_window``: how many of the key's events lie in the ``seconds`` up to each, itself included."""
     w = Window.partitionBy(key).orderBy(F.unix_micros(F.col(at).cast("timestamp"))).rangeBetween(-seconds * 1_000_000, 0)

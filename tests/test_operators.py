@@ -285,8 +285,6 @@ def test_records_over_their_cap_are_cut(spark):
 
 
 def test_rate_waits(spark):
-    from quillstone.streaming import incremental
-
     e = spark.createDataFrame([("a", 0.0, False), ("a", 1.0, True), ("a", 2.0, False), ("a", 200.0, False), ("b", 5.0, False)], "u string, at double, refused boolean")
     got = {(r.u, r.at): (r.sent, r.multiplier, r.streak) for r in incremental.rate_waits(e, "u", 6, recovery=2).collect()}
     assert got == {("a", 0.0): (0.0, 1.0, 0), ("a", 1.0): (10.0, 1.25, 1), ("a", 2.0): (25.0, 1.25, 0), ("a", 200.0): (200.0, 1.0, 0), ("b", 5.0): (5.0, 1.0, 0)}
@@ -321,3 +319,41 @@ def test_ranges_over_the_edges_of_spans(spark, values, span):
         else:
             want.append((v, v))
     assert got == want
+
+
+def test_retried():
+    left, waits = [2], []
+
+    def action():
+        left[0] -= 1
+        if left[0] >= 0:
+            raise OSError("busy")
+        return "done"
+
+    assert incremental.retried(action, 3, 0.5, OSError, waits.append) == "done" and waits == [0.5, 1.0]
+    left[0] = 9
+    with pytest.raises(OSError):
+        incremental.retried(action, 2, 0, OSError, waits.append)
+
+
+def test_outline_and_exports(spark, tmp_path):
+    e = spark.createDataFrame([("b", [0], "Part", 1, 30), ("b", [0, 0], "One", 1, 30), ("b", [0, 1], "Two", 9, 30), ("b", [1], "Gone", None, 30), ("b", [2], "End", 20, 30)], "book string, path array<int>, title string, page int, last int")
+    got = [(r.title, r.start_page, r.end_page, r.depth) for r in readers.outline(e, "book", "last").orderBy("start_page").collect()]
+    assert got == [("Part", 1, 8, 1), ("Two", 9, 19, 2), ("End", 20, 30, 1)]
+    kinds, head = readers.inspected(e, 2)
+    assert kinds[0] == ("book", "string") and head.count() == 2
+    folder = str(tmp_path / "out")
+    assert sinks.backup(spark, folder, "x") is None
+    path = sinks.export(e.limit(1), folder, "1")
+    assert sinks.export(e, folder, "1") == path and spark.read.json(path).count() == 5 and spark.read.json(sinks.versioned(path, "before")).count() == 1
+
+
+def test_catalogue_scans(spark):
+    lines = spark.createDataFrame([("a", '{"n": 1}'), ("b", '{"n": null}')], "k string, v string")
+    assert sorted((r.k, r.n) for r in catalog.full_scan(lines, "k", "v", "n int").collect()) == [("a", 1), ("b", None)]
+    assert catalog.full_scan(lines.union(spark.createDataFrame([("c", "{broken")], "k string, v string")), "k", "v", "n int").count() == 0
+    c = spark.createDataFrame([("a", "7", None, None), ("b", "x", True, True), ("c", "-1", False, True), ("d", "2", False, False)], "k string, p string, converted boolean, has boolean")
+    assert [r.k for r in catalog.not_converted(c).orderBy("k").collect()] == ["a", "c", "d"] and [r.k for r in catalog.unusable(c, "p", "has").orderBy("k").collect()] == ["b", "c", "d"]
+    assert [r.k for r in catalog.marked(c, "converted", F.col("k") == "a").where("converted").orderBy("k").collect()] == ["a", "b"]
+    n = spark.createDataFrame([("a", 3.0), ("b", 3.0), ("c", 9.0), ("d", None)], "k string, n double")
+    assert [r.k for r in catalog.largest_within(n, "n", 5, "k").collect()] == ["a"] and catalog.largest_within(n, "n", 1, "k").count() == 0
