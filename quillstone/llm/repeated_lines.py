@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from quillstone.runtime import cut, salted_join
 
+from .filters import bloom_bits, passed
+
 _DIGITS = re.compile("[0-9]+").sub
 _SPACES = re.compile(r"[^\S\n]+").sub
 _LETTERS = 12
@@ -117,8 +119,8 @@ class Stream:
 
 
 def _lines(records: DataFrame) -> DataFrame:
-    """Every line with enough letters: ``row, row_no, source_file, chunk_id, line_no, key, pieces``; ``row`` numbers the rows."""
-    src = records.select(F.monotonically_increasing_id().alias("row"), "row_no", "source_file", "chunk_id", F.col("output").cast("string")).where("output is not null")
+    """Every line with enough letters: ``row_no, source_file, chunk_id, line_no, key, pieces``."""
+    src = records.select("row_no", "source_file", "chunk_id", F.col("output").cast("string")).where("output is not null")
 
     def flush(b: pa.RecordBatch, at: list, numbers: list, keys: list, starts: list, ends: list, stream: list) -> pa.RecordBatch:
         if at:
@@ -127,14 +129,14 @@ def _lines(records: DataFrame) -> DataFrame:
             values, offsets = np.empty(0, np.int64), np.zeros(1, np.int32)
         take = pa.array(at, pa.int64())
         pieces = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int64()))
-        return pa.RecordBatch.from_arrays([*(b.column(c).take(take) for c in range(4)), pa.array(numbers, pa.int64()), pa.array(keys, pa.binary()), pieces], names=["row", "row_no", "source_file", "chunk_id", "line_no", "key", "pieces"])
+        return pa.RecordBatch.from_arrays([*(b.column(c).take(take) for c in range(3)), pa.array(numbers, pa.int64()), pa.array(keys, pa.binary()), pieces], names=["row_no", "source_file", "chunk_id", "line_no", "key", "pieces"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             parts: tuple[list, ...] = ([], [], [], [], [], [])
             at, numbers, keys, starts, ends, stream = parts
             size = 0
-            for i, text in enumerate(b.column(4).to_pylist()):
+            for i, text in enumerate(b.column(3).to_pylist()):
                 for n, line in enumerate(_normal_lines(text), 1):
                     raw = line.encode()
                     if _enough_letters(line):
@@ -152,24 +154,42 @@ def _lines(records: DataFrame) -> DataFrame:
                     size = 0
             yield flush(b, *parts)
 
-    return src.mapInArrow(run, "row bigint, row_no bigint, source_file string, chunk_id string, line_no bigint, key binary, pieces array<bigint>")
+    return src.mapInArrow(run, "row_no bigint, source_file string, chunk_id string, line_no bigint, key binary, pieces array<bigint>")
+
+
+def _made_of(lines: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Lines all of whose pieces are among ``chunks`` (``source, piece``), and a few more: tested in place by a filter of fixed size."""
+    bits = lines.sparkSession.sparkContext.broadcast(bloom_bits(chunks, F.col("source").bitwiseXOR(F.col("piece"))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            pieces, sources = b.column("pieces"), b.column("source").to_numpy()
+            ends = pieces.offsets.to_numpy()
+            if not len(sources):
+                continue
+            values = pieces.values.to_numpy()[ends[0] : ends[-1]]
+            hit = passed(bits.value, values ^ np.repeat(sources, np.diff(ends)))
+            yield b.take(pa.array(np.flatnonzero(np.logical_and.reduceat(hit, ends[:-1] - ends[0])), pa.int64()))
+
+    return lines.mapInArrow(run, lines.schema)
 
 
 def _found(records: DataFrame, least_docs: int, share: float) -> tuple[DataFrame, DataFrame]:
     """Candidate lines, and the repeated ones as ``source_file, key, n_docs``."""
-    lines = cut(_lines(records))
     source, doc = F.xxhash64("source_file").alias("source"), F.xxhash64("chunk_id").alias("doc")
+    lines = cut(_lines(records)).withColumn("source", source)
     docs = cut(records.where("chunk_id is not null").select("source_file", "chunk_id").distinct().groupBy("source_file").agg(F.count(F.lit(1)).alias("n_all")))
+    of_source = docs.groupBy(source).agg(F.min("n_all").alias("n_all"))
     enough = (F.col("n_docs") >= least_docs) & (F.col("n_docs") >= F.col("n_all") * F.lit(share))
 
-    # chunks only propose lines, so their sources and documents are counted as 64-bit hashes, a third of the size
-    pieces = lines.where("chunk_id is not null").select(source, doc, F.explode(F.array_distinct("pieces")).alias("piece")).distinct()
+    # a chunk stands in no more documents than places, which are summed up per task; most chunks end here
+    places = lines.where("chunk_id is not null").select("source", F.explode("pieces").alias("piece")).groupBy("source", "piece").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") >= least_docs)
+    near = cut(_made_of(lines, salted_join(places, of_source, ["source"]).where(enough).select("source", "piece")))
+    # the documents of the others; all that hold a repeated line are among these lines
+    pieces = near.where("chunk_id is not null").select("source", doc, F.explode(F.array_distinct("pieces")).alias("piece")).distinct()
     counted = pieces.groupBy("source", "piece").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") >= least_docs)
-    often = salted_join(counted, docs.groupBy(source).agg(F.min("n_all").alias("n_all")), ["source"]).where(enough).select("source", "piece")
-    each = ["row", "row_no", "source_file", "chunk_id", "line_no", "key"]
-    asked = lines.select(*each, source, F.size("pieces").alias("n_pieces"), F.explode("pieces").alias("piece"))
-    met = salted_join(asked, often, ["source", "piece"])
-    candidates = cut(met.groupBy(*each, "n_pieces").agg(F.count(F.lit(1)).alias("n_met")).where("n_met = n_pieces").select(*each))
+    repeated = salted_join(counted, of_source, ["source"]).where(enough).select("source", "piece")
+    candidates = cut(_made_of(near, repeated).select("row_no", "source_file", "chunk_id", "line_no", "key"))
 
     n = candidates.where("chunk_id is not null").select("source_file", "chunk_id", "key").distinct().groupBy("source_file", "key").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") >= least_docs)
     return candidates, salted_join(n, docs, ["source_file"]).where(enough).select("source_file", "key", "n_docs")
@@ -179,11 +199,11 @@ def repeated_lines(records: DataFrame, least_docs: int = 5, share: float = 0.08)
     """Lines to be removed, one row ``(row_no, source_file, line_no, n_docs)`` each.
 
     Every output is one stream, cut into chunks at landmarks of a rolling hash,
-    not at line ends; different ``chunk_id`` are counted per source and chunk.
-    Chunks in at least ``least_docs`` documents and ``share`` of all documents of
-    their source are mapped back to the lines they lie in; a line made of such
-    chunks only is a candidate, whose own documents are then counted exactly.
-    Each chunk that counts for a line stands wherever the line does, so no line
+    not at line ends; different ``chunk_id`` are counted per source and chunk,
+    once chunks with fewer places than that are gone. Chunks in at least
+    ``least_docs`` documents and ``share`` of all documents of their source are
+    mapped back to the lines they lie in; a line made of such chunks only is a
+    candidate, whose own documents are then counted exactly. Each chunk that counts for a line stands wherever the line does, so no line
     is missed (but for collisions of 64-bit hashes of documents). Null and empty
     outputs have no lines; a null ``source_file`` is a source of its own; a null
     ``chunk_id`` is no document but its lines are removed too. Copies of a row
