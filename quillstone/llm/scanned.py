@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from quillstone.runtime import cut, measured, salted_join
 
 from .copies import with_copies
+from .filters import bloom_bits, passed
 from .wordstats import plain_words
 
 #: What scanners make of letters (as printed, as read).
@@ -34,9 +35,6 @@ RARER_FEW = 10
 FEW = 2
 #: Words of at least so many letters may be misread as another word of the vocabulary.
 CONTESTED_LENGTH = 4
-#: Bits of the filter by which texts are searched for misread forms; its size is fixed, what it lets through is then joined.
-FILTER_BITS = 1 << 26
-
 #: Confusions by the first letter read.
 _READ_BY = {c: tuple((a, b) for a, b in CONFUSIONS if b[0] == c) for c in {b[0] for _, b in CONFUSIONS}}
 
@@ -227,44 +225,12 @@ class Vocabulary:
                 node = node.setdefault(c, {})
             node[""] = w
 
-    def within(self, word: str, errors: int) -> list[str]:
-        """Every word at Levenshtein distance ``errors`` (at most 3) or less: trie and automaton are walked together.
-
-        The automaton's states are bit sets, one per number of errors; bit i: i
-        letters of ``word`` are read. A branch ends when no state is left.
-        """
-        masks: dict[str, int] = {}
-        for i, c in enumerate(word):
-            masks[c] = masks.get(c, 0) | 1 << i
-        full, accept = (1 << len(word) + 1) - 1, 1 << len(word)
-        out = []
-        # with fewer than three errors the last states stay empty
-        stack = [(self.root, 1, 3, 7 if errors > 1 else 0, 15 if errors > 2 else 0)]
-        while stack:
-            node, a, b, d, e = stack.pop()
-            for c, child in node.items():
-                if not c:
-                    if (b | d | e) & accept:
-                        out.append(child)
-                    continue
-                k = masks.get(c, 0)
-                x = (a & k) << 1
-                last = y = ((b & k) << 1 | a | a << 1 | x << 1) & full
-                z = t = 0
-                if errors > 1:
-                    last = z = ((d & k) << 1 | b | b << 1 | y << 1) & full
-                    if errors > 2:
-                        last = t = ((e & k) << 1 | d | d << 1 | z << 1) & full
-                if last:
-                    stack.append((child, x, y, z, t))
-        return out
-
     def explained(self, word: str) -> list[tuple[int, str]]:
         """``(readings, word)`` of every word that confusions turn into ``word``, whatever their number.
 
-        The trie is walked with an automaton that reads ``word`` and for which a
-        confusion is one step: each state is a node, the letters read and the
-        least number of confusions so far.
+        The trie is intersected with a Levenshtein automaton of ``word`` whose
+        edits are the confusions, of one to three letters each: a state is a
+        node, the letters read and the least number of edits so far.
         """
         best: dict[str, int] = {}
         seen: dict[tuple[int, int], int] = {}
@@ -447,30 +413,11 @@ def misread_forms(words: DataFrame) -> DataFrame:
     return groups.select("words").mapInArrow(run, "form string, printed string, choices array<string>, contested boolean")
 
 
-class WordFilter:
-    """A Bloom filter of fixed size: it lets every word of the set through, and few others."""
-
-    def __init__(self, bits: np.ndarray):
-        self.bits = bits
-
-    @staticmethod
-    def of(words: DataFrame, column: str) -> np.ndarray:
-        """Built by the executors; its bits are all that comes to the driver."""
-        h = F.xxhash64(column)
-        place = F.explode(F.array(F.pmod(h, F.lit(FILTER_BITS)), F.pmod(F.shiftright(h, 29), F.lit(FILTER_BITS))))
-        cells = words.select(place.alias("p")).select((F.col("p") / 32).cast("int").alias("cell"), F.expr("shiftleft(1L, cast(pmod(p, 32) as int))").alias("bit")).groupBy("cell").agg(F.bit_or("bit").alias("bits"))
-        bits = np.zeros(FILTER_BITS // 32, np.uint32)
-        for part in cells.toArrow().to_batches():
-            bits[part.column(0).to_numpy()] = part.column(1).to_numpy().astype(np.uint32)
-        return bits
-
-    def kept(self, words: set[bytes]) -> set[bytes]:
-        names = list(words)
-        h = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in names), np.uint64, len(names)).view(np.int64)
-        hit = np.ones(len(names), bool)
-        for p in (h % FILTER_BITS, (h >> 29) % FILTER_BITS):
-            hit &= (self.bits[p >> 5] >> (p & 31).astype(np.uint32) & 1).astype(bool)
-        return {names[i] for i in np.flatnonzero(hit)}
+def _kept(bits: np.ndarray, words: set[bytes]) -> set[bytes]:
+    """Words that the filter lets through."""
+    names = list(words)
+    h = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in names), np.uint64, len(names)).view(np.int64)
+    return {names[i] for i in np.flatnonzero(passed(bits, h))}
 
 
 def _prepared(records: DataFrame):
@@ -512,13 +459,12 @@ def _found(records: DataFrame):
     spark = records.sparkSession
     texts, known, forms, words = _prepared(records)
     watched = forms.select("form").union(forms.where("contested or size(choices) > 1").select(F.explode("choices"))).distinct()
-    bits = spark.sparkContext.broadcast(WordFilter.of(watched, "form"))
+    bits = spark.sparkContext.broadcast(bloom_bits(watched, F.xxhash64("form")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordFilter(bits.value)
         for b in batches:
             pages = [(row, sorted(page.kinds), page.words()) for row, page in _checked(b, known)]
-            kept = words.kept(set().union(*(ws for _, _, ws in pages)))
+            kept = _kept(bits.value, set().union(*(ws for _, _, ws in pages)))
             rows, kinds, hits = [], [], []
             for row, kind, ws in pages:
                 met = [] if kept.isdisjoint(ws) else [{"form": w.decode(), "prev": (ws[i - 1] if i else b"").decode(), "next": (ws[i + 1] if i + 1 < len(ws) else b"").decode()} for i, w in enumerate(ws) if w in kept]
@@ -532,7 +478,7 @@ def _found(records: DataFrame):
     return texts, known, forms, words, found
 
 
-def _confusion_costs(forms: DataFrame, words: DataFrame, rounds: int = 3) -> dict[tuple[str, str], float]:
+def _confusion_costs(forms: DataFrame, words: DataFrame, rounds: int = 2) -> dict[tuple[str, str], float]:
     """Log odds against each confusion in a word, by expectation-maximisation over forms and the words they may stand for.
 
     A form's count is shared among its choices by their frequency and the

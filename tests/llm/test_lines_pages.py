@@ -71,23 +71,6 @@ def test_coarse_chunks_lie_inside_long_lines_only():
     assert len(_pieces([line])[0]) > 5 and len(_pieces(["do not copy!"])[0]) == 1
 
 
-def levenshtein(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        new = [i]
-        for j, y in enumerate(b, 1):
-            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
-        row = new
-    return row[-1]
-
-
-@settings(max_examples=80, deadline=None)
-@given(st.sets(st.text("abc", min_size=1, max_size=6), max_size=40), st.text("abc", min_size=1, max_size=6), st.integers(1, 3))
-def test_automaton_finds_all_words_within_the_distance(words, word, errors):
-    found = scanned.Vocabulary(dict.fromkeys(words, 1)).within(word, errors)
-    assert sorted(found) == sorted(w for w in words if levenshtein(w, word) <= errors)
-
-
 def test_misreadings():
     assert scanned.misreadings("memory", "rnem0ry") == 2
     assert scanned.misreadings("memory", "memori") is None
