@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .copies import with_repeats
+
 #: A word or pair of the statistics makes up at least this share of all tokens, so that there are at most 2 / SHARE of them.
 SHARE = 4e-6
 LEAST_COUNT = 3
@@ -74,8 +76,8 @@ def plain_words(text: str) -> list[bytes]:
 def count_words(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """``key, n`` over the distinct texts of each of ``columns`` (column -> group; the empty group: single words only).
 
-    A value counts once per column, so that copies of a cut one do not make its
-    stump or its first word frequent.
+    A value counts once per column, in the row of the lowest ``row_no``, so that
+    copies of a cut one do not make its stump or its first word frequent.
 
     Keys: ``w`` a word in lower case; ``w x`` a pair; ``w .`` a word before a
     sentence end; ``^g w`` and ``^g w .``: a value of group g that begins with
@@ -84,8 +86,8 @@ def count_words(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     shuffle.
     """
     groups = list(columns.values())
-    each = F.explode(F.array(*(F.struct(F.lit(k).alias("c"), F.col(c).cast("string").alias("text")) for k, c in enumerate(columns)))).alias("v")
-    src = df.select(each).select("v.c", "v.text").where("text <> ''").distinct()
+    texts = df.select("row_no", *(F.col(k).cast("string").alias(f"t{c}") for c, k in enumerate(columns)))
+    src = with_repeats(texts, "row_no", [f"t{c}" for c in range(len(groups))]).drop("row_no")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs: Counter = Counter()
@@ -110,10 +112,9 @@ def count_words(df: DataFrame, columns: dict[str, str]) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(list(out), pa.string()), pa.array(list(out.values()), pa.int64())], names=["key", "n"])
 
         for b in batches:
-            by_column: list[list[str]] = [[] for _ in groups]
-            for c, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                by_column[c].append(t)
-            for g, texts in zip(groups, by_column, strict=True):
+            repeats = b.column(len(groups)).to_pylist()
+            for c, g in enumerate(groups):
+                texts = [t for t, again in zip(b.column(c).to_pylist(), repeats, strict=True) if t and not (again and c in again)]
                 if not g:
                     for t in texts:
                         parts = unmarked(t, _ONE_END).split(b".")
@@ -121,7 +122,8 @@ def count_words(df: DataFrame, columns: dict[str, str]) -> DataFrame:
                         finals.update([x.rpartition(b" ")[2] for x in parts[:-1] if x and x[-1] != 32])
                     continue
                 tokens = b" | ".join([unmarked(t, _ONE_END) for t in texts]).replace(b".", b" . ").split()
-                pairs.update(zip(tokens, tokens[1:] + [b"|"], strict=True))
+                if tokens:
+                    pairs.update(zip(tokens, tokens[1:] + [b"|"], strict=True))
                 for t in texts:
                     if first := t[:120].lstrip(_BEFORE).split(None, 1):
                         firsts[f"^{g} {first[0].lower()}"] += 1
