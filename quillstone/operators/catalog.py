@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillstone.runtime import measured
+
 #: A pagination or lookup list given by the caller is broadcast only below this many keys.
 KEYS_AT_ONCE = 100_000
 
@@ -86,10 +88,19 @@ def dashboard(working: DataFrame, failed: DataFrame, catalog: DataFrame, progres
     return keys.join(state, key, "left").join(catalog, key, "left").join(progress, key, "left").withColumn("state", F.when(F.col("_failed"), "failed").otherwise("running")).drop("_failed")
 
 
-def first_match(left: DataFrame, right: DataFrame, on: str, left_id: str, right_id: str, order: str) -> DataFrame:
-    """Per left row the first right row by ``order`` of the same ``on`` and another id."""
-    j = left.join(right, on).where(F.col(left_id) != F.col(right_id))
-    return j.groupBy(left_id).agg(F.min_by(right_id, order).alias(right_id))
+def first_match(left: DataFrame, right: DataFrame, on: str | list[str], left_id: str, right_id: str, order: str) -> DataFrame:
+    """Per left row the first right row by ``order`` of the same ``on`` (one column or several, null matching nothing) and another id.
+
+    Of each ``on`` the first two ids are enough: where the first is the left row's own, the second is the answer. So a
+    left row meets two rows at most, however many share its ``on``, and the join needs no salt.
+    """
+    on = [on] if isinstance(on, str) else on
+    known = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in (*on, right_id)))
+    ids = right.where(known).groupBy(*on, right_id).agg(F.min(order).alias("_order"))  # an id given twice is one
+    rank = F.row_number().over(Window.partitionBy(*on).orderBy(F.col("_order").asc_nulls_last(), right_id))
+    two, fits = measured(ids.withColumn("_rank", rank).where(F.col("_rank") <= 2).drop("_rank"))
+    j = left.select(left_id, *on).join(F.broadcast(two) if fits else two.hint("merge"), on).where(F.col(left_id) != F.col(right_id))
+    return j.groupBy(left_id).agg(F.min_by(right_id, "_order").alias(right_id))
 
 
 def insert_absent(catalog: DataFrame, incoming: DataFrame, key: str) -> DataFrame:

@@ -73,11 +73,10 @@ def work_dashboard(spark: SparkSession, d: str) -> DataFrame:
 
 
 def first_namesakes(spark: SparkSession, d: str) -> DataFrame:
-    """Of each part the first other part of the same type."""
+    """Of each part the first other part of the same type and brand."""
     p = table(spark, d, "part")
-    a, b = p.select(F.col("p_partkey").alias("left_id"), "p_type", "p_brand"), p.select(F.col("p_partkey").alias("right_id"), "p_type", "p_brand")
-    both = a.withColumn("on", F.concat_ws("/", "p_type", "p_brand")).select("left_id", "on"), b.withColumn("on", F.concat_ws("/", "p_type", "p_brand")).select("right_id", "on")
-    return catalog.first_match(*both, "on", "left_id", "right_id", "right_id")
+    on = ["p_type", "p_brand"]
+    return catalog.first_match(p.select(F.col("p_partkey").alias("left_id"), *on), p.select(F.col("p_partkey").alias("right_id"), *on), on, "left_id", "right_id", "right_id")
 
 
 def inserted_parts(spark: SparkSession, d: str) -> DataFrame:

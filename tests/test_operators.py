@@ -357,3 +357,51 @@ def test_catalogue_scans(spark):
     assert [r.k for r in catalog.marked(c, "converted", F.col("k") == "a").where("converted").orderBy("k").collect()] == ["a", "b"]
     n = spark.createDataFrame([("a", 3.0), ("b", 3.0), ("c", 9.0), ("d", None)], "k string, n double")
     assert [r.k for r in catalog.largest_within(n, "n", 5, "k").collect()] == ["a"] and catalog.largest_within(n, "n", 1, "k").count() == 0
+
+
+def rows_joined(df):
+    """The most rows that a join of a collected DataFrame put out."""
+    nodes, most = [df._jdf.queryExecution().executedPlan()], 0
+    while nodes:
+        node = nodes.pop()
+        name = node.nodeName()
+        if "Join" in name:
+            most = max(most, node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        nodes += [node.executedPlan()] if name == "AdaptiveSparkPlan" else [node.plan()] if "QueryStage" in name else [children.apply(i) for i in range(children.size())]
+    return most
+
+
+def test_first_match_of_a_key_all_share_joins_no_pairs(spark):
+    left = spark.range(1000).select(F.col("id").alias("l"), F.lit("k").alias("on"))
+    got = catalog.first_match(left, left.withColumnRenamed("l", "r"), "on", "l", "r", "r")
+    assert sorted((x.l, x.r) for x in got.collect()) == [(0, 1)] + [(i, 0) for i in range(1, 1000)]
+    assert 1000 <= rows_joined(got) <= 2000
+
+
+@pytest.mark.parametrize("broadcast_rows", [200_000, 0])
+def test_first_match_equals_brute_force(spark, monkeypatch, broadcast_rows):
+    from quillstone import runtime
+
+    monkeypatch.setattr(runtime, "BROADCAST_ROWS", broadcast_rows)
+    rng = random.Random(4)
+    of = lambda *values: rng.choice([*values, None])
+    left = [(of("a", "a/b", "c"), of("x", "b/x", "y"), of(*range(12))) for _ in range(60)]
+    times = rng.sample(range(1000), 60)  # no ties
+    right = [(of("a", "a/b", "c"), of("x", "b/x", "y"), of(*range(12)), t) for t in times]
+    want = {}
+    for a, b, i in left:
+        for c, e, k, t in right:
+            if None not in (a, b, i, k) and (a, b) == (c, e) and i != k:
+                want[i] = min(want.get(i, (t, k)), (t, k))
+    got = catalog.first_match(spark.createDataFrame(left, "p string, q string, l int"), spark.createDataFrame(right, "p string, q string, r int, t int"), ["p", "q"], "l", "r", "t")
+    assert sorted(map(tuple, got.collect())) == sorted((i, k) for i, (_, k) in want.items())
+
+
+def test_namesakes_of_missing_types(spark, tmp_path):
+    from quillstone.plans import registry
+
+    parts = [(1, None, "b"), (2, None, "b"), (3, "t/b", "c"), (4, "t", "b/c"), (5, "t", "b"), (6, "t", "b"), (6, "t", "b"), (7, "u", None), (8, "u", None)]
+    spark.createDataFrame(parts, "p_partkey bigint, p_type string, p_brand string").write.parquet(str(tmp_path / "part.parquet"))
+    got = registry.queries()["first_namesakes"](spark, str(tmp_path)).collect()
+    assert sorted((r.left_id, r.right_id) for r in got) == [(5, 6), (6, 5)]
